@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from earshot.functions.times import local_time
 from earshot.schemas import AXES
 
 
@@ -28,12 +27,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _derive(df: DataFrame, *columns: str) -> DataFrame:
+    """Select SQL expressions, each evaluated once per row.
+
+    A plain projection would be merged into every filter above it, and the filters of the
+    operators name a column several times; rows that pass through a generator are not.
+    """
+    return df.selectExpr(f"inline(array(struct({', '.join(columns)})))")
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = _derive(
+        table(spark, sf_dir, "events"),
+        *("event_id", "user_id", "event_type", "value", "ts"),
+        "int(get_json_object(props, '$.k')) AS k",
+    )
     moved = "date_trunc('second', ts) + make_dt_interval(int(user_id % 3 * 30))"
-    return (
-        table(spark, sf_dir, "events")
-        .selectExpr("*", "int(get_json_object(props, '$.k')) AS k")
-        .selectExpr("*", "string(k * 7 + user_id % 50) AS n", f"{moved} AS second")
+    return _derive(
+        numbered,
+        *("event_id", "user_id", "event_type", "value", "k"),
+        "string(k * 7 + user_id % 50) AS n",
+        f"{moved} AS second",
     )
 
 
@@ -60,7 +74,8 @@ REASON_END = """
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).selectExpr(
+    return _derive(
+        _events(spark, sf_dir),
         "event_id",
         "concat(date_format(second, \"yyyy-MM-dd'T'HH:mm:ss\"), 'Z') AS ts",
         MS_PLAYED,
@@ -74,7 +89,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).selectExpr(
+    return _derive(
+        _events(spark, sf_dir),
         "event_id",
         "user_id",
         "CASE WHEN k = 95 THEN '' ELSE concat('Track ', n) END AS track_name",
@@ -85,8 +101,12 @@ def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored table of recent plays, but with the copies polling would drop."""
-    return _recent(spark, sf_dir).select(
-        "user_id", "track_name", local_time(F.col("instant")).alias("played_at"), "spotify_track_uri"
+    return _derive(
+        _recent(spark, sf_dir),
+        "user_id",
+        "track_name",
+        "convert_timezone('UTC', 'America/New_York', to_timestamp_ntz(instant)) AS played_at",
+        "spotify_track_uri",
     )
 
 
