@@ -1,5 +1,4 @@
-"""Wall-clock time helpers. Sessions run in UTC (see ``earshot.session``), so that the
-implicit casts Spark places between TIMESTAMP_NTZ and TIMESTAMP change nothing."""
+"""Wall-clock time helpers. None of them depends on the session time zone."""
 
 from __future__ import annotations
 
@@ -9,8 +8,8 @@ from pyspark.sql import functions as F
 from earshot.schemas import HOME_TIMEZONE
 
 
-def _epoch() -> Column:
-    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+def from_wall_seconds(seconds: Column) -> Column:
+    return F.timestamp_add("SECOND", seconds, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
 def local_time(instant: Column, tz: str = HOME_TIMEZONE) -> Column:
@@ -18,19 +17,17 @@ def local_time(instant: Column, tz: str = HOME_TIMEZONE) -> Column:
 
     Fractions round half up, as a DATETIME column without fractions stores them.
     """
-    seconds = F.floor((F.unix_micros(instant) + 500_000) / 1_000_000)
-    utc = F.timestamp_add("SECOND", seconds, _epoch())
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+    shifted = F.unix_micros(F.from_utc_timestamp(instant, tz))
+    return from_wall_seconds(F.floor((shifted + 500_000) / 1_000_000))
 
 
 def wall_seconds(local: Column) -> Column:
-    """Wall-clock time as a whole number of seconds, fractions rounded half up."""
-    rounded = F.timestamp_add("MICROSECOND", F.lit(500_000), local)
-    return F.timestamp_diff("SECOND", _epoch(), rounded)
-
+    """Wall-clock time (TIMESTAMP_NTZ) as a whole number of seconds.
 
-def from_wall_seconds(seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, _epoch())
+    The difference of two is the time between them on the clock, also where the clock
+    changes. Applied to NTZ the function reads the value as it stands.
+    """
+    return F.unix_timestamp(local)
 
 
 def month_of(local: Column) -> Column:

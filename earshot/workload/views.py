@@ -37,16 +37,13 @@ def _derive(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbered = _derive(
-        table(spark, sf_dir, "events"),
-        *("event_id", "user_id", "event_type", "value", "ts"),
-        "int(get_json_object(props, '$.k')) AS k",
-    )
+    number = "int(rtrim('}', substr(props, 7)))"  # props is {"k": <number>} throughout
     moved = "date_trunc('second', ts) + make_dt_interval(int(user_id % 3 * 30))"
     return _derive(
-        numbered,
-        *("event_id", "user_id", "event_type", "value", "k"),
-        "string(k * 7 + user_id % 50) AS n",
+        table(spark, sf_dir, "events"),
+        *("event_id", "user_id", "event_type", "value"),
+        f"{number} AS k",
+        f"string({number} * 7 + user_id % 50) AS n",
         f"{moved} AS second",
     )
 
@@ -105,7 +102,7 @@ def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
         _recent(spark, sf_dir),
         "user_id",
         "track_name",
-        "convert_timezone('UTC', 'America/New_York', to_timestamp_ntz(instant)) AS played_at",
+        "to_timestamp_ntz(from_utc_timestamp(instant, 'America/New_York')) AS played_at",
         "spotify_track_uri",
     )
 
