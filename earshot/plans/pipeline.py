@@ -12,14 +12,11 @@ from earshot.plans.plays import build_plays, plays_summary, with_play_id
 from earshot.plans.stats import track_stats
 from earshot.sources import payloads
 from earshot.sources.tables import (
-    PLAYS_RULES,
     TAG_MAPPING_RULES,
     TRACK_DATA_RULES,
-    TRACK_STATS_RULES,
     check_constraints,
     overwrite,
     read_or_empty,
-    read_table,
     write_plays,
     write_stats,
 )
@@ -45,9 +42,7 @@ def rebuild_plays(
     check_constraints(tracks, **TRACK_DATA_RULES)
     path = tables.path("plays")
     write_plays(with_play_id(build_plays(history, recent, tracks, limits)), path)
-    plays = read_table(spark, path)
-    check_constraints(plays, **PLAYS_RULES)
-    return plays_summary(plays)
+    return plays_summary(read_or_empty(spark, path, schemas.PLAYS))
 
 
 def rebuild_track_stats(
@@ -55,12 +50,10 @@ def rebuild_track_stats(
 ) -> DataFrame:
     """Rebuild ``track_stats`` from ``plays``; returns the table."""
     tracks = read_or_empty(spark, tables.path("track_data"), schemas.TRACK_DATA)
-    plays = read_table(spark, tables.path("plays"))
+    plays = read_or_empty(spark, tables.path("plays"), schemas.PLAYS)
     path = tables.path("track_stats")
     write_stats(track_stats(plays, tracks, as_of), path)
-    stats = read_table(spark, path)
-    check_constraints(stats, **TRACK_STATS_RULES)
-    return stats
+    return read_or_empty(spark, path, schemas.TRACK_STATS)
 
 
 def rebuild_tag_mapping(
@@ -73,7 +66,5 @@ def rebuild_tag_mapping(
         payloads.scan_playlists(spark, playlist_pages),
         payloads.scan_playlist_items(spark, item_pages),
     )
-    path = tables.path("tag_mapping")
-    overwrite(result.mapping, path)
-    check_constraints(read_table(spark, path), **TAG_MAPPING_RULES)
+    overwrite(result.mapping, tables.path("tag_mapping"), **TAG_MAPPING_RULES)
     return result

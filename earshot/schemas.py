@@ -86,6 +86,15 @@ PLAYS = """
     play_id bigint, spotify_track_uri string, played_at timestamp_ntz, ms_played bigint,
     play_percentage decimal(5,4), play_quality string, skipped boolean, source string
 """
+TRACK_STATS = """
+    spotify_track_uri string, track_name string, artist_name string, play_count bigint,
+    unique_days_played bigint, full_listen_count bigint, natural_end_count bigint,
+    partial_count bigint, skip_count bigint, unclassified_count bigint,
+    avg_play_percentage decimal(5,4), total_ms_played bigint,
+    total_minutes_played decimal(12,2), skip_rate decimal(5,4), completion_rate decimal(5,4),
+    first_played_at timestamp_ntz, last_played_at timestamp_ntz, days_since_last int,
+    peak_listen_month string, peak_month_play_count bigint
+"""
 PLAY_COLUMNS = [
     "spotify_track_uri",
     "played_at",

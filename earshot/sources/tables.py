@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.sources.history import exists, hadoop_path
@@ -14,7 +15,8 @@ WRITE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "appen
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table. Columns added by later appends are merged in."""
+    """A stored table of any columns. Columns that later appends added are merged in, for
+    which the footers of all files are read; tables of declared columns use read_or_empty."""
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
@@ -29,16 +31,35 @@ def write_table(df: DataFrame, path: str, if_exists: str = "append") -> None:
     df.write.mode(WRITE_MODES[if_exists]).parquet(path)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table: write the new one beside it, then swap the folders.
+def overwrite(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    not_null: Sequence[str] = (),
+    key: Sequence[str] = (),
+    max_length: dict[str, int] | None = None,
+) -> None:
+    """Replace a table: write the new one beside it, check its rules, swap the folders.
 
-    If the job fails the old table is still in place. ``df`` may read the old table.
+    If the job or a rule fails the old table is still in place. ``df`` may read the old
+    table. Column rules are observed while the rows are written and cost no further pass;
+    the key rule aggregates the key columns of the written copy.
     """
     spark = df.sparkSession
     fs, target = hadoop_path(spark, path)
     token = uuid.uuid4().hex
     staged_path, retired_path = f"{path}.staged-{token}", f"{path}.retired-{token}"
-    df.write.partitionBy(*partition_by).parquet(staged_path)
+    rules = _column_rules(not_null, max_length)
+    if rules:
+        seen = Observation()
+        observed = [rule.alias(name) for name, rule in rules.items()]
+        df.observe(seen, *observed).write.partitionBy(*partition_by).parquet(staged_path)
+        _raise_broken(seen.get)
+    else:
+        df.write.partitionBy(*partition_by).parquet(staged_path)
+    if key:
+        check_constraints(read_or_empty(spark, staged_path, _ddl(df)), key=key)
+
     _, staged = hadoop_path(spark, staged_path)
     _, retired = hadoop_path(spark, retired_path)
     if fs.exists(target) and not fs.rename(target, retired):
@@ -50,6 +71,10 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
         fs.delete(retired, True)
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def write_plays(df: DataFrame, path: str) -> None:
     """Rebuild ``plays``: a folder per source, sorted for min/max skipping by track.
 
@@ -59,12 +84,20 @@ def write_plays(df: DataFrame, path: str) -> None:
     laid_out = df.hint("rebalance", "source").sortWithinPartitions(
         "source", "spotify_track_uri", "played_at"
     )
-    overwrite(laid_out, path, ["source"])
+    overwrite(laid_out, path, ["source"], **PLAYS_RULES)
 
 
 def write_stats(df: DataFrame, path: str) -> None:
     """Rebuild ``track_stats``."""
-    overwrite(df.hint("rebalance"), path)
+    overwrite(df.hint("rebalance"), path, **TRACK_STATS_RULES)
+
+
+def _column_rules(not_null: Sequence[str], max_length: dict[str, int] | None) -> dict[str, Column]:
+    """Rule name to the aggregate that counts its violations."""
+    rules = {f"{c} not null": F.count_if(F.col(c).isNull()) for c in not_null}
+    for column, width in (max_length or {}).items():
+        rules[f"{column} length <= {width}"] = F.count_if(F.length(column) > width)
+    return rules
 
 
 def constraint_violations(
@@ -77,10 +110,8 @@ def constraint_violations(
 
     Column rules take one pass with partial aggregation, the key rule one aggregation by key.
     """
-    rules = {f"{c} not null": F.count_if(F.col(c).isNull()) for c in not_null}
-    for column, width in (max_length or {}).items():
-        rules[f"{column} length <= {width}"] = F.count_if(F.length(column) > width)
     parts = []
+    rules = _column_rules(not_null, max_length)
     if rules:
         checked = df.agg(*[rule.alias(f"r{i}") for i, rule in enumerate(rules.values())])
         pairs = [
@@ -96,20 +127,22 @@ def constraint_violations(
                 F.lit(f"unique ({', '.join(key)})").alias("rule"), "violations"
             )
         )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def check_constraints(df: DataFrame, **rules) -> None:
     """Raise if any rule of ``constraint_violations`` is broken."""
-    broken = constraint_violations(df, **rules).where("violations > 0").collect()
+    found = constraint_violations(df, **rules).collect()
+    _raise_broken({r.rule: r.violations for r in found})
+
+
+def _raise_broken(violations: dict[str, int]) -> None:
+    broken = [f"{rule}: {count}" for rule, count in violations.items() if count]
     if broken:
-        raise ValueError("; ".join(f"{r.rule}: {r.violations}" for r in broken))
+        raise ValueError("; ".join(broken))
 
 
-# Rules of the stored tables, as arguments for the two functions above.
+# Rules of the stored tables, as arguments for the functions above.
 PLAYS_RULES = {
     "not_null": ["spotify_track_uri", "played_at", "source"],
     "max_length": {"spotify_track_uri": 100, "play_quality": 20, "source": 20},

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -84,13 +86,14 @@ def session_windows(
     plays: DataFrame,
     at: str,
     gap_seconds: int,
-    partition_cols: tuple[str, ...] = (),
+    partition_cols: Sequence[str],
     delay: str = "1 hour",
 ) -> DataFrame:
     """Listening sessions of a stream with an event time column (TIMESTAMP).
 
     A gap of exactly ``gap_seconds`` still belongs to the session, one second more does
-    not. The session ends at its last play, not at the end of the window.
+    not. The session ends at its last play, not at the end of the window. Session state
+    needs a key, so a log of one listener must still name a column for it.
     """
     window = F.session_window(F.col(at), f"{gap_seconds} seconds")
     grouped = plays.withWatermark(at, delay).groupBy(*partition_cols, window.alias("w"))
