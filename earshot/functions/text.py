@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from earshot.schemas import TRACK_ID_PATTERN
 
 
+# The characters that count as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(value: Column) -> Column:
-    """Remove leading and trailing whitespace of any kind (``trim`` knows spaces only)."""
-    return F.regexp_replace(value, r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$", "")
+    """Remove leading and trailing whitespace of any kind (``trim`` alone knows spaces only)."""
+    return F.btrim(value, F.lit(WHITESPACE))
 
 
 def present(uri: Column) -> Column:

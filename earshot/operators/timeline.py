@@ -55,32 +55,29 @@ def gap_to_next(
     at: str,
     tiebreak: Sequence[str],
     partition_cols: Sequence[str] = (),
-    axis_from: DataFrame | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Add ``gap_seconds``: whole seconds to the next row by ``at``, then ``tiebreak``.
 
-    NULL marks the last row of its log. ``at``, ``tiebreak`` and ``partition_cols``
-    together must identify a row (take the distinct rows first). ``axis_from`` may name a
-    cheaper frame with the same times, such as ``df`` before its duplicates were dropped.
+    NULL marks the last row of its log. ``at``, ``tiebreak`` and ``partition_cols`` together
+    must identify a row; ``distinct=True`` drops copies of rows first. Copies agree in their
+    second and in their gap, so they are dropped after the join with the seconds, on whose
+    partitioning that takes no further shuffle.
     """
     log, log_key = _log(partition_cols)
     key = F.struct(*[F.col(c) for c in tiebreak])
     second = wall_seconds(F.col(at)).alias("_sec")
 
-    source = df if axis_from is None else axis_from
-    rows = source.select(*log_key, second, key.alias("_key")).where(F.col("_sec").isNotNull())
+    rows = df.select(*log_key, second, key.alias("_key")).where(F.col("_sec").isNotNull())
     last = rows.groupBy(*log, "_sec").agg(F.max("_key").alias("_last"))
     axis = _next_seconds(last, rows, log)
 
     gap = F.when(key.eqNullSafe(F.col("_last")), F.col("_next") - F.col("_sec")).when(
         F.col("_sec").isNotNull(), F.lit(0)
     )
-    return (
-        df.select("*", *log_key, second)
-        .join(axis, [*log, "_sec"], "left")
-        .withColumn("gap_seconds", gap)
-        .drop(*log, "_sec", "_last", "_next")
-    )
+    joined = df.select("*", *log_key, second).join(axis, [*log, "_sec"], "left")
+    found = joined.select(*df.columns, *log, "_sec", gap.alias("gap_seconds"))
+    return (found.dropDuplicates() if distinct else found).drop(*log, "_sec")
 
 
 def sessions(

@@ -18,7 +18,7 @@ from earshot.operators.clean import (
 from earshot.operators.enrich import track_rows, unique_tracks
 from earshot.session import scratch_path
 from earshot.sources import payloads
-from earshot.sources.history import exists, scan_history
+from earshot.sources.history import exists, remove, scan_history
 from earshot.sources.tables import read_or_empty, read_table, write_table
 
 
@@ -71,7 +71,9 @@ def ingest_history(
         rows = _not_in(rows, read_table(spark, table))
     counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     write_table(counted, table, if_exists)
-    return IngestCounts(read, written.get["rows"], rows.columns)
+    counts = IngestCounts(read, written.get["rows"], rows.columns)
+    remove(spark, staged)
+    return counts
 
 
 def _not_in(rows: DataFrame, table: DataFrame) -> DataFrame:

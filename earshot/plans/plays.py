@@ -95,13 +95,12 @@ def classify_recent(
 ) -> DataFrame:
     """Plays of the recent log, time played inferred from the gap to the next play.
 
-    The table of recent plays holds distinct rows; ``distinct=False`` skips making sure.
+    The table of recent plays holds distinct rows; ``distinct=False`` takes that for granted.
     ``partition_cols`` (say a user id) separates the logs of several listeners.
     """
     columns = [*partition_cols, "track_name", "played_at", URI]
     log = recent.where(present(F.col(URI))).select(*columns)
-    rows = log.dropDuplicates() if distinct else log
-    gaps = gap_to_next(rows, "played_at", [URI, "track_name"], partition_cols, axis_from=log)
+    gaps = gap_to_next(log, "played_at", [URI, "track_name"], partition_cols, distinct)
     return classify_gaps(gaps, track_data, limits, partition_cols)
 
 

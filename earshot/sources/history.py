@@ -25,6 +25,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote for its own use, if it is there."""
+    fs, where = hadoop_path(spark, path)
+    fs.delete(where, True)
+
+
 def json_files(spark: SparkSession, folder: str) -> list[str]:
     """The ``*.json`` files directly in ``folder``, sorted; an error if it is no folder."""
     fs, where = hadoop_path(spark, folder)

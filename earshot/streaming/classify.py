@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +13,7 @@ from earshot.functions.text import present
 from earshot.operators.overlap import without_overlap
 from earshot.operators.timeline import gap_to_next
 from earshot.plans.plays import URI, classify_gaps
+from earshot.sources.history import remove
 from earshot.sources.tables import read_or_empty
 
 COLUMNS = ["track_name", "played_at", URI]
@@ -58,12 +59,14 @@ def start_classification(
         too_late = F.coalesce(F.col("played_at") < F.col("_since"), F.lit(False))
         write(marked.where(too_late).drop("_since"), "late")
 
-        known = marked.where(~too_late).drop("_since").unionByName(waiting).dropDuplicates()
-        gaps = gap_to_next(known, "played_at", [URI, "track_name"], keys).persist()
+        known = marked.where(~too_late).drop("_since").unionByName(waiting)
+        gaps = gap_to_next(known, "played_at", [URI, "track_name"], keys, distinct=True).persist()
         write(gaps.where(F.col("gap_seconds").isNull()).drop("gap_seconds"), "open")
         done = gaps.where(F.col("gap_seconds").isNotNull())
         write(classify_gaps(done, track_data, limits, keys), "plays")
         gaps.unpersist()
+        # A batch that is run again needs the open plays of the batch before it, none older.
+        remove(spark, part("open", batch_id - 2))
 
     return (
         recent.writeStream.foreachBatch(store)
@@ -74,7 +77,7 @@ def start_classification(
 
 
 def classified_so_far(
-    spark, output: str, track_data: DataFrame, last_batch: int, partition_cols: Sequence[str] = ()
+    spark: SparkSession, output: str, track_data: DataFrame, last_batch: int, partition_cols: Sequence[str] = ()
 ) -> DataFrame:
     """Finished plays and, unclassified as in a batch run, the open ones."""
     done = spark.read.parquet(f"{output}/plays").drop("batch_id")

@@ -93,20 +93,20 @@ def low_confidence_dropped(spark, sf):
     )
 
 
-def _distinct_recent(spark, sf, *extra):
-    columns = [*extra, "track_name", "played_at", "spotify_track_uri"]
-    return V.recent(spark, sf).select(*columns).dropDuplicates()
+def _distinct_recent(spark, sf):
+    return V.recent(spark, sf).drop("user_id").dropDuplicates()
 
 
 @query
 def gap_to_next_play(spark, sf):
-    return gap_to_next(_distinct_recent(spark, sf), "played_at", ["spotify_track_uri", "track_name"])
+    log = V.recent(spark, sf).drop("user_id")
+    return gap_to_next(log, "played_at", ["spotify_track_uri", "track_name"], distinct=True)
 
 
 @query
 def gap_to_next_per_user(spark, sf):
-    rows = _distinct_recent(spark, sf, "user_id")
-    return gap_to_next(rows, "played_at", ["spotify_track_uri", "track_name"], ["user_id"])
+    tiebreak = ["spotify_track_uri", "track_name"]
+    return gap_to_next(V.recent(spark, sf), "played_at", tiebreak, ["user_id"], distinct=True)
 
 
 @query
