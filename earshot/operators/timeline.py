@@ -115,14 +115,15 @@ def sessions(
     pieces = labelled.groupBy(*day_key, "_start").agg(
         F.max("_sec").alias("_to"), F.sum("_n").alias("_n")
     )
-    # Ordered by start with the unlabelled piece first, a running maximum over the pieces
-    # would do; pieces of a hot log are many, so go through one row per day again.
+    # A hot log has many pieces, so the window over them goes through one row per day again.
+    # Asking for the count here as well lets Spark use the shuffled seconds twice.
     carried = over_days.rowsBetween(Window.unboundedPreceding, -1)
     still_open = (
         pieces.groupBy(*day_key)
-        .agg(F.max("_start").alias("_latest"))
+        .agg(F.max("_start").alias("_latest"), F.sum("_n").alias("_day_n"))
+        .where(F.col("_day_n") > 0)
         .withColumn("_open", F.max("_latest").over(carried))
-        .drop("_latest")
+        .drop("_latest", "_day_n")
     )
     return (
         pieces.join(still_open, day_key)

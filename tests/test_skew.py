@@ -148,6 +148,36 @@ def test_a_hot_track_is_split_in_the_join_with_durations(spark, folder):
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_a_hot_second_is_split_in_the_join_with_the_seconds(spark, folder):
+    second = F.when(F.col("id") % 3 == 0, 500_000).otherwise(F.col("id") * 5)
+    log = spark.range(150_000).select(
+        F.concat(F.lit("t:"), F.col("id").cast("string")).alias("spotify_track_uri"),
+        F.lit("n").alias("track_name"),
+        F.timestamp_seconds(second).cast("timestamp_ntz").alias("played_at"),
+    )
+    log.repartition(8).write.parquet(f"{folder}/log")
+    before = {key: spark.conf.get(key, None) for key in SPLIT_EARLY}
+    try:
+        for key, value in SPLIT_EARLY.items():
+            spark.conf.set(key, value)
+        gaps = gap_to_next(
+            spark.read.parquet(f"{folder}/log"), "played_at", ["spotify_track_uri", "track_name"],
+            distinct=True,
+        )
+        total = gaps.agg(
+            F.count("*"), F.count("gap_seconds"), F.sum("gap_seconds"), F.count_if(F.col("gap_seconds") == 0)
+        )
+        found = total.collect()[0]
+        plan = total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    # The gaps add up to the span of the log. The hot second holds 50,001 plays, as that of
+    # id 100,000 falls into it too, and all but its last have a gap of zero.
+    assert tuple(found) == (150_000, 149_999, 149_999 * 5 - 5, 50_000)
+
+
 def test_track_stats_with_a_hot_track(spark):
     history, tracks = _generated_plays(spark)
     plays = P.classify_history(history, tracks).cache()
