@@ -93,3 +93,35 @@ def stream_without_overlap(
 ) -> DataFrame:
     """Stream of recent plays the (static) history does not hold: a stream-static anti-join."""
     return without_overlap(recent, history_plays, tolerance)
+
+
+def start_overlap_check(
+    recent: DataFrame,
+    history_plays: DataFrame,
+    output: str,
+    checkpoint: str,
+    tolerance: int = schemas.Thresholds().overlap_seconds,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The same per batch, against the part of the history the batch's times can reach.
+
+    The anti-join above prepares the whole history again for every batch. Here two values
+    of the batch bound it first, which a history laid out by time turns into a short scan.
+    Output folders are per batch and replaced as a whole.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        played = F.col("played_at")
+        ends = batch.agg(F.min(played).cast("string"), F.max(played).cast("string")).first()
+        first, last = (F.lit(end).cast("timestamp_ntz") for end in ends)
+        reach = F.make_dt_interval(secs=F.lit(tolerance))
+        near = history_plays.where(played.between(first - reach, last + reach))
+        kept = without_overlap(batch, near, tolerance)
+        kept.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+
+    return (
+        recent.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

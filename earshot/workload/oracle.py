@@ -312,6 +312,12 @@ rates AS (
          CASE WHEN decisive > 0 THEN {half_up("skip_count", "decisive", 4)} END AS skip_rate
   FROM monthly)"""
 
+STREAM_OVERLAP = f"""{FOR_PLAYS}, log AS (
+  SELECT DISTINCT track_name, played_at, spotify_track_uri FROM raw_recent)
+SELECT track_name, strftime(played_at, {SHOWN}) AS played_at, spotify_track_uri FROM log r
+WHERE NOT EXISTS (
+    SELECT 1 FROM hist_event h WHERE h.spotify_track_uri = r.spotify_track_uri
+       AND abs(date_sub('second', h.played_at, r.played_at)) <= 60)"""
 CLASSIFIED_RECENT = f"{FOR_PLAYS} SELECT {_play_columns()} FROM recent_plays"
 MAPPING = f"{FOR_TAGS} SELECT tag_id, spotify_track_uri FROM mapping"
 TRACK_STATS = f"{FOR_STATS} SELECT * FROM stats"
@@ -480,11 +486,7 @@ FROM pages""",
     "stream_recent": STORED_RECENT,
     "stream_recent_exact": STORED_RECENT,
     "stream_classify": CLASSIFIED_RECENT,
-    "stream_overlap": f"""{FOR_PLAYS}, log AS (
-  SELECT DISTINCT track_name, played_at, spotify_track_uri FROM raw_recent)
-SELECT track_name, strftime(played_at, {SHOWN}) AS played_at, spotify_track_uri FROM log r
-WHERE NOT EXISTS (
-    SELECT 1 FROM hist_event h WHERE h.spotify_track_uri = r.spotify_track_uri
-       AND abs(date_sub('second', h.played_at, r.played_at)) <= 60)""",
+    "stream_overlap": STREAM_OVERLAP,
+    "stream_overlap_bounded": STREAM_OVERLAP,
     "stream_sessions": _sessions("raw_recent", "user_id", 21600),
 }

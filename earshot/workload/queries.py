@@ -554,6 +554,19 @@ def stream_overlap(spark, sf):
     return spark.read.schema(schemas.RECENT).parquet(stored)
 
 
+@query
+def stream_overlap_bounded(spark, sf):
+    """The same per batch, with the history cut to the times of the batch."""
+    landing, stored = scratch_path(spark, "landing"), scratch_path(spark, "table")
+    _distinct_recent(spark, sf).write.parquet(landing)
+    stream = spark.readStream.schema(schemas.RECENT).parquet(landing)
+    history = P.history_events(V.history(spark, sf))
+    SC.start_overlap_check(
+        stream, history, stored, scratch_path(spark, "marks")
+    ).awaitTermination()
+    return spark.read.schema(schemas.RECENT).parquet(stored).drop("batch_id")
+
+
 @query
 def stream_sessions(spark, sf):
     """Session windows per user over the stream, as a table replaced on every batch."""

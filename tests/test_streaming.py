@@ -103,6 +103,18 @@ def test_overlap_with_static_history(spark, folder):
     assert [r[0] for r in rows(found)] == expected
 
 
+def test_overlap_in_batches(spark, folder):
+    landing, output, marks = (f"{folder}/{x}" for x in ("landing", "output", "marks"))
+    recent, events = golden.recent(spark), P.history_events(golden.history(spark))
+    cut = F.lit("2024-06-01 10:02:45").cast("timestamp_ntz")
+    for part in (F.col("played_at") <= cut, F.col("played_at") > cut):
+        recent.where(part).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schemas.RECENT).parquet(landing)
+        SC.start_overlap_check(stream, events, output, marks).awaitTermination()
+    found = spark.read.schema(schemas.RECENT).parquet(output).drop("batch_id")
+    assert rows(found) == rows(P.dedup_recent(recent, events))
+
+
 def test_session_windows(spark, folder):
     landing, table, marks = (f"{folder}/{x}" for x in ("landing", "table", "marks"))
     times = ["10:00:00", "10:05:00", "10:10:01", "11:00:00", "23:00:00"]
