@@ -33,13 +33,13 @@ def split_by_track_id(uris: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def uris_to_enrich(
     history: DataFrame, recent: DataFrame, track_data: DataFrame, cap: int = MAX_NEW_TRACKS
-) -> tuple[DataFrame, DataFrame]:
-    """The next ``cap`` new URIs in URI order, split into (to fetch, rejected).
+) -> DataFrame:
+    """The next ``cap`` new URIs in URI order with ``track_id``, NULL where it is no track.
 
     The cap counts rejected URIs too: it bounds one run, the rest follows in later runs.
     """
     batch = new_uris(history, recent, track_data).orderBy("uri").limit(cap)
-    return split_by_track_id(batch)
+    return batch.withColumn("track_id", track_id(F.col("uri")))
 
 
 def track_rows(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -258,10 +258,7 @@ def new_uris(spark, sf):
 @query
 def uris_to_enrich(spark, sf):
     """The capped batch of one enrichment run, recognised and rejected URIs together."""
-    fetch, rejected = E.uris_to_enrich(
-        V.history(spark, sf), V.recent(spark, sf), V.track_data(spark, sf)
-    )
-    return fetch.unionByName(rejected, allowMissingColumns=True)
+    return E.uris_to_enrich(V.history(spark, sf), V.recent(spark, sf), V.track_data(spark, sf))
 
 
 @query

@@ -207,16 +207,17 @@ def test_uris_to_enrich(spark):
     history = spark.createDataFrame([(u,) for u in links], "spotify_track_uri string")
     recent = spark.createDataFrame([("spotify:track:known",), ("spotify:track:x",)], history.schema)
     tracks = spark.createDataFrame([("spotify:track:known",)], "source_uri string")
-    fetch, rejected = uris_to_enrich(history, recent, tracks)
-    assert rows(fetch) == [
+    assert rows(uris_to_enrich(history, recent, tracks)) == [
+        ("", None),
         ("https://open.spotify.com/track/y?si=1", "y"),
+        ("spotify:episode:z", None),
         ("spotify:track:x", "x"),
     ]
-    assert rows(rejected) == [("",), ("spotify:episode:z",)]
     # The cap comes before the check, so rejected URIs use it up.
-    fetch, rejected = uris_to_enrich(history, recent, tracks, cap=2)
-    assert rows(fetch) == [("https://open.spotify.com/track/y?si=1", "y")]
-    assert rows(rejected) == [("",)]
+    assert rows(uris_to_enrich(history, recent, tracks, cap=2)) == [
+        ("", None),
+        ("https://open.spotify.com/track/y?si=1", "y"),
+    ]
     everything = spark.createDataFrame([(u,) for u in links if u], "uri string")
     assert split_by_track_id(everything)[0].count() == 2
 
