@@ -5,18 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from earshot.llm.common import table
 from earshot.llm.simhash import simhash_groups
+from earshot.llm.topk import exact_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash": op6_simhash,
 }
-ORACLE: dict[str, str] = {}
+
+ORACLE: dict[str, str] = {
+    "op5_exact_top_k": """
+WITH fine AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM fine q JOIN fine c ON c.vec_id <> q.vec_id
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+}
