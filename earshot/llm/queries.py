@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from earshot.llm.common import table
 from earshot.llm.simhash import simhash_groups
+from earshot.llm.substring import substring_dedup
 from earshot.llm.topk import exact_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -23,6 +28,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash": op6_simhash,
 }
