@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from earshot.llm.common import table
 from earshot.llm.simhash import simhash_groups
 from earshot.llm.substring import substring_dedup
+from earshot.llm.token_counts import token_counts
 from earshot.llm.topk import exact_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +28,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash": op6_simhash,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
