@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm.common import table
+from earshot.llm.pii import find_pii, pii_digest
 from earshot.llm.simhash import simhash_groups
 from earshot.llm.substring import substring_dedup
 from earshot.llm.token_counts import token_counts
@@ -20,6 +21,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(find_pii(table(spark, sf_dir, "documents")))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -34,6 +39,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_pii": op3_pii,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash": op6_simhash,
     "op10_token_counts": op10_token_counts,
