@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from earshot.llm.common import table
 from earshot.llm.pii import find_pii, pii_digest
+from earshot.llm.quality import quality_scores
 from earshot.llm.simhash import simhash_groups
 from earshot.llm.substring import substring_dedup
 from earshot.llm.token_counts import token_counts
@@ -21,6 +22,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(find_pii(table(spark, sf_dir, "documents")))
 
@@ -39,6 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality": op2_quality,
     "op3_pii": op3_pii,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash": op6_simhash,
