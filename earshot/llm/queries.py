@@ -14,6 +14,7 @@ from earshot.llm.simhash import simhash_groups
 from earshot.llm.substring import substring_dedup
 from earshot.llm.token_counts import token_counts
 from earshot.llm.topk import exact_top_k
+from earshot.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(find_pii(table(spark, sf_dir, "documents")))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -46,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality": op2_quality,
     "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash": op6_simhash,
     "op10_token_counts": op10_token_counts,
