@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm.common import table
+from earshot.llm.decontam import contamination
 from earshot.llm.pii import find_pii, pii_digest
 from earshot.llm.quality import quality_scores
 from earshot.llm.simhash import simhash_groups
@@ -43,6 +44,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash": op6_simhash,
+    "op7_decontamination": op7_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
