@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from earshot.llm.common import table
 from earshot.llm.decontam import contamination
 from earshot.llm.ngram import language_model_scores
+from earshot.llm.pieces import decode, encode
 from earshot.llm.pii import find_pii, pii_digest
 from earshot.llm.quality import quality_scores
 from earshot.llm.simhash import simhash_groups
@@ -49,6 +50,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode(encode(table(spark, sf_dir, "documents")))
+
+
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_top_k": op5_exact_top_k,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
+    "op8_pieces": op8_pieces,
     "op9_language_model": op9_language_model,
     "op10_token_counts": op10_token_counts,
 }
