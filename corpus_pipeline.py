@@ -1,4 +1,57 @@
 """Documents through the stages of corpus preparation."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from earshot.llm.common import settle, table
+from earshot.llm.decontam import decontaminate
+from earshot.llm.pieces import decode, encode
+from earshot.llm.pii import sanitise
+from earshot.llm.simhash import keep_one_of_each
+from earshot.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar rejects go."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return keep_one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are generalised."""
+    return sanitise(docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of each text, and the text that they decode to."""
+    return decode(encode(docs))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("pieces", pieces),
+]
+
+#: The learnt and iterative stages have no SQL form; the tests hold them against brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each written to the shared folder before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -223,6 +223,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **limits)
     least = F.lit(-(2**63))
     gone = found.select(F.coalesce("doc_id", least).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    gone = settle(gone, "contaminated")
     keyed = docs.withColumns(
         {
             "_id": F.coalesce(F.col(id_col).cast("long"), least),

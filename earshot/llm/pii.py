@@ -26,6 +26,8 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 LETTERS = r"[^\p{L}]+"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string,near:array<string>>>"
 
+#: Cells of the filter on rows with disclosing terms.
+CELLS = 1 << 17
 #: Words on each side of a mention that count as its context, and the characters searched for them.
 REACH, SIDE = 5, 200
 #: Shortest term; documents in which a term must stand near an entity; share of the entity's
@@ -99,19 +101,19 @@ def _located(text: Column, hits: Column, pattern: Column, kind: Column, context:
     return F.aggregate(zipped, empty, step, lambda s: s["found"])
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """Rows as (doc_id, text, row): identical rows share the key ``row``, others don't."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     number = F.col(id_col).cast("long")
     key = F.struct(F.coalesce(number, F.lit(-(2**63))).alias("id"), F.xxhash64(text).alias("hash"))
-    return docs.select(number.alias("doc_id"), text.alias("text"), key.alias("row"))
+    return docs.select(number.alias("doc_id"), text.alias("text"), key.alias("row"), *more)
 
 
-def base_spans(keyed: DataFrame) -> DataFrame:
-    """(doc_id, row, base): valid matches of every kind in the order of KINDS, then start."""
+def _with_base(df: DataFrame) -> DataFrame:
+    """``df``, which has the column text, with ``base``: valid matches by kind as in KINDS, then start."""
     text = F.col("text")
     none = F.array().cast("array<string>")
-    hits = keyed.select(
+    hits = df.select(
         "*",
         *(
             F.when(text.rlike(HINTS[k]), F.regexp_extract_all(text, F.lit(PATTERNS[k]), F.lit(0)))
@@ -123,14 +125,16 @@ def base_spans(keyed: DataFrame) -> DataFrame:
     found = [
         F.when(
             F.size(f"hits_{k}") > 0,
-            F.filter(
-                _located(text, F.col(f"hits_{k}"), F.lit(PATTERNS[k]), F.lit(k), True),
-                _check(k),
-            ),
+            F.filter(_located(text, F.col(f"hits_{k}"), F.lit(PATTERNS[k]), F.lit(k), True), _check(k)),
         ).otherwise(F.array().cast(SPAN))
         for k in KINDS
     ]
-    return hits.select("doc_id", "row", F.concat(*found).alias("base"))
+    return hits.select(*df.columns, F.concat(*found).alias("base"))
+
+
+def base_spans(keyed: DataFrame) -> DataFrame:
+    """(doc_id, row, base) of every row."""
+    return _with_base(keyed).select("doc_id", "row", "base")
 
 
 def _entity() -> Column:
@@ -173,17 +177,31 @@ def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure
     return held.join(told.select("term"), "term").groupBy("row").agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
 
-def _term_spans(keyed: DataFrame, told: DataFrame) -> DataFrame:
-    """(row, terms): the places of each row's disclosing terms as whole words, without case."""
-    flat = lambda df: df.withColumn("hash", F.col("row.hash"))
-    affected = sift(flat(keyed), flat(told), "hash").select("row", "text").join(told, "row").dropDuplicates(["row"])
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
-    hits = affected.withColumn("pattern", pattern).withColumn(
-        "hits", F.regexp_extract_all("text", F.col("pattern"), F.lit(0))
-    )
-    return hits.select(
-        "row", _located(F.col("text"), F.col("hits"), F.col("pattern"), F.lit("term"), False).alias("terms")
+def _with_terms(df: DataFrame, told: DataFrame) -> DataFrame:
+    """``df`` (with text and row) with ``terms``: the places of its row's disclosing terms, as whole words.
+
+    Case doesn't matter. Only rows that pass a filter on the key of rows with terms are shuffled.
+    """
+    cell = lambda row: F.pmod(F.xxhash64(row), F.lit(CELLS)).cast("int")
+    cells = F.broadcast(told.select(cell(F.col("row")).alias("_cell")).distinct())  # CELLS rows at most
+    split = df.withColumn("_cell", cell(F.col("row")))
+    free = split.join(cells, "_cell", "left_anti").drop("_cell").withColumn("terms", F.array().cast(SPAN))
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("_terms", "|"), F.lit(r")(?!\p{L})"))
+    named = told.withColumnRenamed("terms", "_terms")
+    hits = (
+        split.join(cells, "_cell", "left_semi")
+        .drop("_cell")
+        .join(named, "row", "left")
+        .withColumn("_pattern", pattern)
+        .withColumn("_hits", F.regexp_extract_all("text", F.col("_pattern"), F.lit(0)))
     )
+    places = _located(F.col("text"), F.col("_hits"), F.col("_pattern"), F.lit("term"), False)
+    met = hits.withColumn("terms", F.when(F.col("_pattern").isNull(), F.array().cast(SPAN)).otherwise(places))
+    return met.select(*free.columns).unionByName(free)
+
+
+def _told(keyed: DataFrame, base: DataFrame, support: int, disclosure: float) -> DataFrame:
+    return settle(disclosing_terms(keyed, base, support, disclosure), "told")
 
 
 def find_pii(
@@ -204,11 +222,8 @@ def find_pii(
     """
     keyed = _keyed(docs, id_col, text_col)
     base = settle(base_spans(keyed), "base")
-    told = settle(disclosing_terms(keyed, base, support, disclosure), "told")
-    places = _term_spans(keyed, told).select(F.col("row").alias("_row"), "terms")
-    return base.join(places, F.col("row") == F.col("_row"), "left").select(
-        "doc_id", "row", "base", F.coalesce("terms", F.array().cast(SPAN)).alias("terms")
-    )
+    told = _told(keyed, base, support, disclosure)
+    return _with_base(_with_terms(keyed, told)).select("doc_id", "row", "base", "terms")
 
 
 def pii_digest(found: DataFrame) -> DataFrame:
@@ -225,22 +240,25 @@ def pii_digest(found: DataFrame) -> DataFrame:
     )
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits: float) -> DataFrame:
+def sanitise(
+    docs: DataFrame,
+    support: int = MIN_SUPPORT,
+    disclosure: float = DISCLOSURE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """``docs`` with personal data generalised to its kind and disclosing terms to ``[TERM]``.
 
-    Overlapping spans become one, named after the first. Rows, columns and null texts stay.
+    Spans are those of ``find_pii``. Overlapping spans become one, named after the first. Rows,
+    columns and null texts stay.
     """
-    found = find_pii(docs, id_col=id_col, text_col=text_col, **limits)
-    spans = found.select(F.col("row").alias("_row"), F.concat("base", "terms").alias("_spans"))
-    spans = spans.filter(F.size("_spans") > 0).dropDuplicates(["_row"])
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    row = F.struct(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), F.xxhash64(text).alias("hash")
-    )
-    joined = docs.withColumn("_row", row).join(spans, "_row", "left")
-    return joined.withColumn(
-        text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(_replaced(text, F.col("_spans")))
-    ).select(*docs.columns)
+    keyed = _keyed(docs, id_col, text_col, F.struct(*docs.columns).alias("_doc"))
+    narrow = keyed.drop("_doc")
+    base = settle(base_spans(narrow), "base")
+    told = _told(narrow, base, support, disclosure)
+    found = _with_base(_with_terms(keyed, told)).withColumn("_spans", F.concat("base", "terms"))
+    clean = F.when(F.size("_spans") > 0, _replaced(F.col("text"), F.col("_spans"))).otherwise(F.col(f"_doc.{text_col}"))
+    return found.select(*(clean.alias(c) if c == text_col else F.col(f"_doc.{c}").alias(c) for c in docs.columns))
 
 
 def _replaced(text: Column, spans: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from earshot.llm.common import table
 from earshot.llm.decontam import contamination
 from earshot.llm.ngram import language_model_scores
@@ -63,6 +64,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality": op2_quality,
     "op3_pii": op3_pii,

@@ -41,20 +41,28 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) with the fingerprint's 64 bits as a signed long; a null text is empty."""
+    """(doc_id, row, fp): ``fp`` has the fingerprint's 64 bits as a signed long, ``row`` is a hash of the text.
+
+    A null text is empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             found = np.fromiter(
                 (fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts)
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["doc_id", "row", "fp"]
             )
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row(text).alias("row"), text.alias("text"))
+    return narrow.mapInArrow(run, "doc_id long, row long, fp long")
+
+
+def _row(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _segment(fp: Column, which: int) -> Column:
@@ -124,7 +132,17 @@ def hamming_links(prints: DataFrame, cell_size: int = CELL) -> DataFrame:
     return paired.unionByName(starred.distinct())
 
 
-def simhash_groups(docs: DataFrame, shingle: int = 3, cell_size: int = CELL) -> DataFrame:
+def _grouped(docs: DataFrame, shingle: int, cell_size: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, row, fp, root) of every row; ``root`` is the smallest fingerprint of its component."""
+    prints = settle(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    distinct = settle(prints.select("fp").distinct(), "distinct")
+    roots = components(hamming_links(distinct, cell_size)).withColumnRenamed("node", "fp")
+    return prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def simhash_groups(
+    docs: DataFrame, shingle: int = 3, cell_size: int = CELL, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs``.
 
     Texts whose fingerprints differ in 3 bits or fewer are linked; the component is the smallest
@@ -135,14 +153,28 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, cell_size: int = CELL) ->
     same result; a null doc_id stays and never names a component unless it has no other member.
     Other columns are not read. An empty table gives an empty result.
     """
-    prints = settle(fingerprints(docs, shingle), "fingerprints")
-    distinct = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(hamming_links(distinct.select("fp"), cell_size))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = settle(rooted.join(named, "root").select("fp", "component_id"), "classes")
-    return prints.join(classes, "fp").select(
+    rooted = _grouped(docs, shingle, cell_size, id_col, text_col)
+    names = settle(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "names")
+    return rooted.join(names, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of ``simhash_groups``: that with the smallest doc_id.
+
+    Of rows that share the id, one with the smallest hash of the text stays; null ids come last. Columns
+    stay as they are.
+    """
+    rooted = _grouped(docs, shingle, CELL, id_col, text_col)
+    last = F.lit(2**63 - 1)
+    # Two steps of plain minima, which sum up before the shuffle, in place of one over pairs.
+    numbered = settle(rooted.select(F.coalesce("doc_id", last).alias("_id"), "row", "root"), "members")
+    least = numbered.groupBy("root").agg(F.min("_id").alias("_id"))
+    kept = settle(numbered.join(least, ["root", "_id"]).groupBy("root", "_id").agg(F.min("row").alias("_row")), "kept")
+    keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), last), "_row": _row(F.col(text_col).cast("string"))})
+    chosen = keyed.join(kept.select("_id", "_row"), ["_id", "_row"], "left_semi")
+    n_rows = numbered.join(kept, (F.col("row") == F.col("_row")) & (numbered["_id"] == kept["_id"]), "left_semi").count()
+    if n_rows > kept.count():  # whole rows repeat
+        chosen = chosen.dropDuplicates(["_id", "_row"])
+    return chosen.select(*docs.columns)

@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from earshot.llm.common import fold, settle, sift
 
@@ -46,6 +47,8 @@ STEM = (3, 7)
 MIN_SUPPORT, MIN_WEIGHT, MIN_FORMS = 5, 3.0, 5
 #: Rows of each label, at most, from which the last step's weights are fitted.
 FIT_ROWS = 20_000
+#: Score from which a text counts as toxic.
+THRESHOLD = 0.3
 #: Weight of a seed insult or threat that the labels say nothing about.
 SEED_WEIGHT = 3.0
 
@@ -270,8 +273,8 @@ def _inputs(total: np.ndarray, most: np.ndarray, clauses: np.ndarray, words: np.
 
 def _columns() -> list[Column]:
     """The inputs of the last step as columns."""
-    logs = (F.log1p(F.col(c)) for c in ("total", "most", "clauses", "words"))
-    return [F.lit(1.0), (F.col("total") > 0).cast("double"), *logs]
+    logs = (F.log1p(F.col(f"tox.{c}")) for c in ("total", "most", "clauses", "words"))
+    return [F.lit(1.0), (F.col("tox.total") > 0).cast("double"), *logs]
 
 
 def _fit(x: np.ndarray, y: np.ndarray, decay: float = 0.1) -> np.ndarray:
@@ -290,6 +293,57 @@ def _fit(x: np.ndarray, y: np.ndarray, decay: float = 0.1) -> np.ndarray:
 PLAIN = np.array([-3.0, 1.0, 1.0, 0.5, 0.0, 0.0])
 
 
+@dataclass(frozen=True)
+class Model:
+    """The learnt part: log ratios of words and stems, and the last step's weights."""
+
+    lexicon: dict[str, float]
+    weights: np.ndarray
+
+
+def _measure(df: DataFrame, text_col: str, lexicon: dict[str, float]) -> DataFrame:
+    """All columns of ``df`` and, as ``_tox``, what the grammar finds in its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, grammar = Lexicon(lexicon), Grammar()
+        for batch in batches:
+            texts = [t.as_py() or "" for t in batch.column(0)]
+            scores = [clause_scores(t, words, grammar) for t in texts]
+            found = pa.StructArray.from_arrays(
+                [
+                    pa.array(map(sum, scores), pa.float64()),
+                    pa.array([max(s, default=0.0) for s in scores], pa.float64()),
+                    pa.array(map(len, scores), pa.int32()),
+                    pa.array([t.count(" ") for t in texts], pa.int32()),
+                ],
+                ["total", "most", "clauses", "words"],
+            )
+            yield pa.RecordBatch.from_arrays([batch.column(1), found], ["row", "tox"])
+
+    packed = df.select(F.col(text_col).cast("string").alias("text"), F.struct("*").alias("row"))
+    shape = StructType().add("row", packed.schema["row"].dataType).add("tox", StructType.fromDDL(SHAPE))
+    return packed.mapInArrow(run, shape)
+
+
+def learn(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """The model of ``toxicity_scores`` from the labelled rows that aren't held out."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    training = settle(_labelled(narrow, labels, "toxic", parts, held), "labelled")
+    lexicon = learn_lexicon(training)
+    fitted = _measure(_sample(training), "text", lexicon).select("row.label", "tox.*").toPandas()
+    weights = PLAIN
+    if fitted["label"].nunique() == 2:
+        known = _inputs(*(fitted[c].to_numpy(np.float64) for c in ("total", "most", "clauses", "words")))
+        weights = _fit(known, fitted["label"].to_numpy(np.float64))
+    return Model(lexicon, weights)
+
+
+def _scored(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """(row, tox, score) for each row of ``docs``; nothing is shuffled."""
+    z = sum((part * float(w) for part, w in zip(_columns(), model.weights, strict=True)), F.lit(0.0))
+    return _measure(docs, text_col, model.lexicon).withColumn("score", 1 / (1 + F.exp(-z)))
+
+
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -299,43 +353,25 @@ def toxicity_scores(
     ``held``, added to the seed words. Every clause with a lexical trigger passes the composed
     grammar; ``clauses`` counts them and ``most`` is the highest score. A logistic step, fitted on at
     most FIT_ROWS training rows of each label (those with the smallest hash of the text), turns a
-    text's clause scores into a chance. Id, label, language and source are no inputs.
+    text's clause scores and length into a chance. Id, label, language and source are no inputs.
 
     A null text is empty; repeated rows are each scored alike; null or other labels are no labels, of
     contradicting labels of an id the largest counts; a null doc_id matches no label. Without
     labels of both kinds the seed words and fixed weights are used. Other columns are not read.
     """
+    model = learn(docs, labels, parts, held, id_col, text_col)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    training = settle(_labelled(narrow, labels, "toxic", parts, held), "labelled")
-    learnt = learn_lexicon(training)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, grammar = Lexicon(learnt), Grammar()
-        for batch in batches:
-            scores = [clause_scores(t.as_py() or "", lexicon, grammar) for t in batch.column("text")]
-            found = pa.RecordBatch.from_pydict(
-                {
-                    "total": pa.array(map(sum, scores), pa.float64()),
-                    "most": pa.array([max(s, default=0.0) for s in scores], pa.float64()),
-                    "clauses": pa.array(map(len, scores), pa.int32()),
-                    "words": pa.array([(t.as_py() or "").count(" ") for t in batch.column("text")], pa.int32()),
-                }
-            )
-            yield pa.RecordBatch.from_arrays([batch.column(0), *found.columns], [batch.schema.names[0], *found.schema.names])
-
-    sample = _sample(training)
-    fitted = sample.select("label", "text").mapInArrow(run, f"label int, {SHAPE}").toPandas()
-    weights = PLAIN
-    if fitted["label"].nunique() == 2:
-        known = _inputs(*(fitted[c].to_numpy(np.float64) for c in ("total", "most", "clauses", "words")))
-        weights = _fit(known, fitted["label"].to_numpy(np.float64))
-    z = sum((part * float(w) for part, w in zip(_columns(), weights, strict=True)), F.lit(0.0))
-    scored = narrow.mapInArrow(run, f"doc_id long, {SHAPE}").withColumn("score", 1 / (1 + F.exp(-z)))
-    return scored.select(
-        "doc_id",
-        (fold("doc_id", parts) == held).alias("held_out"),
+    return _scored(narrow, model, "text").select(
+        "row.doc_id",
+        (fold("row.doc_id", parts) == held).alias("held_out"),
         "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
-        "clauses",
-        "most",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        "tox.clauses",
+        "tox.most",
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score below THRESHOLD, as they are; the model is that of ``toxicity_scores``."""
+    model = learn(docs, labels, id_col=id_col, text_col=text_col)
+    return _scored(docs, model, text_col).filter(F.col("score") < THRESHOLD).select("row.*")
