@@ -32,6 +32,7 @@ def track_id(uri: Column) -> Column:
     return F.when(found != "", found)
 
 
-def clip(value: Column, width: int) -> Column:
-    """Report text: NULL shown as empty, cut to ``width`` characters."""
-    return F.substring(F.coalesce(value, F.lit("")), 1, width)
+def shown(value: Column, width: int | None = None) -> Column:
+    """Report text: NULL shown as empty; cut to ``width`` characters only for printing."""
+    text = F.coalesce(value, F.lit(""))
+    return text if width is None else F.substring(text, 1, width)

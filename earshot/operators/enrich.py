@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.text import track_id
-from earshot.schemas import MAX_ARTISTS, MAX_NEW_TRACKS
 
 
 def known_uris(history: DataFrame, recent: DataFrame) -> DataFrame:
@@ -32,14 +31,22 @@ def split_by_track_id(uris: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def uris_to_enrich(
-    history: DataFrame, recent: DataFrame, track_data: DataFrame, cap: int = MAX_NEW_TRACKS
+    history: DataFrame,
+    recent: DataFrame,
+    track_data: DataFrame,
+    cap: int | None = None,
+    rejects: DataFrame | None = None,
 ) -> DataFrame:
-    """The next ``cap`` new URIs in URI order with ``track_id``, NULL where it is no track.
+    """New URIs of tracks with ``track_id``; with ``cap`` the first so many in URI order.
 
-    The cap counts rejected URIs too: it bounds one run, the rest follows in later runs.
+    URIs that are no track never count, nor do those whose lookup failed before
+    (``requested_uri`` of ``rejects``), so that capped runs get to every track in turn.
     """
-    batch = new_uris(history, recent, track_data).orderBy("uri").limit(cap)
-    return batch.withColumn("track_id", track_id(F.col("uri")))
+    found, _ = split_by_track_id(new_uris(history, recent, track_data))
+    if rejects is not None:
+        failed = rejects.select(F.coalesce("requested_uri", "uri").alias("uri"))
+        found = found.join(failed, "uri", "left_anti")
+    return found if cap is None else found.orderBy("uri").limit(cap)
 
 
 def track_rows(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -72,14 +79,18 @@ def artist_columns(df: DataFrame) -> int:
     return sum(bool(re.fullmatch(r"artist_\d+_name", c)) for c in df.columns)
 
 
-def artists_needed(existing: int = 0, cap: int = MAX_ARTISTS) -> Column:
-    """Aggregate: artist columns the rows ask for, at most ``cap``, at least ``existing``."""
-    widest = F.coalesce(F.max(F.size("artists")), F.lit(0))
-    return F.greatest(F.least(widest, F.lit(cap)), F.lit(existing))
+def artists_needed(existing: int = 0) -> Column:
+    """Aggregate: artist columns that the rows ask for, at least ``existing``."""
+    return F.greatest(F.coalesce(F.max(F.size("artists")), F.lit(0)), F.lit(existing))
 
 
-def widen_artists(tracks: DataFrame, width: int = MAX_ARTISTS) -> DataFrame:
-    """Wide view of the stored array: ``artist_1_name`` … ``artist_<width>_uri``."""
+def widen_artists(tracks: DataFrame, width: int | None = None) -> DataFrame:
+    """Wide view of the stored array: ``artist_1_name`` … ``artist_<width>_uri``.
+
+    Without ``width`` one number is aggregated first, so that every artist has its columns.
+    """
+    if width is None:
+        width = tracks.agg(artists_needed()).first()[0]
     wide = [
         F.get("artists", F.lit(i))[part].alias(f"artist_{i + 1}_{part}")
         for part in ("name", "uri")

@@ -85,13 +85,19 @@ def tag_query(
 ) -> DataFrame:
     """Tracks of ``universe`` (spotify_track_uri) that satisfy a condition on tags.
 
-    ``names`` lists the tags used; ``where`` builds the condition from ``has(name)``, e.g.
+    ``names`` lists the tags used, in any case and order; one that ``tags`` lacks is an error,
+    and without any every track is in. ``where`` builds the condition from ``has(name)``, e.g.
     ``lambda has: has("chill") & ~has("rap")``. Untagged tracks take part, so a query of
     negative tags alone works. One aggregation of the mapping rows of these tags, one join.
     """
-    wanted = [n.lower() for n in names]
+    wanted = list(dict.fromkeys(n.lower() for n in names))
+    if not wanted:
+        return universe.select("spotify_track_uri").where(where(lambda _: F.lit(False)))
     column = {name: f"_tag{i}" for i, name in enumerate(wanted)}
     chosen = tag_lookup(tags.where(F.lower("tag").isin(*wanted)))
+    unknown = set(wanted) - {row.tag for row in chosen.select("tag").collect()}
+    if unknown:
+        raise ValueError(f"unknown tags: {', '.join(sorted(unknown))}")
     flags = (
         mapping.join(chosen, "tag_id")
         .groupBy("spotify_track_uri")

@@ -9,16 +9,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from earshot import schemas
-from earshot.operators.clean import (
-    drop_duplicate_rows,
-    non_null_counts,
-    normalize_columns,
-    trim_strings,
-)
+from earshot.operators.clean import drop_duplicate_rows, trim_strings
 from earshot.operators.enrich import track_rows, unique_tracks
 from earshot.session import scratch_path
 from earshot.sources import payloads
-from earshot.sources.history import exists, remove, scan_history
+from earshot.sources.history import RECORD, exists, record_columns, record_keys, remove, scan_records
 from earshot.sources.tables import read_or_empty, read_table, write_table
 
 
@@ -37,43 +32,39 @@ def ingest_history(
     table: str,
     if_exists: str = "append",
     clean: bool = True,
-    schema: str | None = schemas.HISTORY,
     dedupe_existing: bool = False,
 ) -> IngestCounts | None:
     """Load a folder of history files into ``raw_extended_history``; None without files.
 
-    The JSON is parsed once: rows are staged as Parquet in the shared scratch folder while
-    an observation counts them and the values of each column, which tells the empty columns
-    without another pass. Cleaning then reads the columnar copy.
+    Every key of every record becomes a column, also keys that no schema declares; with ``clean``
+    names are normalised, empty columns and copies of rows go, and texts are trimmed. The JSON is
+    parsed once: records are staged as Parquet in the shared scratch folder, whose keys are then
+    counted on the columnar copy. The copy is removed also when the load fails.
 
     Loading a folder twice stores its rows twice, as copies are dropped within one run
     only. ``dedupe_existing`` also leaves out rows the table already holds.
     """
-    raw = scan_history(spark, folder, schema)
-    if raw is None:
+    records = scan_records(spark, folder)
+    if records is None:
         return None
-    named = normalize_columns(raw) if clean else raw
-    seen, written = Observation(), Observation()
     staged = scratch_path(spark, "history")
-    named.observe(seen, F.count(F.lit(1)).alias("_rows"), *non_null_counts(named)).write.parquet(
-        staged
-    )
-    filled = dict(seen.get)
-    read = filled.pop("_rows")
-    if not read:
-        return IngestCounts(0, 0, [])
-
-    rows = spark.read.schema(named.schema).parquet(staged)
-    if clean:
-        rows = rows.select(*[f"`{c}`" for c in rows.columns if filled[c]])
-        rows = drop_duplicate_rows(trim_strings(rows))
-    if dedupe_existing and exists(spark, table):
-        rows = _not_in(rows, read_table(spark, table))
-    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    write_table(counted, table, if_exists)
-    counts = IngestCounts(read, written.get["rows"], rows.columns)
-    remove(spark, staged)
-    return counts
+    try:
+        read_rows, written = Observation(), Observation()
+        records.observe(read_rows, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+        read = read_rows.get["rows"]
+        stored = spark.read.schema(f"record {RECORD}").parquet(staged)
+        keys = record_keys(stored)
+        if not read or not keys:
+            return IngestCounts(read, 0, [])
+        rows = record_columns(stored, [k for k, n in keys.items() if n or not clean], clean)
+        if clean:
+            rows = drop_duplicate_rows(trim_strings(rows))
+        if dedupe_existing and exists(spark, table):
+            rows = _not_in(rows, read_table(spark, table))
+        write_table(rows.observe(written, F.count(F.lit(1)).alias("rows")), table, if_exists)
+        return IngestCounts(read, written.get["rows"], rows.columns)
+    finally:
+        remove(spark, staged)
 
 
 def _not_in(rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -121,18 +112,38 @@ def ingest_recent(
     tz: str = schemas.HOME_TIMEZONE,
     call_made: datetime | None = None,
 ) -> None:
-    """Load landed recently-played pages: one audit row per page, distinct plays."""
-    pages = payloads.read_pages(spark, folder, schemas.RECENT_PAGE)
-    write_table(payloads.call_rows(pages, call_made, tz), calls_table)
-    write_table(new_recent_rows(spark, payloads.recent_rows(pages, tz), recent_table), recent_table)
+    """Load landed recently-played pages: one audit row per page, distinct plays.
+
+    Pages are told apart by file and content, and ``calls_table`` records them; a page it holds
+    is neither audited nor loaded again. ``call_made`` is when the page's file was written,
+    unless given.
+    """
+    pages = payloads.read_pages(spark, folder, schemas.RECENT_PAGE, located=True)
+    if exists(spark, calls_table):
+        loaded = read_or_empty(spark, calls_table, schemas.RECENT_CALLS).select("page").where("page IS NOT NULL")
+        pages = pages.join(loaded, "page", "left_anti")
+    staged = scratch_path(spark, "pages")
+    try:
+        pages.write.parquet(staged)
+        fresh = spark.read.schema(pages.schema).parquet(staged)
+        rows = payloads.recent_rows(fresh, tz)
+        write_table(new_recent_rows(spark, rows, recent_table), recent_table)
+        # Last, so that a load that broke off is done again; its plays are then known already.
+        write_table(payloads.call_rows(fresh, call_made, tz), calls_table)
+    finally:
+        remove(spark, staged)
 
 
 def ingest_tracks(spark: SparkSession, folder: str, table: str, rejects: str) -> None:
     """Add landed track payloads to ``track_data``; tracks it already holds stay as they are.
 
-    Artists stay one array column, so a track with more artists changes no schema.
+    Artists stay one array column, so a track with more artists changes no schema. Rejected
+    payloads are stored once each, however often the folder is loaded.
     """
     rows, bad = track_rows(payloads.scan_tracks(spark, folder))
     known = read_or_empty(spark, table, schemas.TRACK_DATA).select("source_uri")
     write_table(unique_tracks(rows).join(known, "source_uri", "left_anti"), table)
-    write_table(bad, rejects)
+    fresh = bad.dropDuplicates()
+    if exists(spark, rejects):
+        fresh = fresh.subtract(read_or_empty(spark, rejects, schemas.TRACK_PAYLOAD))
+    write_table(fresh, rejects)

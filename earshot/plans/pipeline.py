@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from earshot import schemas
 from earshot.operators.tags import TagSync, sync_tags
-from earshot.plans.plays import build_plays, plays_summary, with_play_id
+from earshot.plans.plays import build_plays, plays_summary
 from earshot.plans.stats import track_stats
 from earshot.sources import payloads
 from earshot.sources.tables import (
@@ -16,7 +16,7 @@ from earshot.sources.tables import (
     TRACK_DATA_RULES,
     check_constraints,
     overwrite,
-    read_or_empty,
+    read_required,
     write_plays,
     write_stats,
 )
@@ -35,32 +35,35 @@ class Tables:
 def rebuild_plays(
     spark: SparkSession, tables: Tables, limits: schemas.Thresholds = schemas.Thresholds()
 ) -> DataFrame:
-    """Rebuild ``plays`` from the raw tables; returns the summary by source and quality."""
-    history = read_or_empty(spark, tables.path("raw_extended_history"), schemas.HISTORY)
-    recent = read_or_empty(spark, tables.path("raw_recently_played"), schemas.RECENT)
-    tracks = read_or_empty(spark, tables.path("track_data"), schemas.TRACK_DATA)
+    """Rebuild ``plays`` from the raw tables; returns the summary by source and quality.
+
+    All three must be there: a missing one is an error, and ``plays`` stays as it was.
+    """
+    history = read_required(spark, tables.path("raw_extended_history"), schemas.HISTORY)
+    recent = read_required(spark, tables.path("raw_recently_played"), schemas.RECENT)
+    tracks = read_required(spark, tables.path("track_data"), schemas.TRACK_DATA)
     check_constraints(tracks, **TRACK_DATA_RULES)
     path = tables.path("plays")
-    write_plays(with_play_id(build_plays(history, recent, tracks, limits)), path)
-    return plays_summary(read_or_empty(spark, path, schemas.PLAYS))
+    write_plays(build_plays(history, recent, tracks, limits), path)
+    return plays_summary(read_required(spark, path, schemas.PLAYS))
 
 
 def rebuild_track_stats(
     spark: SparkSession, tables: Tables, as_of: Column | None = None
 ) -> DataFrame:
     """Rebuild ``track_stats`` from ``plays``; returns the table."""
-    tracks = read_or_empty(spark, tables.path("track_data"), schemas.TRACK_DATA)
-    plays = read_or_empty(spark, tables.path("plays"), schemas.PLAYS)
+    tracks = read_required(spark, tables.path("track_data"), schemas.TRACK_DATA)
+    plays = read_required(spark, tables.path("plays"), schemas.PLAYS)
     path = tables.path("track_stats")
     write_stats(track_stats(plays, tracks, as_of), path)
-    return read_or_empty(spark, path, schemas.TRACK_STATS)
+    return read_required(spark, path, schemas.TRACK_STATS)
 
 
 def rebuild_tag_mapping(
     spark: SparkSession, tables: Tables, playlist_pages: str, item_pages: str
 ) -> TagSync:
     """Replace ``tag_mapping`` by what the landed playlist pages say, be it nothing."""
-    tags = read_or_empty(spark, tables.path("tags"), schemas.TAG_TABLE)
+    tags = read_required(spark, tables.path("tags"), schemas.TAG_TABLE)
     result = sync_tags(
         tags,
         payloads.scan_playlists(spark, playlist_pages),

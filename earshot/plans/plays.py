@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions import quality as Q
 from earshot.functions.text import present
+from earshot.functions.times import instant as to_instant
 from earshot.functions.times import local_time
 from earshot.operators.overlap import without_overlap
 from earshot.operators.timeline import gap_to_next
@@ -40,7 +41,7 @@ def credible(history: DataFrame) -> DataFrame:
 
 def unparsed_history(history: DataFrame) -> DataFrame:
     """Credible history rows whose ``ts`` is no time: the quarantine of ``on_bad="skip"``."""
-    return credible(history).where(F.try_to_timestamp("ts").isNull())
+    return credible(history).where(to_instant(F.col("ts")).isNull())
 
 
 def history_events(
@@ -51,7 +52,7 @@ def history_events(
     An unusable ``ts`` fails the job, as a NOT NULL column would; ``on_bad="skip"`` leaves
     such rows out, ``unparsed_history`` has them.
     """
-    instant = F.try_to_timestamp("ts")
+    instant = to_instant(F.col("ts"))
     rows = credible(history)
     if on_bad == "skip":
         rows = rows.where(instant.isNotNull())
@@ -151,11 +152,6 @@ def build_plays(
     return from_history.unionByName(dedup_recent(from_recent, events, limits.overlap_seconds))
 
 
-def with_play_id(plays: DataFrame) -> DataFrame:
-    """Surrogate key: unique within one build, no meaning beyond it, needs no shuffle."""
-    return plays.select(F.monotonically_increasing_id().alias("play_id"), *PLAY_COLUMNS)
-
-
 def plays_summary(plays: DataFrame) -> DataFrame:
     """Plays by source and quality; no quality is a group of its own."""
     return (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions import quality as Q
-from earshot.functions.text import clip, present
+from earshot.functions.text import shown, present
 from earshot.functions.times import month_of
 from earshot.schemas import (
     FULL_LISTEN,
@@ -179,8 +179,8 @@ def top_played(stats: DataFrame, rows: int = REPORT_ROWS) -> DataFrame:
         .limit(rows)
         .select(
             URI,
-            clip(F.col("track_name"), 38).alias("track_name"),
-            clip(F.col("artist_name"), 23).alias("artist_name"),
+            shown(F.col("track_name")).alias("track_name"),
+            shown(F.col("artist_name")).alias("artist_name"),
             "play_count",
             "full_listen_count",
             "skip_count",
@@ -200,8 +200,8 @@ def most_skipped(
         .limit(rows)
         .select(
             URI,
-            clip(F.col("track_name"), 38).alias("track_name"),
-            clip(F.col("artist_name"), 23).alias("artist_name"),
+            shown(F.col("track_name")).alias("track_name"),
+            shown(F.col("artist_name")).alias("artist_name"),
             "play_count",
             "skip_count",
             "skip_rate",

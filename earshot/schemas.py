@@ -19,8 +19,6 @@ STOP_REASONS = (
     "remote",
     "trackerror",
 )
-MAX_ARTISTS = 10
-MAX_NEW_TRACKS = 500
 MIN_PLAYS_FOR_SKIP_REPORT = 5
 REPORT_ROWS = 10
 AXES = ("Energy", "Mood", "Genre", "Context", "Production", "Language", "Period", "General")
@@ -37,7 +35,7 @@ class Thresholds:
     overlap_seconds: int = 60
 
 
-# Columns of an export file. Files may carry more: scan with schema=None to keep those too.
+# Columns that an export file declares, with their types. Files may carry more.
 HISTORY = """
     ts string, username string, platform string, ms_played bigint, conn_country string,
     ip_addr string, ip_addr_decrypted string, user_agent_decrypted string,
@@ -55,7 +53,7 @@ RECENT_PAGE = """
     items array<struct<played_at:string,track:struct<name:string,uri:string>>>
 """
 RECENT = "track_name string, played_at timestamp_ntz, spotify_track_uri string"
-RECENT_CALLS = "before_ts bigint, after_ts bigint, call_made timestamp_ntz"
+RECENT_CALLS = "before_ts bigint, after_ts bigint, call_made timestamp_ntz, page string"
 
 TRACK_PAYLOAD = """
     uri string, name string, duration_ms bigint, is_playable boolean, popularity int,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,11 +43,7 @@ def build(app: str = "earshot", master: str | None = None, **conf: str) -> Spark
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is only taken in local mode, where no other machine reads it.
+    Where that is unset, below the warehouse, which all executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/earshot/{name}-{uuid.uuid4().hex}"

@@ -8,12 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot import schemas
+from earshot.functions.times import instant as to_instant
 from earshot.functions.times import local_time
 
 
-def read_pages(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Landed pages, one JSON document per line. Malformed pages fail the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(folder)
+def read_pages(spark: SparkSession, folder: str, schema: str, located: bool = False) -> DataFrame:
+    """Landed pages, one JSON document per line. Malformed pages fail the job.
+
+    ``located`` adds ``page``, the file and a hash of the page's content, and ``landed``, when the
+    file was written.
+    """
+    pages = spark.read.schema(schema).option("mode", "FAILFAST").json(folder)
+    if not located:
+        return pages
+    content = F.xxhash64(F.to_json(F.struct(*pages.columns)))
+    return pages.select(
+        "*",
+        F.concat_ws("#", F.col("_metadata.file_path"), content.cast("string")).alias("page"),
+        F.col("_metadata.file_modification_time").alias("landed"),
+    )
 
 
 def recent_rows(pages: DataFrame, tz: str = schemas.HOME_TIMEZONE) -> DataFrame:
@@ -27,7 +40,7 @@ def recent_rows(pages: DataFrame, tz: str = schemas.HOME_TIMEZONE) -> DataFrame:
 def recent_items(pages: DataFrame) -> DataFrame:
     """One row per play with its instant ``played_at_utc``; fails on an unusable time."""
     item = pages.select(F.explode("items").alias("item"))
-    instant = F.try_to_timestamp(F.col("item.played_at"))
+    instant = to_instant(F.col("item.played_at"))
     shown = F.coalesce(F.col("item.played_at"), F.lit("(none)"))
     return item.select(
         F.coalesce("item.track.name", F.lit("")).alias("track_name"),
@@ -53,7 +66,7 @@ def call_rows(
 ) -> DataFrame:
     """One audit row per page, also for a page without items. Missing cursors are 0."""
     if call_made is None:
-        made = local_time(F.current_timestamp(), tz)
+        made = local_time(F.col("landed") if "landed" in pages.columns else F.current_timestamp(), tz)
     else:
         made = F.lit(call_made.isoformat(sep=" ")).cast("timestamp_ntz")
 
@@ -64,6 +77,7 @@ def call_rows(
         cursor("before").alias("before_ts"),
         cursor("after").alias("after_ts"),
         made.alias("call_made"),
+        (F.col("page") if "page" in pages.columns else F.lit(None).cast("string")).alias("page"),
     )
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.schemas import PLAY_COLUMNS
 from earshot.sources.history import exists, hadoop_path
 
-WRITE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
+WRITE_MODES = {"fail": "errorifexists", "append": "append"}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -27,8 +27,36 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def read_required(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table that must be there, put back in place if a swap broke off."""
+    recover(spark, path)
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.schema(schema).parquet(path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Where a swap ended between its two renames, return the table it had set aside."""
+    fs, target = hadoop_path(spark, path)
+    if fs.exists(target) or not fs.exists(target.getParent()):
+        return
+    aside = [
+        status
+        for status in fs.listStatus(target.getParent())
+        if status.getPath().getName().startswith(f"{target.getName()}.retired-")
+    ]
+    if aside:
+        latest = max(aside, key=lambda status: status.getModificationTime())
+        if not fs.rename(latest.getPath(), target):
+            raise OSError(f"could not return {latest.getPath()} to {path}")
+
+
 def write_table(df: DataFrame, path: str, if_exists: str = "append") -> None:
-    df.write.mode(WRITE_MODES[if_exists]).parquet(path)
+    """Append to a table, replace it by a staged copy, or fail if it is there."""
+    if if_exists == "replace":
+        overwrite(df, path)
+    else:
+        df.write.mode(WRITE_MODES[if_exists]).parquet(path)
 
 
 def overwrite(
@@ -46,6 +74,7 @@ def overwrite(
     the key rule aggregates the key columns of the written copy.
     """
     spark = df.sparkSession
+    recover(spark, path)
     fs, target = hadoop_path(spark, path)
     token = uuid.uuid4().hex
     staged_path, retired_path = f"{path}.staged-{token}", f"{path}.retired-{token}"
@@ -84,7 +113,13 @@ def write_plays(df: DataFrame, path: str) -> None:
     laid_out = df.hint("rebalance", "source").sortWithinPartitions(
         "source", "spotify_track_uri", "played_at"
     )
-    overwrite(laid_out, path, ["source"], **PLAYS_RULES)
+    # Numbered by the tasks that write, so that a repeated one hands out its own numbers again.
+    overwrite(with_play_id(laid_out), path, ["source"], **PLAYS_RULES)
+
+
+def with_play_id(plays: DataFrame) -> DataFrame:
+    """Surrogate key: unique within one build, no meaning beyond it, needs no shuffle."""
+    return plays.select(F.monotonically_increasing_id().alias("play_id"), *PLAY_COLUMNS)
 
 
 def write_stats(df: DataFrame, path: str) -> None:
@@ -108,26 +143,24 @@ def constraint_violations(
 ) -> DataFrame:
     """One row ``(rule, violations)`` per declared rule; duplicates count surplus rows.
 
-    Column rules take one pass with partial aggregation, the key rule one aggregation by key.
+    One pass over ``df``: with a key, rows fold by it, and the counts of the column rules ride along.
     """
-    parts = []
     rules = _column_rules(not_null, max_length)
-    if rules:
-        checked = df.agg(*[rule.alias(f"r{i}") for i, rule in enumerate(rules.values())])
-        pairs = [
-            F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations"))
-            for i, name in enumerate(rules)
-        ]
-        parts.append(checked.select(F.inline(F.array(*pairs))))
+    names = {f"r{i}": name for i, name in enumerate(rules)}
+    counts = [rule.alias(column) for column, rule in zip(names, rules.values(), strict=True)]
+    found = df
     if key:
-        surplus = df.groupBy(*key).agg((F.count("*") - 1).alias("n"))
-        total = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")
-        parts.append(
-            surplus.agg(total.alias("violations")).select(
-                F.lit(f"unique ({', '.join(key)})").alias("rule"), "violations"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        names["surplus"] = f"unique ({', '.join(key)})"
+        folded = df.groupBy(*key).agg((F.count("*") - 1).alias("surplus"), *counts)
+        counts = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names]
+        found = folded
+    if not counts:
+        raise ValueError("no rule given")
+    pairs = [
+        F.struct(F.lit(name).alias("rule"), F.col(column).alias("violations"))
+        for column, name in names.items()
+    ]
+    return found.agg(*counts).select(F.inline(F.array(*pairs)))
 
 
 def check_constraints(df: DataFrame, **rules) -> None:
@@ -144,7 +177,8 @@ def _raise_broken(violations: dict[str, int]) -> None:
 
 # Rules of the stored tables, as arguments for the functions above.
 PLAYS_RULES = {
-    "not_null": ["spotify_track_uri", "played_at", "source"],
+    "not_null": ["play_id", "spotify_track_uri", "played_at", "source"],
+    "key": ["play_id"],
     "max_length": {"spotify_track_uri": 100, "play_quality": 20, "source": 20},
 }
 TRACK_STATS_RULES = {

@@ -17,7 +17,7 @@ SHOWN = "'%Y-%m-%d %H:%M:%S'"
 
 EVENTS = """
 ev AS (
-  SELECT *, CAST(k * 7 + user_id % 50 AS VARCHAR) AS n FROM (
+  SELECT *, CAST(k * 7 + user_id * 13 AS VARCHAR) AS n FROM (
     SELECT event_id, user_id, event_type, value,
            CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k,
            date_trunc('second', ts) + to_days(CAST(user_id % 3 * 30 AS INTEGER)) AS second
@@ -279,7 +279,7 @@ found AS (
 WIDE = ", ".join(
     f"CASE WHEN n_artists >= {i} THEN p_brand || '-{i}' END AS artist_{i}_name, "
     f"CASE WHEN n_artists >= {i} THEN 'artist:{i}' END AS artist_{i}_uri"
-    for i in range(1, 11)
+    for i in range(1, 13)
 )
 
 TRACK_ROWS = f"""{_with(TRACKS)}
@@ -342,10 +342,14 @@ GROUP BY ALL ORDER BY source, play_quality NULLS FIRST""",
     "plays_constraints": f"{FOR_PLAYS} "
     + _violations(
         "plays",
-        _rules(
-            ["spotify_track_uri", "played_at", "source"],
-            {"spotify_track_uri": 100, "play_quality": 20, "source": 20},
-        ),
+        {
+            **_rules(
+                ["spotify_track_uri", "played_at", "source"],
+                {"spotify_track_uri": 100, "play_quality": 20, "source": 20},
+            ),
+            "play_id not null": "count(*) - count(*)",
+            "unique (play_id)": "count(*) - count(*)",
+        },
     ),
     "recent_distinct": f"""{_with(EVENTS)} SELECT DISTINCT track_name,
        strftime(played_at, {SHOWN}) AS played_at, spotify_track_uri FROM raw_recent""",
@@ -386,16 +390,16 @@ SELECT count(*) AS unique_tracks, CAST(sum(play_count) AS BIGINT) AS total_plays
        ((2 * sum(c) + count(c)) // (2 * count(c))) / 10000.0 AS avg_completion_rate
 FROM units""",
     "top_played": f"""{FOR_STATS}
-SELECT spotify_track_uri, coalesce(track_name, '')[:38] AS track_name,
-       coalesce(artist_name, '')[:23] AS artist_name, play_count, full_listen_count, skip_count,
+SELECT spotify_track_uri, coalesce(track_name, '') AS track_name,
+       coalesce(artist_name, '') AS artist_name, play_count, full_listen_count, skip_count,
        ((CAST(round(completion_rate * 10000) AS BIGINT) + 5) // 10) / 1000.0 AS completion_rate
 FROM stats ORDER BY play_count DESC, spotify_track_uri LIMIT 10""",
     "most_skipped": f"""{FOR_STATS}, shown AS (
   SELECT * EXCLUDE (skip_rate),
          ((CAST(round(skip_rate * 10000) AS BIGINT) + 5) // 10) / 1000.0 AS skip_rate
   FROM stats WHERE play_count >= 5)
-SELECT spotify_track_uri, coalesce(track_name, '')[:38] AS track_name,
-       coalesce(artist_name, '')[:23] AS artist_name, play_count, skip_count, skip_rate
+SELECT spotify_track_uri, coalesce(track_name, '') AS track_name,
+       coalesce(artist_name, '') AS artist_name, play_count, skip_count, skip_rate
 FROM shown ORDER BY skip_rate DESC NULLS LAST, skip_count DESC, spotify_track_uri LIMIT 10""",
     "by_hour_dow": f"""{FOR_PLAYS}, slots AS (
   SELECT isodow(played_at) - 1 AS weekday, hour(played_at) AS hour, count(*) AS play_count,
@@ -432,7 +436,9 @@ FROM scored""",
     "new_uris": f"""{_with(EVENTS, TRACKS, URIS)} SELECT uri FROM uris
 WHERE uri NOT IN (SELECT source_uri FROM payload)""",
     "uris_to_enrich": f"""{_with(EVENTS, TRACKS, URIS)} SELECT uri, track_id FROM found
-WHERE uri NOT IN (SELECT source_uri FROM payload) ORDER BY uri LIMIT 500""",
+WHERE uri NOT IN (SELECT source_uri FROM payload) AND track_id IS NOT NULL""",
+    "uris_to_enrich_capped": f"""{_with(EVENTS, TRACKS, URIS)} SELECT uri, track_id FROM found
+WHERE uri NOT IN (SELECT source_uri FROM payload) AND track_id IS NOT NULL""",
     "track_id_extract": f"""{_with(EVENTS, URIS)} SELECT uri, track_id FROM found
 WHERE track_id IS NOT NULL""",
     "track_id_rejects": f"{_with(EVENTS, URIS)} SELECT uri FROM found WHERE track_id IS NULL",
@@ -441,7 +447,7 @@ WHERE track_id IS NOT NULL""",
 FROM payload WHERE duration_ms IS NULL""",
     "artists_widen": f"{_with(TRACKS)} SELECT source_uri, {WIDE} FROM payload",
     "artists_needed": f"""{_with(TRACKS)} SELECT max(n_artists) AS widest,
-       least(max(n_artists), 10) AS columns FROM payload""",
+       max(n_artists) AS columns FROM payload""",
     "unique_tracks": f"""{_with(TRACKS)} SELECT source_uri, track_name,
        CAST(duration_ms AS BIGINT) AS duration_ms FROM payload""",
     "sync_tags": MAPPING,
@@ -455,6 +461,7 @@ WHERE tag NOT IN (SELECT tag FROM named) ORDER BY tag""",
     "tag_query_not": _tag_query(f"NOT {_having('red')} AND NOT {_having('ring')}"),
     "tag_query_and": _tag_query(f"{_having('blue')} AND {_having('widget')}"),
     "tag_query_or": _tag_query(f"{_having('blue')} OR {_having('standard')}"),
+    "tag_query_repeated": _tag_query(_having("blue")),
     "tag_query_mixed": _tag_query(
         f"({_having('small')} OR {_having('large')}) AND {_having('gear')}"
         f" AND NOT {_having('standard')}"
@@ -480,6 +487,16 @@ HAVING count(*) > 1""",
   SELECT event_id // 40 - 1 FROM events WHERE event_id % 40 < 10)
 SELECT page AS before_ts, CASE WHEN page % 2 = 0 THEN page + 1 ELSE 0 END AS after_ts
 FROM pages""",
+    "stored_calls": """WITH pages AS (
+  SELECT event_id // 40 AS page FROM events UNION
+  SELECT event_id // 40 - 1 FROM events WHERE event_id % 40 < 10)
+SELECT page AS before_ts, CASE WHEN page % 2 = 0 THEN page + 1 ELSE 0 END AS after_ts
+FROM pages""",
+    "stored_rejects": f"""{_with(TRACKS)} SELECT source_uri AS uri, p_name AS name
+FROM payload WHERE duration_ms IS NULL""",
+    "ingest_history_ragged": f"""{_with(EVENTS)} SELECT DISTINCT {DEVICE}, platform,
+       CASE WHEN event_id % 2 = 0 THEN 'x' || CAST(event_id % 3 AS VARCHAR) END AS extra_col
+FROM history""",
     "ingest_track_payloads": TRACK_ROWS,
     "sync_tags_pages": MAPPING,
     "pipeline_track_stats": TRACK_STATS,

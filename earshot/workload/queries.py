@@ -21,12 +21,13 @@ from earshot.plans import reports as R
 from earshot.plans import stats as S
 from earshot.session import configure, scratch_path
 from earshot.sources import payloads
-from earshot.sources.history import scan_history
+from earshot.sources.history import hadoop_path, scan_history
 from earshot.sources.tables import (
     PLAYS_RULES,
     TRACK_STATS_RULES,
     constraint_violations,
     read_table,
+    write_plays,
 )
 from earshot.streaming import classify as SC
 from earshot.streaming import recent as SR
@@ -139,16 +140,20 @@ def plays_summary(spark, sf):
 
 @query
 def play_ids(spark, sf):
-    """The surrogate key: as many distinct values as plays."""
-    keyed = P.with_play_id(_plays(spark, sf))
-    return keyed.agg(
+    """The surrogate key of the stored table: as many distinct values as plays."""
+    path = scratch_path(spark, "plays")
+    write_plays(_plays(spark, sf), path)
+    return spark.read.parquet(path).agg(
         F.count("*").alias("n"), F.count_distinct("play_id").alias("n_ids")
     )
 
 
 @query
 def plays_constraints(spark, sf):
-    return constraint_violations(_plays(spark, sf), **PLAYS_RULES)
+    """The rules of the stored table, its surrogate key among them."""
+    path = scratch_path(spark, "plays")
+    write_plays(_plays(spark, sf), path)
+    return constraint_violations(spark.read.parquet(path), **PLAYS_RULES)
 
 
 @query
@@ -257,10 +262,26 @@ def new_uris(spark, sf):
 
 @query
 def uris_to_enrich(spark, sf):
-    """The capped batch of one enrichment run, recognised and rejected URIs together."""
     return E.uris_to_enrich(V.history(spark, sf), V.recent(spark, sf), V.track_data(spark, sf))
 
 
+@query
+def uris_to_enrich_capped(spark, sf):
+    """Capped runs, each storing what it fetched, until nothing is left; all they fetched."""
+    history, recent = V.history(spark, sf), V.recent(spark, sf)
+    known = V.track_data(spark, sf).select("source_uri")
+    stored = scratch_path(spark, "fetched")
+    everything = E.uris_to_enrich(history, recent, known)
+    cap = max(1, -(-everything.count() // 3))
+    for _ in range(3):
+        E.uris_to_enrich(history, recent, known, cap).write.mode("append").parquet(stored)
+        fetched = spark.read.parquet(stored)
+        known = V.track_data(spark, sf).select("source_uri").unionByName(
+            fetched.select(F.col("uri").alias("source_uri"))
+        )
+    return fetched
+
+
 @query
 def track_id_extract(spark, sf):
     return E.split_by_track_id(E.known_uris(V.history(spark, sf), V.recent(spark, sf)))[0]
@@ -354,6 +375,12 @@ def tag_query_or(spark, sf):
     return _select(spark, sf, any_of=("blue", "standard"))
 
 
+@query
+def tag_query_repeated(spark, sf):
+    """A tag in two places, in another case too."""
+    return _select(spark, sf, all_of=("blue",), any_of=("BLUE", "standard"))
+
+
 @query
 def tag_query_mixed(spark, sf):
     """(small OR large) AND gear AND NOT standard, as a condition."""
@@ -427,6 +454,46 @@ def ingest_history_files(spark, sf):
     return read_table(spark, stored)
 
 
+@query
+def ingest_history_ragged(spark, sf):
+    """Files of both shapes, with padded and capitalised headers and an undeclared column."""
+    folder, stored = scratch_path(spark, "files"), scratch_path(spark, "table")
+    rows = V.history(spark, sf).select(
+        "event_id",
+        F.struct(
+            F.col("ts").alias(" TS "),
+            F.col("ms_played").alias("Ms Played"),
+            "spotify_track_uri",
+            F.col("reason_start").alias("reason_start "),
+            F.col("reason_end").alias(" Reason End "),
+            "platform",
+            F.concat(F.lit("x"), (F.col("event_id") % 3).cast("string")).alias("Extra Col"),
+        ).alias("odd"),
+        F.struct("ts", "ms_played", "spotify_track_uri", "reason_start", "reason_end", "platform").alias("plain"),
+    )
+    lines = rows.where("event_id % 2 = 1").select(F.to_json("plain").alias("value"))
+    arrays = (
+        rows.where("event_id % 2 = 0")
+        .groupBy((F.col("event_id") % 400).alias("part"))
+        .agg(F.to_json(F.collect_list("odd")).alias("value"))
+    )
+    lines.write.text(f"{folder}/lines")
+    arrays.write.partitionBy("part").text(f"{folder}/arrays")  # one array a file
+    fs, target = hadoop_path(spark, f"{folder}/in")
+    fs.mkdirs(target)
+    _, written = hadoop_path(spark, folder)
+    found = fs.listFiles(written, True)
+    moves = []
+    while found.hasNext():
+        path = found.next().getPath()
+        if path.getName().endswith(".txt"):
+            moves.append(path)
+    for number, path in enumerate(moves):
+        fs.rename(path, hadoop_path(spark, f"{folder}/in/{number}.json")[1])
+    ingest.ingest_history(spark, f"{folder}/in", stored)
+    return read_table(spark, stored)
+
+
 @query
 def scan_history_files(spark, sf):
     """The same files, scanned without cleaning: copies stay."""
@@ -459,6 +526,27 @@ def recent_calls(spark, sf):
     return payloads.call_rows(pages).select("before_ts", "after_ts")
 
 
+@query
+def stored_calls(spark, sf):
+    """The audit table after the same pages were loaded twice."""
+    folder = _land_pages(spark, sf)
+    stored, calls = scratch_path(spark, "table"), scratch_path(spark, "calls")
+    for _ in range(2):
+        ingest.ingest_recent(spark, folder, stored, calls)
+    return read_table(spark, calls).select("before_ts", "after_ts")
+
+
+@query
+def stored_rejects(spark, sf):
+    """The rejected payloads after the same files were loaded twice."""
+    folder = scratch_path(spark, "payloads")
+    stored, rejects = scratch_path(spark, "table"), scratch_path(spark, "rejects")
+    V.track_payloads(spark, sf).write.json(folder)
+    for _ in range(2):
+        ingest.ingest_tracks(spark, folder, stored, rejects)
+    return read_table(spark, rejects).select("uri", "name")
+
+
 @query
 def ingest_track_payloads(spark, sf):
     folder = scratch_path(spark, "payloads")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from earshot.operators.timeline import gap_to_next
 from earshot.plans import plays as P
+from earshot.sources.tables import with_play_id
 from earshot.plans import stats as S
 
 key = lambda r: tuple((v is not None, str(v)) for v in r)
@@ -55,7 +56,7 @@ def test_build_plays(spark):
 
 
 def test_play_ids_are_unique(spark):
-    keyed = P.with_play_id(all_plays(spark))
+    keyed = with_play_id(all_plays(spark))
     assert keyed.select("play_id").distinct().count() == keyed.count() == 26
 
 

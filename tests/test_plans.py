@@ -5,14 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from earshot.workload.queries import REGISTRY
 from earshot import schemas
 from earshot.plans import plays as P
 from earshot.plans import stats as S
 
 SF = "/root/testdata/sf0.001"
 WRITING = re.compile("ingest|pages|files|stream|pipeline|recent_calls")
-BATCH = [name for name in queries() if not WRITING.search(name)]
+BATCH = [name for name in REGISTRY if not WRITING.search(name)]
 
 
 @pytest.fixture
@@ -49,7 +49,7 @@ def formatted(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_batch_queries_stay_in_the_engine(spark, name):
-    plan = plan_of(queries()[name](spark, SF))
+    plan = plan_of(REGISTRY[name](spark, SF))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "EvalPython" not in plan and "InPandas" not in plan
@@ -103,5 +103,5 @@ def test_track_stats_shuffles_plays_once(spark, tables):
 
 
 def test_monthly_report_prunes_before_the_shuffle(spark):
-    plan = plan_of(queries()["monthly_most_played"](spark, SF))
+    plan = plan_of(REGISTRY["monthly_most_played"](spark, SF))
     assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -9,7 +9,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 from compare import compare, connect  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from earshot.workload.oracle import ORACLE  # noqa: E402
+from earshot.workload.queries import REGISTRY  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,14 +21,14 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_equals_sql(spark, db, name):
     good, text = compare(spark, db, name, SF)
     assert good, text
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(REGISTRY)
 
 
 def test_entry(spark):
