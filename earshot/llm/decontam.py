@@ -224,10 +224,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     least = F.lit(-(2**63))
     gone = found.select(F.coalesce("doc_id", least).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     gone = settle(gone, "contaminated")
-    keyed = docs.withColumns(
-        {
-            "_id": F.coalesce(F.col(id_col).cast("long"), least),
-            "_hash": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
-        }
+    keyed = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), least).alias("_id"),
+        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_hash"),
+        F.struct("*").alias("_doc"),
     )
-    return keyed.join(gone, ["_id", "_hash"], "left_anti").select(*docs.columns)
+    return keyed.join(gone, ["_id", "_hash"], "left_anti").select("_doc.*")

@@ -172,9 +172,13 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
     numbered = settle(rooted.select(F.coalesce("doc_id", last).alias("_id"), "row", "root"), "members")
     least = numbered.groupBy("root").agg(F.min("_id").alias("_id"))
     kept = settle(numbered.join(least, ["root", "_id"]).groupBy("root", "_id").agg(F.min("row").alias("_row")), "kept")
-    keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), last), "_row": _row(F.col(text_col).cast("string"))})
+    keyed = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), last).alias("_id"),
+        _row(F.col(text_col).cast("string")).alias("_row"),
+        F.struct("*").alias("_doc"),
+    )
     chosen = keyed.join(kept.select("_id", "_row"), ["_id", "_row"], "left_semi")
     n_rows = numbered.join(kept, (F.col("row") == F.col("_row")) & (numbered["_id"] == kept["_id"]), "left_semi").count()
     if n_rows > kept.count():  # whole rows repeat
         chosen = chosen.dropDuplicates(["_id", "_row"])
-    return chosen.select(*docs.columns)
+    return chosen.select("_doc.*")

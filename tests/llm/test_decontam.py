@@ -63,6 +63,7 @@ def test_decontaminate_keeps_clean_rows(spark):
     clean = decontaminate(docs, benchmark)
     assert clean.columns == docs.columns
     assert clean.count() == docs.count() - 2
+    assert set(map(str, clean.collect())) <= set(map(str, docs.collect()))
     assert decontaminate(docs, benchmark.limit(0)).count() == docs.count()
     assert decontaminate(docs.limit(0), benchmark).count() == 0
     doubled = docs.unionByName(docs)
