@@ -31,11 +31,12 @@ def _log(cols: Sequence[str]) -> tuple[list[str], list[Column]]:
     return ["_log"], [F.struct(*[F.col(c) for c in cols]).alias("_log")]
 
 
-def _next_seconds(seconds: DataFrame, rows: DataFrame, log: list[str]) -> DataFrame:
+def _next_seconds(seconds: DataFrame, log: list[str]) -> DataFrame:
     """Add ``_next``: the next distinct second of the same log, or NULL."""
-    # One row per day, so this window stays small although it has no day in its key.
+    # One row per day, so this window stays small although it has no day in its key. Days fold
+    # from the seconds, not from the rows, which are read once less.
     days = (
-        rows.groupBy(*log, _day().alias("_day"))
+        seconds.groupBy(*log, _day().alias("_day"))
         .agg(F.min("_sec").alias("_first"))
         .withColumn("_next_first", F.lead("_first").over(Window.partitionBy(*log).orderBy("_day")))
         .drop("_first")
@@ -70,7 +71,7 @@ def gap_to_next(
 
     rows = df.select(*log_key, second, key.alias("_key")).where(F.col("_sec").isNotNull())
     last = rows.groupBy(*log, "_sec").agg(F.max("_key").alias("_last"))
-    axis = _next_seconds(last, rows, log)
+    axis = _next_seconds(last, log)
 
     gap = F.when(key.eqNullSafe(F.col("_last")), F.col("_next") - F.col("_sec")).when(
         F.col("_sec").isNotNull(), F.lit(0)
