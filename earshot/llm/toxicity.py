@@ -45,7 +45,7 @@ STOPS = frozenset(".!?;\n")
 STEM = (3, 7)
 #: Support a learnt word or stem needs in toxic texts, and its least log ratio; forms of a stem.
 MIN_SUPPORT, MIN_WEIGHT, MIN_FORMS = 5, 3.0, 5
-#: Rows of each label, at most, from which the last step's weights are fitted.
+#: Different texts of each label, at most, from which the last step's weights are fitted.
 FIT_ROWS = 20_000
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
@@ -258,9 +258,17 @@ def learn_lexicon(training: DataFrame, support: int = MIN_SUPPORT, least: float
 
 
 def _sample(training: DataFrame) -> DataFrame:
-    """At most FIT_ROWS rows of each label, those with the smallest hash of the text."""
-    kinds = [training.filter(F.col("label") == k).orderBy(F.xxhash64("text"), "text").limit(FIT_ROWS) for k in (0, 1)]
-    return kinds[0].unionByName(kinds[1])
+    """The rows of FIT_ROWS different texts of each label, those with the smallest hash of the text.
+
+    Only hashes are sorted; the texts stay spread over tasks, and of copies one is taken.
+    """
+    hashed = training.withColumn("hash", F.xxhash64("text"))
+    kinds = []
+    for label in (0, 1):
+        own = hashed.filter(F.col("label") == label)
+        last = own.select("hash").distinct().orderBy("hash").limit(FIT_ROWS).agg(F.max("hash")).first()[0]
+        kinds.append(own.filter(F.col("hash") <= F.lit(last)).dropDuplicates(["hash"]) if last is not None else own)
+    return kinds[0].unionByName(kinds[1]).drop("hash")
 
 
 SHAPE = "total double, most double, clauses int, words int"
@@ -352,7 +360,7 @@ def toxicity_scores(
     The lexicon is learnt from the labelled rows whose crc32(doc_id) modulo ``parts`` isn't
     ``held``, added to the seed words. Every clause with a lexical trigger passes the composed
     grammar; ``clauses`` counts them and ``most`` is the highest score. A logistic step, fitted on at
-    most FIT_ROWS training rows of each label (those with the smallest hash of the text), turns a
+    most FIT_ROWS different training texts of each label (those with the smallest hash), turns a
     text's clause scores and length into a chance. Id, label, language and source are no inputs.
 
     A null text is empty; repeated rows are each scored alike; null or other labels are no labels, of
