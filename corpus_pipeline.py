@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from earshot.llm.common import settle, table
 from earshot.llm.decontam import decontaminate
-from earshot.llm.pieces import decode, encode
+from earshot.llm.pieces import encode
 from earshot.llm.pii import sanitise
 from earshot.llm.simhash import keep_one_of_each
 from earshot.llm.toxicity import drop_toxic
@@ -34,7 +34,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of each text, and the text that they decode to."""
-    return decode(encode(docs))
+    return encode(docs, decoded=True)
 
 
 STAGES = [

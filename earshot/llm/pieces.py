@@ -1,10 +1,11 @@
 """SentencePiece encoding by a relational lattice of each distinct word, and decoding.
 
-A *unit* is a run of word marks (blanks) and what follows up to the next one. No piece reaches across
-units, so a text's pieces are those of its units one after the other. Each distinct unit of the
+A *unit* is a run of word marks (blanks) and what follows up to the next one; a *part* of it ends where
+no piece holds the next two characters side by side, say at a full stop. No piece reaches across
+parts, so a text's pieces are those of its parts one after the other. Each distinct part of the
 corpus is encoded once, in Spark: its bounded-length substrings are joined to the piece table, the
 edges grouped by unit, and a higher-order aggregate folds them into pieces. The results, as sorted
-hash arrays in the shared folder, are what the documents look their units up in.
+hash arrays in the shared folder, are what the documents look their parts up in.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -30,10 +32,10 @@ MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
-#: Longest unit, in characters, that passes the lattice; its boundaries are the bits of a long.
+#: Longest part, in characters, that passes the lattice; its boundaries are the bits of a long.
 LONGEST = 62
-#: Characters of text cut into units at a time, units a task gathers, units of a dictionary piece.
-SLAB, GATHER, PIECE = 1 << 20, 1 << 19, 1 << 17
+#: Characters of text cut into units at a time, units a task gathers, parts of a dictionary piece.
+SLAB, GATHER, PIECE = 1 << 20, 1 << 18, 1 << 17
 
 
 @dataclass(frozen=True)
@@ -47,11 +49,18 @@ class Model:
     octets: tuple[int, ...]
     unknown: int
     prefix: bool
+    #: Pairs of characters that stand side by side in some piece.
+    neighbours: frozenset[str]
 
     @property
     def longest(self) -> int:
         return max(map(len, self.ids))
 
+    def parts(self, unit: str) -> list[str]:
+        """A unit cut wherever no piece can hold the characters on both sides."""
+        cuts = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in self.neighbours]
+        return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True)]
+
 
 def load(path: str = MODEL) -> Model:
     """Read a model file; raises where its normalisation or pieces break the cut into units."""
@@ -76,7 +85,10 @@ def load(path: str = MODEL) -> Model:
     if not order:
         spelled[unknown] = " ⁇ ".encode()
     scores = {p: proto.pieces[i].score for p, i in usable.items()}
-    return Model(trainer.model_type, usable, scores, tuple(spelled), order, unknown, rules.add_dummy_prefix)
+    pairs = frozenset(p[i : i + 2] for p in usable for i in range(len(p) - 1))
+    if len(proto.pieces) >= NO_ID:
+        raise ValueError("ids must fit 20 bits")
+    return Model(trainer.model_type, usable, scores, tuple(spelled), order, unknown, rules.add_dummy_prefix, pairs)
 
 
 def units(text: str, prefix: bool = True) -> Iterator[str]:
@@ -94,6 +106,11 @@ def units(text: str, prefix: bool = True) -> Iterator[str]:
         start = end
 
 
+def plain(text: str, prefix: bool) -> bool:
+    """Whether the units of a text are its words between single blanks, each behind one mark."""
+    return prefix and text != "" and "  " not in text and MARK not in text and " " not in (text[0], text[-1])
+
+
 def spell(model: Model, symbol: str) -> list[int]:
     """Ids of a symbol: its piece, else the pieces of its bytes, else the unknown piece."""
     known = model.ids.get(symbol)
@@ -133,93 +150,127 @@ def merge_unit(model: Model, unit: str) -> list[int]:
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    """(piece, id, score), of the size of the model file."""
-    rows = pd.DataFrame({"piece": list(model.ids), "id": list(model.ids.values()), "score": list(model.scores.values())})
-    return spark.createDataFrame(rows, "piece string, id int, score double")
+    """(piece, score, code) of the size of the model file; a code is the rank of the score, then the id."""
+    ranks = {score: rank for rank, score in enumerate(sorted(set(model.scores.values()), reverse=True))}
+    rows = pd.DataFrame(
+        {
+            "piece": list(model.ids),
+            "score": list(model.scores.values()),
+            "code": [ranks[model.scores[p]] << 32 | i for p, i in model.ids.items()],
+        }
+    )
+    return spark.createDataFrame(rows, "piece string, score double, code long")
+
+
+#: A character without a piece, in the id's bits of an edge, and its rank.
+NO_ID, NO_RANK = (1 << 20) - 1, (1 << 30) - 1
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """(piece_no, word, edges) of distinct words: the pieces in them, by falling score and then start.
+    """(piece_no, word, start, end, piece, score, code): the pieces in distinct words, one row per edge.
 
-    A character without a piece has an edge with the ids of its bytes.
+    Substrings of up to the longest piece's length are joined to the piece table, which is of the model's
+    size and so is broadcast. A character without a piece stays, with nulls.
     """
     size = F.length("word")
-    starts = F.sequence(F.lit(0), size - 1)
-    cut = lambda s, n: F.substr(F.col("word"), s + 1, n)
     places = F.flatten(
         F.transform(
-            starts,
+            F.sequence(F.lit(0), size - 1),
             lambda s: F.transform(
                 F.sequence(F.lit(1), F.least(F.lit(model.longest), size - s)),
-                lambda n: F.struct(s.alias("start"), n.alias("size"), cut(s, n).alias("piece")),
+                lambda n: F.struct(
+                    s.alias("start"), (s + n).alias("end"), F.substr(F.col("word"), s + 1, n).alias("piece")
+                ),
             ),
         )
     )
-    octets = F.array(*map(F.lit, model.octets or [model.unknown]))
-    letters = F.hex(F.encode("piece", "UTF-8"))
-    spelled = F.transform(
-        F.sequence(F.lit(0), F.shiftright(F.length(letters), 1) - 1),
-        lambda i: F.get(octets, F.conv(F.substr(letters, 2 * i + 1, F.lit(2)), 16, 10).cast("int")),
-    )
-    fallback = spelled if model.octets else F.array(F.lit(model.unknown))
-    table = F.broadcast(piece_table(words.sparkSession, model))  # the model's pieces, whatever the corpus
-    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n)
-    end = F.col("start") + F.col("size")
-    lowest = min(model.scores.values()) - 10
-    edge = F.struct(
-        (-F.coalesce("score", F.lit(lowest))).alias("cost"),
-        F.col("start"),
-        end.alias("end"),
-        bit(F.col("start")).bitwiseOR(bit(end)).alias("ends"),
-        (bit(end) - bit(F.col("start") + 1)).alias("inner"),
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(fallback).alias("ids"),
-    )
     return (
         words.select("piece_no", "word", F.explode(places).alias("place"))
         .select("piece_no", "word", "place.*")
-        .join(table, "piece", "left")
-        .filter(F.col("id").isNotNull() | (F.col("size") == 1))
-        .groupBy("piece_no", "word")
-        .agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+        .join(F.broadcast(piece_table(words.sparkSession, model)), "piece", "left")
+        .filter(F.col("code").isNotNull() | (F.col("end") - F.col("start") == 1))
     )
 
 
-def merged(edges: Column, size: Column) -> Column:
-    """Ids by merging: the set of boundaries loses the one inside the cheapest edge that joins two parts."""
-    turns = F.slice(F.sequence(F.lit(1), size), F.lit(1), size - 1)
-    every = F.call_function("shiftleft", F.lit(2).cast("long"), size) - 1
+def _spelled(letter: Column, model: Model) -> Column:
+    """Ids of the bytes of a character, or the unknown piece."""
+    if not model.octets:
+        return F.array(F.lit(model.unknown))
+    octets = F.array(*map(F.lit, model.octets))
+    letters = F.hex(F.encode(letter, "UTF-8"))
+    return F.transform(
+        F.sequence(F.lit(0), F.shiftright(F.length(letters), 1) - 1),
+        lambda i: F.get(octets, F.conv(F.substr(letters, 2 * i + 1, F.lit(2)), 16, 10).cast("int")),
+    )
+
+
+def _bit(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), n.cast("int"))
+
+
+def _field(edge: Column, shift: int, bits: int) -> Column:
+    return F.shiftright(edge, shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
-    def turn(bounds: Column, _: Column) -> Column:
-        joins = F.filter(
-            edges,
-            lambda x: (bounds.bitwiseAND(x["ends"]) == x["ends"])
-            & (F.bit_count(bounds.bitwiseAND(x["inner"])) == 1),
-        )
-        return bounds.bitwiseXOR(F.coalesce(bounds.bitwiseAND(F.get(joins, F.lit(0))["inner"]), F.lit(0).cast("long")))
+
+def merged(edges: DataFrame, model: Model) -> DataFrame:
+    """(piece_no, word, ids) by merging in the order of the scores, from the left among equal ones.
+
+    An edge is packed into a long: rank, start, end, id; sorted, they are in the order of merging. The
+    state is the set of boundaries between parts as the bits of a long. Each edge in turn that joins
+    two parts takes away the boundary inside it. One pass misses an edge that becomes possible only
+    after one of a worse rank; ``_dictionary`` checks for it.
+    """
+    code = F.coalesce("code", F.lit(NO_RANK << 32 | NO_ID))
+    packed = code + F.shiftleft(F.col("start").cast("long"), 26) + F.shiftleft(F.col("end").cast("long"), 20)
+    ends = lambda x: (_bit(_field(x, 26, 6)), _bit(_field(x, 20, 6)))
+    joins = F.transform(
+        F.filter("edges", lambda x: _field(x, 20, 6) - _field(x, 26, 6) > 1),
+        lambda x: F.struct(
+            ends(x)[0].bitwiseOR(ends(x)[1]).alias("ends"), (ends(x)[1] - 2 * ends(x)[0]).alias("inner")
+        ),
+    )
+
+    def turn(bounds: Column, x: Column) -> Column:
+        inside = bounds.bitwiseAND(x["inner"])
+        joined = (bounds.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(inside) == 1)
+        return F.when(joined, bounds.bitwiseXOR(inside)).otherwise(bounds)
 
     def read(bounds: Column) -> Column:
+        # The edges between neighbouring boundaries: both ends, and nothing else, from start to end.
         parts = F.filter(
-            edges,
-            lambda x: (bounds.bitwiseAND(x["ends"]) == x["ends"]) & (bounds.bitwiseAND(x["inner"]) == 0),
+            "edges",
+            lambda x: bounds.bitwiseAND(2 * ends(x)[1] - ends(x)[0]) == ends(x)[0].bitwiseOR(ends(x)[1]),
         )
-        return F.flatten(F.transform(_by_start(parts), lambda p: p["ids"]))
+        ordered = F.array_sort(F.transform(parts, lambda x: x.bitwiseAND(F.lit((1 << 32) - 1))))
+        return F.flatten(F.transform(ordered, spelled))
 
-    return F.aggregate(turns, every, turn, read)
+    def spelled(x: Column) -> Column:
+        letter = F.substr(F.col("word"), _field(x, 26, 6) + 1, F.lit(1))
+        return F.when(_field(x, 0, 20) == NO_ID, _spelled(letter, model)).otherwise(F.array(_field(x, 0, 20)))
 
+    every = F.call_function("shiftleft", F.lit(2).cast("long"), F.length("word")) - 1
+    grouped = edges.groupBy("piece_no", "word").agg(F.sort_array(F.collect_list(packed)).alias("edges"))
+    return grouped.select("piece_no", "word", F.aggregate(joins, every, turn, read).alias("ids"))
 
-def _by_start(edges: Column) -> Column:
-    return F.array_sort(F.transform(edges, lambda x: F.struct(x["start"], x["ids"])))
 
-
-def viterbi(edges: Column, size: Column) -> Column:
-    """Ids of the path of least cost: the best way to each place, from the best ways to those before.
+def viterbi(edges: DataFrame, model: Model) -> DataFrame:
+    """(piece_no, word, ids) of the path of least cost: the best way to each place, from those before it.
 
     Of equal paths the one whose last pieces are longer is kept.
     """
+    known = F.col("code").isNotNull()
+    edge = F.struct(
+        (-F.coalesce("score", F.lit(min(model.scores.values()) - 10))).alias("cost"),
+        "start",
+        "end",
+        F.when(known, F.array(_field(F.col("code"), 0, 20))).otherwise(_spelled(F.col("piece"), model)).alias("ids"),
+    )
+    grouped = edges.groupBy("piece_no", "word").agg(F.collect_list(edge).alias("edges"))
+    size = F.length("word")
 
     def place(best: Column, end: Column) -> Column:
         ways = F.transform(
-            F.filter(edges, lambda x: x["end"] == end),
+            F.filter("edges", lambda x: x["end"] == end),
             lambda x: F.struct(
                 (F.get(best, x["start"])["cost"] + x["cost"]).alias("cost"),
                 x["start"].alias("start"),
@@ -229,7 +280,8 @@ def viterbi(edges: Column, size: Column) -> Column:
         return F.array_append(best, F.array_min(ways))
 
     origin = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("start"), F.array().cast("array<int>").alias("ids")))
-    return F.aggregate(F.sequence(F.lit(1), size), origin, place, lambda best: F.get(best, size)["ids"])
+    path = F.aggregate(F.sequence(F.lit(1), size), origin, place, lambda best: F.get(best, size)["ids"])
+    return grouped.select("piece_no", "word", path.alias("ids"))
 
 
 def encode_words(words: DataFrame, model: Model, kind: int | None = None) -> DataFrame:
@@ -239,32 +291,44 @@ def encode_words(words: DataFrame, model: Model, kind: int | None = None) -> Dat
     the scores for BPE, whose pieces the cheapest path doesn't give.
     """
     fold = viterbi if (kind or model.kind) == UNIGRAM else merged
-    return lattice(words, model).select("piece_no", "word", fold(F.col("edges"), F.length("word")).alias("ids"))
+    return fold(lattice(words, model), model)
 
 
 def _dictionary(docs: DataFrame, model: Model, folder: str, bits: int) -> None:
-    """Encode the distinct units of all texts and file them under the upper bits of their hash."""
+    """Encode the distinct parts of all texts and file them under the upper bits of their hash.
+
+    Each part's pieces are checked by the queue of ``merge_unit`` before they are filed.
+    """
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
+        seen: set[str] = set()  # units
+        words: set[str] = set()  # units without their one mark
         for batch in batches:
             for text in batch.column(0):
-                seen.update(u for u in units(text.as_py() or "", model.prefix) if len(u) <= LONGEST)
-                if len(seen) >= GATHER:
-                    yield rows(seen)
-                    seen = set()
-        if seen:
-            yield rows(seen)
-
-    def rows(seen: set[str]) -> pa.RecordBatch:
-        words = list(seen)
-        numbers = _hashes(words) >> np.uint64(64 - bits) if bits else np.zeros(len(words), np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int64)), pa.array(words, pa.string())], ["piece_no", "word"])
+                value = text.as_py() or ""
+                if plain(value, model.prefix):
+                    words.update(value.split(" "))
+                else:
+                    seen.update(units(value, model.prefix))
+                if len(seen) + len(words) >= GATHER:
+                    yield rows(seen, words)
+                    seen, words = set(), set()
+        if seen or words:
+            yield rows(seen, words)
+
+    def rows(seen: set[str], words: set[str]) -> pa.RecordBatch:
+        every = chain(seen, (MARK + w for w in words))
+        parts = list({p for unit in every for p in model.parts(unit) if len(p) <= LONGEST})
+        numbers = _hashes(parts) >> np.uint64(64 - bits) if bits else np.zeros(len(parts), np.uint64)
+        return pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int64)), pa.array(parts, pa.string())], ["piece_no", "word"])
 
     def write(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         hashes = _hashes(group["word"])
         order = np.argsort(hashes)
-        ids = group["ids"].to_numpy()[order]
+        ids = [
+            found if found.tolist() == (exact := merge_unit(model, word)) else np.array(exact, np.int32)
+            for word, found in zip(group["word"].to_numpy()[order], group["ids"].to_numpy()[order], strict=True)
+        ]
         put(folder, f"hash-{key[0]}", hashes[order])
         put(folder, f"stop-{key[0]}", np.cumsum([len(i) for i in ids], dtype=np.int64))
         put(folder, f"ids-{key[0]}", np.concatenate(ids).astype(np.int32))
@@ -282,18 +346,37 @@ def _hashes(words: Iterator[str]) -> np.ndarray:
 
 
 class Dictionary:
-    """A worker's view of the encoded units."""
+    """A worker's view of the encoded parts."""
 
     def __init__(self, folder: str, bits: int, model: Model):
         self.folder, self.bits, self.model, self.files = folder, bits, model, {}
+        self.recent: dict[str, np.ndarray] = {}  # of the texts before, GATHER at most
 
     def file(self, name: str, dtype: type) -> np.ndarray:
         if name not in self.files:
             self.files[name] = get(self.folder, name, dtype)
         return self.files[name]
 
+    def encode(self, distinct: list[str]) -> list[np.ndarray]:
+        """Ids of distinct units, from those of their parts."""
+        recent = self.recent
+        fresh = [u for u in distinct if u not in recent]
+        numbers: dict[str, int] = {}
+        cut = [[numbers.setdefault(p, len(numbers)) for p in self.model.parts(unit)] for unit in fresh]
+        found = self.look_up(list(numbers))
+        own = {
+            u: found[c[0]] if len(c) == 1 else np.concatenate([found[i] for i in c])
+            for u, c in zip(fresh, cut, strict=True)
+        }
+        out = [own[u] if u in own else recent[u] for u in distinct]
+        if len(recent) + len(own) > GATHER:
+            recent.clear()
+        if len(own) <= GATHER:
+            recent.update(own)
+        return out
+
     def look_up(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of distinct units. One that isn't filed, or under another's hash, is encoded on the spot."""
+        """Ids of distinct parts. One that isn't filed, or under another's hash, is encoded on the spot."""
         hashes = _hashes(words)
         pieces = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(words), np.int64)
         out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
@@ -303,7 +386,7 @@ class Dictionary:
             at = np.minimum(np.searchsorted(known, hashes[chosen]), max(0, len(known) - 1))
             starts = np.concatenate([[0], stops])[:-1] if len(stops) else stops
             for word, place in zip(chosen.tolist(), at.tolist(), strict=True):
-                found = ids[starts[place] : stops[place]] if len(known) else out[word]
+                found = np.array(ids[starts[place] : stops[place]]) if len(known) else out[word]
                 if spelling(self.model, found) != words[word].replace(MARK, " ").encode():
                     found = np.array(merge_unit(self.model, words[word]), np.int32)
                 out[word] = found
@@ -314,11 +397,15 @@ def spelling(model: Model, ids: np.ndarray) -> bytes:
     return b"".join(map(model.spelled.__getitem__, ids.tolist()))
 
 
-def encode(docs: DataFrame, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """doc_id, ids, n_pieces of every row of ``docs``: the pieces of its whole text.
 
+    With ``decoded`` also the text that the ids stand for, as ``decode`` gives it, in the same pass.
+
     The ids are those the model gives the text. A null or empty text has none. Repeated rows are kept,
-    null ids too; other columns are not read. Units longer than LONGEST characters don't pass the
+    null ids too; other columns are not read. Parts longer than LONGEST characters don't pass the
     lattice but are merged where they stand, by a queue, with the same result.
     """
     model = load(model_path)
@@ -333,19 +420,37 @@ def encode(docs: DataFrame, model_path: str = MODEL, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary = Dictionary(folder, bits, model)
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                yield _encoded(batch.slice(at, 512), dictionary)
+            for at in range(0, len(batch), 1024):
+                found = _encoded(batch.slice(at, 1024), dictionary)
+                if decoded:
+                    texts = pa.array([read_back(model, ids) for ids in found.column(1)], pa.string())
+                    found = pa.RecordBatch.from_arrays([*found.columns, texts], [*found.schema.names, "decoded"])
+                yield found
+
+    return narrow.mapInArrow(run, "doc_id long, ids array<int>, n_pieces int" + ", decoded string" * decoded)
 
-    return narrow.mapInArrow(run, "doc_id long, ids array<int>, n_pieces int")
+
+class Numbers(dict):
+    """Numbers things in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
 
 
 def _encoded(batch: pa.RecordBatch, dictionary: Dictionary) -> pa.RecordBatch:
-    numbers: dict[str, int] = {}
-    texts = []
+    units_seen, words_seen = Numbers(), Numbers()
+    texts, prefix = [], dictionary.model.prefix
     for text in batch.column(1):
-        own = [numbers.setdefault(u, len(numbers)) for u in units(text.as_py() or "", dictionary.model.prefix)]
-        texts.append(np.array(own, np.int64))
-    found = dictionary.look_up(list(numbers))
+        value = text.as_py() or ""
+        if plain(value, prefix):
+            own, seen = value.split(" "), words_seen
+        else:
+            own, seen = list(units(value, prefix)), units_seen
+        texts.append((np.fromiter(map(seen.__getitem__, own), np.int64, len(own)), seen is words_seen))
+    # Words without their mark are numbered after the units.
+    texts = [numbers + len(units_seen) * bare for numbers, bare in texts]
+    found = dictionary.encode([*units_seen, *(MARK + w for w in words_seen)])
     size = np.array([len(f) for f in found], np.int64)
     flat = np.concatenate([*found, np.zeros(0, np.int32)])
     starts = np.cumsum(size) - size
@@ -358,6 +463,12 @@ def _encoded(batch: pa.RecordBatch, dictionary: Dictionary) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(n_pieces.astype(np.int32))], ["doc_id", "ids", "n_pieces"])
 
 
+def read_back(model: Model, ids: pa.ListScalar) -> str:
+    """The text of a row's ids without the blank that the model puts first."""
+    spelled = spelling(model, ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else b""
+    return spelled.decode("utf-8", "replace")[1 if model.prefix and spelled[:1] == b" " else 0 :]
+
+
 def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
     """``encoded`` with the text that its ids stand for; null ids decode to the empty text.
 
@@ -369,10 +480,7 @@ def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for ids in batch.column("ids"):
-                spelled = spelling(model, ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else b""
-                texts.append(spelled.decode("utf-8", "replace")[1 if model.prefix and spelled[:1] == b" " else 0 :])
+            texts = [read_back(model, ids) for ids in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, shape)

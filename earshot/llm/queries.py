@@ -11,7 +11,7 @@ import corpus_pipeline
 from earshot.llm.common import table
 from earshot.llm.decontam import contamination
 from earshot.llm.ngram import language_model_scores
-from earshot.llm.pieces import decode, encode
+from earshot.llm.pieces import encode
 from earshot.llm.pii import find_pii, pii_digest
 from earshot.llm.quality import quality_scores
 from earshot.llm.simhash import simhash_groups
@@ -52,7 +52,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode(encode(table(spark, sf_dir, "documents")))
+    return encode(table(spark, sf_dir, "documents"), decoded=True)
 
 
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
