@@ -35,7 +35,9 @@ NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 #: Longest part, in characters, that passes the lattice; its boundaries are the bits of a long.
 LONGEST = 62
 #: Characters of text cut into units at a time, units a task gathers, parts of a dictionary piece.
-SLAB, GATHER, PIECE = 1 << 20, 1 << 18, 1 << 17
+SLAB, GATHER, PIECE = 1 << 20, 1 << 16, 1 << 16
+#: Texts that a task encodes at a time.
+TEXTS = 256
 
 
 @dataclass(frozen=True)
@@ -420,8 +422,8 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary = Dictionary(folder, bits, model)
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                found = _encoded(batch.slice(at, 1024), dictionary)
+            for at in range(0, len(batch), TEXTS):
+                found = _encoded(batch.slice(at, TEXTS), dictionary)
                 if decoded:
                     texts = pa.array([read_back(model, ids) for ids in found.column(1)], pa.string())
                     found = pa.RecordBatch.from_arrays([*found.columns, texts], [*found.schema.names, "decoded"])
