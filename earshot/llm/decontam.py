@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.common import settle
@@ -44,7 +44,8 @@ class Templates(dict):
     Digits and number words are ``<num>``; unit words and signs are ``<unit>``; a word with a capital
     and small letters after it that doesn't begin a sentence is ``<name>``. Other words stand for
     themselves in lower case, as does any word that begins a sentence or is in capitals
-    throughout, since its capital tells nothing.
+    throughout, since its capital tells nothing. ``readings`` adds the words with a capital that begin
+    a sentence as names.
     """
 
     def __init__(self):
@@ -58,8 +59,8 @@ class Templates(dict):
         self.table[:, number] = (*map(xxhash.xxh64_intdigest, kinds), token in STOPS)
         return number
 
-    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """All tokens of a text, the places of those that don't end sentences, and their hashes."""
+    def read(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens of a text, the places of those that don't end sentences, their hashes, and those with beginnings as inside."""
         found = TOKEN.findall(text)
         if len(self) + len(found) > self.table.shape[1]:
             self.clear()
@@ -68,7 +69,7 @@ class Templates(dict):
         inside, opening, stop = self.table[:, numbers]
         begins = np.concatenate([np.ones(min(1, len(found)), bool), stop[:-1] == 1])
         kept = np.flatnonzero(stop == 0)
-        return found, kept, np.where(begins, opening, inside)[kept]
+        return found, kept, np.where(begins, opening, inside)[kept], inside[kept]
 
 
 def template(token: str, opening: bool) -> str:
@@ -81,50 +82,124 @@ def template(token: str, opening: bool) -> str:
 
 
 PLACEHOLDERS = frozenset(map(xxhash.xxh64_intdigest, (NUM, NAME, UNIT)))
+NUM_HASH, NAME_HASH = (np.uint64(xxhash.xxh64_intdigest(t)) for t in (NUM, NAME))
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of all runs of ``width`` template hashes."""
+def window_hashes(hashes: np.ndarray, width: int, places: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the runs of ``width`` template hashes from ``places`` on, or from all."""
     n = max(0, len(hashes) - width + 1)
-    total = np.full(n, width, np.uint64)
+    every = places is None or len(places) == n
+    total = np.full(n if every else len(places), width, np.uint64)
     for i in range(width):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
+        total = total * np.uint64(0x9E3779B97F4A7C15) + (hashes[i : i + n] if every else hashes[places + i])
         total ^= total >> np.uint64(29)
     return total
 
 
-def slots(found: list[str], kept: np.ndarray, hashes: np.ndarray, at: int, width: int) -> list[str]:
-    """What the placeholders of a window stand for, in order."""
-    return [
-        found[place].lower()
-        for place, h in zip(kept[at : at + width].tolist(), hashes[at : at + width].tolist(), strict=True)
-        if h in PLACEHOLDERS
-    ]
+class Reading:
+    """A text as template hashes of tokens, or of runs of tokens that share one slot.
+
+    ``starts`` are the places of the runs among the text's tokens, with the number of tokens at the end.
+    """
+
+    def __init__(self, found: list[str], kept: np.ndarray, hashes: np.ndarray, starts: np.ndarray):
+        self.found, self.kept, self.starts = found, kept, starts
+        self.hashes = hashes[starts[:-1]]
+
+    def slots(self, at: int, width: int) -> list[str]:
+        """What the placeholders of a window stand for, in order."""
+        starts = self.starts[at : at + width + 1].tolist()
+        return [
+            " ".join(self.found[place].lower() for place in self.kept[a:b].tolist())
+            for a, b, h in zip(starts[:-1], starts[1:], self.hashes[at : at + width].tolist(), strict=True)
+            if h in PLACEHOLDERS
+        ]
+
+    def touched(self, places: np.ndarray, width: int) -> np.ndarray:
+        """The windows that hold a marked place."""
+        sums = np.concatenate([[0], np.cumsum(places)])[self.starts]
+        return np.flatnonzero(sums[width:] > sums[:-width])
+
+
+def readings(found: list[str], kept: np.ndarray, hashes: np.ndarray, named: np.ndarray) -> tuple[list[tuple[Reading, np.ndarray | None]], np.ndarray]:
+    """The readings of a text, each with the places where it differs from those before, and slot numbers.
+
+    First token by token; then with each run of names and each run of numbers in a sentence as one
+    slot; then with words with a capital that begin a sentence as names too. Slot numbers tell for
+    each token its run of the last reading, so that windows of all readings share alignments.
+    """
+    out = [(Reading(found, kept, hashes, np.arange(len(kept) + 1)), None)]
+    close = np.diff(kept) == 1
+    before, starts = np.zeros(max(0, len(kept) - 1), bool), out[0][0].starts
+    for last in ((hashes, named) if (hashes != named).any() else (hashes,)):
+        joined = close & (last[1:] == last[:-1]) & ((last[1:] == NAME_HASH) | (last[1:] == NUM_HASH))
+        starts = np.concatenate([[0], np.flatnonzero(~joined) + 1, [len(kept)]]) if len(kept) else out[0][0].starts
+        new = joined & ~before
+        marked = np.concatenate([new, [False]]) | np.concatenate([[False], new]) if len(kept) else np.zeros(0, bool)
+        if last is named:
+            marked = marked | (hashes != named)
+        if marked.any():
+            out.append((Reading(found, kept, last, starts), marked))
+        before = joined
+    number = np.zeros(len(kept), np.int64)
+    number[starts[1:-1]] = 1
+    return out, np.cumsum(number)
+
+
+def windows(read: tuple, size: int, whole: int) -> Iterator[tuple[Reading, np.ndarray, np.ndarray, np.ndarray]]:
+    """(reading, its windows of ``size``, their hashes, their slot numbers) of a text.
+
+    Runs are read as one in windows of ``whole`` only: less would be a slot and hardly a word.
+    """
+    all_readings, number = read
+    for reading, marked in all_readings:
+        if len(reading.hashes) < size or (marked is not None and size < whole):
+            continue
+        at = np.arange(len(reading.hashes) - size + 1) if marked is None else reading.touched(marked, size)
+        if len(at):
+            yield reading, at, window_hashes(reading.hashes, size, at), number[reading.starts[at]]
 
 
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(hash, width, item_id, place, total, item_slots) of every window of every item with words."""
+    """(hash, width, item_id, part, slot, ranks, totals, item_slots) of every window of every item with words.
+
+    ``slot`` is the slot number of a window's first token. ``totals`` has the number of windows of each
+    reading of the item, ``ranks`` the number, if any, of each reading's window that begins there.
+    ``part`` tells different texts of one id apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         for batch in batches:
             rows = []
-            for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                read = templates.read(text.as_py() or "")
-                hashes = read[-1]
-                width = min(size, len(hashes))
-                runs = window_hashes(hashes, width).view(np.int64).tolist() if width else []
-                rows.extend((h, width, item, at, len(runs), slots(*read, at, width)) for at, h in enumerate(runs))
-            yield _table(rows, ["hash", "width", "item_id", "place", "total", "item_slots"])
+            for item, part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                read = readings(*templates.read(text.as_py() or ""))
+                width = min(size, len(read[0][0][0].hashes))
+                if not width:
+                    continue
+                used = [r for r, marked in read[0] if marked is None or (width == size and len(r.hashes) >= size)]
+                begins = [r.starts[: len(r.hashes) - width + 1] for r in used]
+                totals = [len(b) for b in begins]
+                begins = [dict(zip(b.tolist(), range(len(b)), strict=True)) for b in begins]
+                for reading, at, runs, number in windows(read, width, size):
+                    for i, h, slot in zip(at.tolist(), runs.view(np.int64).tolist(), number.tolist(), strict=True):
+                        place = int(reading.starts[i])
+                        ranks = [b.get(place) for b in begins]
+                        rows.append((h, width, item, part, slot, ranks, totals, reading.slots(i, width)))
+            yield _table(rows, ["hash", "width", "item_id", "part", "slot", "ranks", "totals", "item_slots"])
 
     narrow = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
     narrow = narrow.filter(F.col("item_id").isNotNull()).groupBy("item_id").agg(F.max("text").alias("text"))
-    return narrow.mapInArrow(run, "hash long, width int, item_id long, place int, total int, item_slots array<string>")
+    return narrow.select("item_id", F.xxhash64("text").alias("part"), "text").mapInArrow(
+        run,
+        "hash long, width int, item_id long, part long, slot int, ranks array<int>, totals array<int>, item_slots array<string>",
+    )
 
 
 TYPES = {
-    **dict.fromkeys(("hash", "item_id", "doc_id", "text_hash"), pa.int64()),
-    **dict.fromkeys(("width", "place", "total", "at"), pa.int32()),
+    **dict.fromkeys(("hash", "item_id", "part", "doc_id", "text_hash"), pa.int64()),
+    **dict.fromkeys(("width", "slot", "at"), pa.int32()),
+    **dict.fromkeys(("ranks", "totals"), pa.list_(pa.int32())),
     **dict.fromkeys(("item_slots", "doc_slots"), pa.list_(pa.string())),
 }
 
@@ -145,8 +220,8 @@ def _sieve(items: DataFrame, bits: int) -> bytes:
     return out.tobytes()
 
 
-def _passing(docs: DataFrame, sieve: bytes, widths: list[int]) -> DataFrame:
-    """(doc_id, text_hash, hash, at, doc_slots) of the documents' windows that pass the filter."""
+def _passing(docs: DataFrame, sieve: bytes, widths: list[int], size: int) -> DataFrame:
+    """(doc_id, text_hash, hash, at, doc_slots) of the documents' windows that pass the filter; ``at`` is a slot number."""
     shared = docs.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,20 +230,37 @@ def _passing(docs: DataFrame, sieve: bytes, widths: list[int]) -> DataFrame:
         for batch in batches:
             ids, prints = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for row, text in enumerate(batch.column(2)):
-                read = templates.read(text.as_py())
+                read = readings(*templates.read(text.as_py()))
                 rows = []
-                for width in widths:
-                    runs = window_hashes(read[-1], width)
+                for reading, places, runs, number, width in (w + (width,) for width in widths for w in windows(read, width, size)):
                     cell = runs & cells
                     passed = np.flatnonzero(bitmap[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1)
-                    for at, h in zip(passed.tolist(), runs[passed].view(np.int64).tolist(), strict=True):
-                        rows.append((ids[row], prints[row], h, at, slots(*read, at, width)))
+                    for i, at, h in zip(places[passed].tolist(), number[passed].tolist(), runs[passed].view(np.int64).tolist(), strict=True):
+                        rows.append((ids[row], prints[row], h, at, reading.slots(i, width)))
                 if rows:
                     yield _table(rows, ["doc_id", "text_hash", "hash", "at", "doc_slots"])
 
     return docs.mapInArrow(run, "doc_id long, text_hash long, hash long, at int, doc_slots array<string>")
 
 
+def _matched(places: str, reading: Column, size: int) -> Column:
+    """How many of a reading's windows match, with those that one other, missing or added token breaks.
+
+    Such a token takes ``size`` windows at most, and what follows moves by one slot at most.
+    """
+    ranked = F.transform(places, lambda p: F.struct(p["ranks"][reading].alias("rank"), p["offset"].alias("offset")))
+
+    def step(state: Column, x: Column) -> Column:
+        gap = x["rank"] - state["rank"]
+        bridged = (gap <= size + 1) & (F.abs(x["offset"] - state["offset"]) <= 1)
+        n = state["n"] + F.when((gap == 0) | bridged, gap).otherwise(1)
+        return F.struct(x["rank"].alias("rank"), x["offset"].alias("offset"), F.coalesce(n, state["n"] + 1).alias("n"))
+
+    none = F.lit(None).cast("int")
+    start = F.struct(none.alias("rank"), F.lit(None).cast("int").alias("offset"), F.lit(0).alias("n"))
+    return F.aggregate(F.array_sort(F.filter(ranked, lambda p: p["rank"].isNotNull())), start, step, lambda s: s["n"])
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -183,9 +275,12 @@ def contamination(
     Both sides become templates (see ``Templates``) and are cut into windows of ``size`` tokens, which
     are joined by a 64-bit hash. Matches of a document and an item are checked per alignment: the
     values that placeholders stand for must map one to one, in ``consistent`` of the pairs at least, so
-    that re-parameterised questions match and texts of merely equal shape don't. A document holds an
-    item if ``cover`` of the item's windows match in consistent alignments. An item shorter than a
-    window is one window of all its tokens, searched as such.
+    that re-parameterised questions match and texts of merely equal shape don't. Texts are read token by
+    token, with runs of names or numbers as one slot, and with words that begin sentences as names (see
+    ``readings``). A document holds an item if ``cover`` of the item's windows, of any one reading,
+    begin where windows match in consistent alignments, or in a gap between such places that one token
+    makes (see ``_matched``). An item shorter than a window is one window of all its tokens, searched as
+    such.
 
     A document's windows first pass a filter of FILTER_BITS bits, which alone goes to all workers;
     what passes is joined to the items. Rows equal in id and text count once, as do items that repeat
@@ -196,25 +291,30 @@ def contamination(
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # ``size`` at most
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    passing = settle(_passing(narrow, _sieve(items, FILTER_BITS), widths), "windows")
+    passing = settle(_passing(narrow, _sieve(items, FILTER_BITS), widths, size), "windows")
     pair = F.transform(F.arrays_zip("item_slots", "doc_slots"), lambda p: F.struct(p["item_slots"], p["doc_slots"]))
     same = F.size("item_slots") == F.size("doc_slots")
     aligned = (
         passing.join(items, "hash")
         .filter(same)
         .withColumn("pairs", F.array_distinct(pair))
-        .groupBy("doc_id", "text_hash", "item_id", "total", (F.col("at") - F.col("place")).alias("offset"))
-        .agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+        .groupBy("doc_id", "text_hash", "item_id", "part", "totals", (F.col("at") - F.col("slot")).alias("offset"))
+        .agg(F.collect_set("ranks").alias("ranks"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     )
     distinct = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
     fits = F.least(distinct("item_slots"), distinct("doc_slots")) >= consistent * F.size("pairs")
+    reading = F.sequence(F.lit(0), F.size("totals") - 1)
+    count = F.transform(reading, lambda r: _matched("places", r, size))
+    best = F.array_max(F.zip_with(count, "totals", lambda m, t: F.struct((m / t).alias("share"), m.alias("matched"), t.alias("total"))))
     return (
         aligned.filter(fits)
-        .groupBy("doc_id", "text_hash", "item_id", "total")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"))
-        .withColumn("share", F.col("matched") / F.col("total"))
-        .filter(F.col("share") >= cover)
-        .select("doc_id", "text_hash", "item_id", "matched", "total", "share")
+        .groupBy("doc_id", "text_hash", "item_id", "part", "totals")
+        .agg(F.flatten(F.collect_list(F.transform("ranks", lambda r: F.struct(r.alias("ranks"), F.col("offset"))))).alias("places"))
+        .withColumn("best", best)
+        .filter(F.col("best.share") >= cover)
+        .groupBy("doc_id", "text_hash", "item_id")
+        .agg(F.max("best").alias("best"))
+        .select("doc_id", "text_hash", "item_id", "best.matched", "best.total", "best.share")
     )
 
 

@@ -68,3 +68,26 @@ def test_decontaminate_keeps_clean_rows(spark):
     assert decontaminate(docs.limit(0), benchmark).count() == 0
     doubled = docs.unionByName(docs)
     assert decontaminate(doubled, benchmark).count() == 2 * clean.count()
+
+
+def test_names_that_open_sentences_and_runs_are_slots(spark):
+    benchmark = [
+        "Tom has 5 apples. Tom gives 2 to Mary. Tom then buys 7 more. How many apples does Tom have now?",
+        "Natalia sold 48 clips in April. Natalia sold half as many clips in May. How many clips were sold?",
+        "In the summer twenty five people met Mary Jane Smith in New York for 3 days and left.",
+    ]
+    docs = [
+        "Ann has 6 apples. Ann gives 3 to Paul. Ann then buys 9 more. How many apples does Ann have now?",
+        "Peter sold 12 clips in June. Peter sold half as many clips in July. How many clips were sold?",
+        "In the summer 7 people met Tom in Paris for thirty two days and left.",
+        "Ann has 6 apples. Paul gives 6 to Ann. Mary then buys 6 more. How many apples does Paul have now?",
+        "Words of their own. So many apples are here that nobody counts them, and clips are sold elsewhere.",
+    ]
+    assert found(spark, docs, benchmark) == {(0, 0): 1.0, (1, 1): 1.0, (2, 2): 1.0}
+
+
+def test_one_edit_does_not_void_an_item(spark):
+    words = [f"word{'abcdefghijklmnopqrst'[i]}" for i in range(20)]
+    docs = [" ".join(words[:9] + middle + words[10:]) for middle in (["other"], [], [words[9], "more"])]
+    docs += [" ".join(words[:10]), " ".join(words[:8] + ["other"] * 4 + words[12:])]
+    assert found(spark, docs, [" ".join(words)]) == {(0, 0): 1.0, (1, 0): 1.0, (2, 0): 1.0}
