@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"))
+    return substring_dedup(table(spark, sf_dir, "documents"), min_words=None)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Ends of sentences.
-STOP = re.compile(r"[.!?](?=\s)")
+STOP = re.compile(r"[.!?](?=\s)|[。！？｡]+[」』”’）]*")
+#: Letters and digits from which a sentence of few words says something about copying.
+ENOUGH = 8
+#: Words from which any sentence does.
+SENTENCE = 5
 NO_ID = 2**63 - 1
 
 
@@ -20,16 +24,19 @@ def _digest(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words))
 
 
-def units(text: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
+def units(text: str, min_words: int | None) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, digest) of the lines of a text and of the sentences in lines that have several.
 
-    A line ends before its line feed. A sentence ends after a run of ``.!?`` before white space.
-    Units of fewer than ``min_words`` words say nothing about copying and are left out.
+    A line ends before its line feed. A sentence ends after a run of ``.!?`` before white space, or
+    after ideographic stops and the quotes that close behind them. Units of fewer than ``min_words``
+    words are left out. With None, all lines but blank ones are units, and the sentences of SENTENCE
+    words or ENOUGH letters and digits, so that scripts without blanks have sentences too.
     """
+    least = 1 if min_words is None else min_words
     start = 0
     for line in text.split("\n"):
         words = line.lower().split()
-        if len(words) >= min_words:
+        if len(words) >= least:
             yield start, start + len(line), _digest(words)
             ends = [stop.end() for stop in STOP.finditer(line)]
             if ends and ends[-1] < len(line):
@@ -37,7 +44,7 @@ def units(text: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
             at = 0
             for end in ends if len(ends) > 1 else ():
                 words = line[at:end].lower().split()
-                if len(words) >= min_words:
+                if len(words) >= (min_words or SENTENCE) or (min_words is None and sum(map(str.isalnum, "".join(words))) >= ENOUGH):
                     yield start + at, start + end, _digest(words)
                 at = end
         start += len(line) + 1
@@ -59,12 +66,12 @@ def _cut(text: str, spans: list[tuple[int, int, int | None]]) -> tuple[str, list
 
 
 def substring_dedup(
-    docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_words: int | None = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, text without repeated units, n_removed, removed (start, end, kept_in) of each row.
 
-    Units are lines, and sentences of lines with several, compared by a 128-bit digest of their
-    lower-cased words over all documents. The place with the smallest doc_id, then the smallest
+    Units are lines, and sentences of lines with several (see ``units``; with ``min_words`` None, lines
+    of any length), compared by a 128-bit digest of their lower-cased words over all documents. The place with the smallest doc_id, then the smallest
     offset, keeps a unit; it goes everywhere else. ``removed`` has the offsets in the original text
     in code points, end exclusive, and the doc_id that keeps the unit (its own, if it repeats
     within the text). A repeated sentence inside a repeated line is not listed again.
@@ -121,7 +128,7 @@ def substring_dedup(
     )
 
 
-def _cut_rows(rows: list[dict], min_words: int) -> pa.RecordBatch:
+def _cut_rows(rows: list[dict], min_words: int | None) -> pa.RecordBatch:
     out: dict[str, list] = {"doc_id": [], "text": [], "n_removed": [], "removed": []}
     for row in rows:
         text, spans = row["text"], []

@@ -1,5 +1,6 @@
 import random
 
+from earshot.llm.queries import QUERIES
 from earshot.llm.substring import substring_dedup, units
 
 from llm_helpers import ODD_TEXTS, odd_docs, texts
@@ -54,3 +55,12 @@ def test_odd_rows(spark):
     line = ODD_TEXTS[4]
     assert {(r["doc_id"], r["text"]) for r in found if r["doc_id"] in (4,) or (r["doc_id"] is None and r["n_removed"])} == {(4, line), (None, "")}
     assert substring_dedup(odd_docs(spark).limit(0)).count() == 0
+
+
+def test_the_query_removes_short_lines_and_text_without_blanks(spark, folder):
+    page = "今天天气很好我们去公园。明天下雨我们都在家里看书。"
+    values = ["All rights reserved.\nown", "Other.\nall rights  reserved.", "a\nb\nc", "a\nb\nc", page, page, f"新的一页写在这里没有重复的。{page[:12]}", "\n \n\n"]
+    texts(spark, values).write.parquet(f"{folder}/documents.parquet")
+    found = {r["doc_id"]: r["text"] for r in QUERIES["op1_substring_dedup"](spark, folder).collect()}
+    want = {1: "Other.\n", 3: "", 5: "", 6: values[6][:-12]}
+    assert found == {i: want.get(i, v) for i, v in enumerate(values)}
