@@ -24,15 +24,15 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9](?:[ -]?[0-9]){12}", "phone": "\\+[0-9]"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 LETTERS = r"[^\p{L}]+"
-SPAN = "array<struct<kind:string,start:int,end:int,value:string,near:array<string>>>"
+SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 #: Cells of the filter on rows with disclosing terms.
 CELLS = 1 << 17
-#: Words on each side of a mention that count as its context, and the characters searched for them.
-REACH, SIDE = 5, 200
+#: Words on each side of a mention that count as its context: as many as a document can hold.
+REACH = 2**31 - 1
 #: Shortest term; documents in which a term must stand near an entity; share of the entity's
 #: information content that a term may disclose.
-MIN_LETTERS, MIN_SUPPORT, DISCLOSURE = 4, 2, 0.9
+MIN_LETTERS, MIN_SUPPORT, DISCLOSURE = 1, 2, 0.9
 
 
 def _luhn(digits: Column) -> Column:
@@ -71,30 +71,23 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), LETTERS), lambda w: F.length(w) >= MIN_LETTERS)
 
 
-def _near(before: Column, after: Column) -> Column:
-    """The closest words around a match; a word cut by the side's limit is left out."""
-    left = F.when(F.length(before) > SIDE, F.regexp_replace(F.right(before, F.lit(SIDE)), r"^\p{L}+", ""))
-    right = F.when(F.length(after) > SIDE, F.regexp_replace(F.left(after, F.lit(SIDE)), r"\p{L}+$", ""))
-    lefts, rights = _words(F.coalesce(left, before)), _words(F.coalesce(right, after))
-    return F.concat(F.reverse(F.slice(F.reverse(lefts), 1, REACH)), F.slice(rights, 1, REACH))
+def _context(text: Column) -> Column:
+    """The distinct words of a text outside its protected values; only addresses have letters."""
+    return F.array_distinct(_words(F.regexp_replace(text, PATTERNS["email"], " ")))
 
 
-def _located(text: Column, hits: Column, pattern: Column, kind: Column, context: bool) -> Column:
+def _located(text: Column, hits: Column, pattern: Column, kind: Column) -> Column:
     """Matches with their offsets: the lengths of what lies between them, summed up."""
     gaps = F.split(text, pattern, -1)
     zipped = F.arrays_zip(
         F.slice(gaps, F.lit(1), F.size(hits)).alias("before"),
         hits.alias("value"),
-        F.slice(gaps, F.lit(2), F.size(hits)).alias("after"),
     )
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["before"])
         end = start + F.length(x["value"])
-        near = _near(x["before"], x["after"]) if context else F.array().cast("array<string>")
-        span = F.struct(
-            kind.alias("kind"), start.alias("start"), end.alias("end"), x["value"].alias("value"), near.alias("near")
-        )
+        span = F.struct(kind.alias("kind"), start.alias("start"), end.alias("end"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.array_append(state["found"], span).alias("found"))
 
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
@@ -125,7 +118,7 @@ def _with_base(df: DataFrame) -> DataFrame:
     found = [
         F.when(
             F.size(f"hits_{k}") > 0,
-            F.filter(_located(text, F.col(f"hits_{k}"), F.lit(PATTERNS[k]), F.lit(k), True), _check(k)),
+            F.filter(_located(text, F.col(f"hits_{k}"), F.lit(PATTERNS[k]), F.lit(k)), _check(k)),
         ).otherwise(F.array().cast(SPAN))
         for k in KINDS
     ]
@@ -147,26 +140,36 @@ def _entity() -> Column:
 def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure: float) -> DataFrame:
     """(row, terms): per row the terms in it that disclose a protected entity of the corpus.
 
-    With N documents, n_e of which mention entity e, n_t hold term t and n_te have t near e,
-    PMI(e; t) = log(N n_te / (n_e n_t)) is what t tells about e, and IC(e) = log(N / n_e) all there
-    is to tell. A term discloses e from PMI / IC = ``disclosure`` on, if n_te >= ``support``.
+    With N documents, n_e of which mention entity e, n_t hold term t and n_te hold both, t outside of
+    protected values, PMI(e; t) = log(N n_te / (n_e n_t)) is what t tells about e, and
+    IC(e) = log(N / n_e) all there is to tell. A term discloses e from PMI / IC = ``disclosure`` on, if
+    n_te >= ``support``.
+
+    n_te is at most n_e, so entities of fewer documents play no part, and each of the others bounds the
+    n_t of its terms; only words within the largest bound are paired with the entities of their rows.
     """
-    mentions = base.select("row", F.explode("base").alias("m")).select("row", _entity().alias("entity"), F.col("m.near").alias("near"))
+    mentions = settle(base.select("row", F.explode("base").alias("m")).select("row", _entity().alias("entity")).distinct(), "mentions")
     total = keyed.select("row").count()
-    near = settle(mentions.select("row", "entity", F.explode("near").alias("term")).distinct(), "contexts")
-    per_entity = mentions.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support)
-    around = near.select("row", "term").distinct().groupBy("term").agg(F.count("*").alias("least"))
-    # PMI / IC >= disclosure, solved for n_t; documents with the term near any entity bound n_t.
-    most = F.col("n_te") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - disclosure))
+    # PMI / IC >= disclosure, solved for n_t.
+    bound = lambda n_te: F.col(n_te) * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - disclosure))
+    per_entity = mentions.groupBy("entity").agg(F.count("*").alias("n_e")).filter((F.col("n_e") >= support) & (F.col("n_e") < total))
+    named = settle(mentions.join(per_entity, "entity"), "named")
+    by_row = named.groupBy("row").agg(F.collect_list(F.struct("entity", "n_e")).alias("entities"), F.max(bound("n_e")).alias("limit"))
+    texts = sift(keyed.select("row", "text"), named, "row", CELLS).dropDuplicates(["row"])
+    near = settle(texts.join(by_row, "row").select("entities", "limit", _context(F.col("text")).alias("words")), "contexts")
+    # Documents with the term and any entity bound n_t from below.
+    around = near.select(F.explode("words").alias("term"), "limit").groupBy("term")
+    around = around.agg(F.count("*").alias("least"), F.max("limit").alias("limit"))
+    around = settle(around.filter((F.col("least") >= support) & (F.expr("least <= limit"))).drop("limit"), "around")
+    spread = sift(near.select("entities", F.explode("words").alias("term")), around, "term", 1 << 18).join(around, "term")
+    pairs = (
+        spread.select("term", "least", F.explode("entities").alias("e"))
+        .groupBy("term", "least", F.col("e.entity").alias("entity"), F.col("e.n_e").alias("n_e"))
+        .agg(F.count("*").alias("n_te"))
+        .filter(F.col("n_te") >= support)
+    )
     candidates = settle(
-        pairs.join(per_entity, "entity")
-        .filter(F.col("n_e") < total)
-        .groupBy("term")
-        .agg(F.max(most).alias("most"))
-        .join(around, "term")
-        .filter("least <= most")
-        .select("term", "most"),
+        pairs.groupBy("term", "least").agg(F.max(bound("n_te")).alias("most")).filter("least <= most").select("term", "most"),
         "candidates",
     )
     words = keyed.select("row", F.explode(_words(F.col("text"))).alias("term"))
@@ -195,7 +198,7 @@ def _with_terms(df: DataFrame, told: DataFrame) -> DataFrame:
         .withColumn("_pattern", pattern)
         .withColumn("_hits", F.regexp_extract_all("text", F.col("_pattern"), F.lit(0)))
     )
-    places = _located(F.col("text"), F.col("_hits"), F.col("_pattern"), F.lit("term"), False)
+    places = _located(F.col("text"), F.col("_hits"), F.col("_pattern"), F.lit("term"))
     met = hits.withColumn("terms", F.when(F.col("_pattern").isNull(), F.array().cast(SPAN)).otherwise(places))
     return met.select(*free.columns).unionByName(free)
 
@@ -214,8 +217,8 @@ def find_pii(
     """doc_id, row, base, terms of every row: spans of personal data and of disclosing terms.
 
     ``base`` are e-mail addresses, IP addresses, card and phone numbers, leftmost and
-    non-overlapping per kind; ``terms`` are words that, over the whole corpus, stand with one such
-    value so exclusively that they disclose it (see ``disclosing_terms``). Offsets are code points,
+    non-overlapping per kind; ``terms`` are words that, over the whole corpus, share documents with one
+    such value so exclusively that they disclose it (see ``disclosing_terms``). Offsets are code points,
     end exclusive. A null text is empty; rows that are equal in id and text get equal results and
     count as one document; a null doc_id is an id of its own. Other columns are not read. An empty
     table gives an empty result.

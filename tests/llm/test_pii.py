@@ -109,3 +109,13 @@ def test_sanitise_keeps_rows_and_columns(spark):
 def test_no_python_on_the_main_path(spark):
     plan = find_pii(odd_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Arrow" not in plan and "Pandas" not in plan and "Python" not in plan
+
+
+def test_terms_far_from_a_value_disclose_it(spark):
+    filler = " ".join(["river stone cloud green table light"] * 12)
+    letter = "Dear Lee, {} Written for joe@x.org, ann@y.org, Zacharias of the mill"
+    values = [letter.format(filler), letter.format(filler).replace("ann@y.org, ", ""), *[f"{filler} Dear Written for of the mill {i}"for i in range(30)]]
+    rows = {r["doc_id"]: r for r in find_pii(texts(spark, values)).collect()}
+    for i in (0, 1):
+        assert [values[i][s["start"] : s["end"]] for s in rows[i]["terms"]] == ["Lee", "Zacharias"]
+    assert not any(rows[i]["terms"] for i in range(2, 32))
