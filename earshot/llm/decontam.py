@@ -189,7 +189,7 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW, id_col: str = "i
             yield _table(rows, ["hash", "width", "item_id", "part", "slot", "ranks", "totals", "item_slots"])
 
     narrow = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
-    narrow = narrow.filter(F.col("item_id").isNotNull()).groupBy("item_id").agg(F.max("text").alias("text"))
+    narrow = narrow.filter(F.col("item_id").isNotNull()).distinct()
     return narrow.select("item_id", F.xxhash64("text").alias("part"), "text").mapInArrow(
         run,
         "hash long, width int, item_id long, part long, slot int, ranks array<int>, totals array<int>, item_slots array<string>",
@@ -283,8 +283,8 @@ def contamination(
     such.
 
     A document's windows first pass a filter of FILTER_BITS bits, which alone goes to all workers;
-    what passes is joined to the items. Rows equal in id and text count once, as do items that repeat
-    an id, with the largest text. Null texts and null document ids are legal; items with a null id or
+    what passes is joined to the items. Rows equal in id and text count once. All
+    texts of items that share an id are searched; the one with the largest share tells the result. Null texts and null document ids are legal; items with a null id or
     without words match nothing. Other columns are not read. Empty tables give an empty result.
     """
     items = settle(benchmark_windows(benchmark, size), "items")

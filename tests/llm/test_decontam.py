@@ -91,3 +91,10 @@ def test_one_edit_does_not_void_an_item(spark):
     docs = [" ".join(words[:9] + middle + words[10:]) for middle in (["other"], [], [words[9], "more"])]
     docs += [" ".join(words[:10]), " ".join(words[:8] + ["other"] * 4 + words[12:])]
     assert found(spark, docs, [" ".join(words)]) == {(0, 0): 1.0, (1, 0): 1.0, (2, 0): 1.0}
+
+
+def test_all_texts_of_an_id_are_searched(spark):
+    words = ["these are the words of one question in the suite", "another suite asks for other things in its own way"]
+    benchmark = spark.createDataFrame([(0, words[0]), (0, words[1]), (0, words[1])], "item_id long, text string")
+    rows = contamination(texts(spark, [f"so {w} again" for w in words] + ["none of it"]), benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["share"]) for r in rows) == [(0, 0, 1.0), (1, 0, 1.0)]
