@@ -198,8 +198,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 2
     ``vectors`` has vec_id and embedding; ``is_query`` is a condition over its columns. Every
     usable vector is a candidate but the query's own, ties go to the smaller vec_id, and queries
     with fewer candidates return fewer rows. Vectors that are null, hold null or non-finite
-    components, or have a null vec_id take no part. Rows that repeat a vec_id count as one, with
-    the largest vector in array order. Only vectors with as many components as the query are its
+    components, or have a null vec_id take no part. Rows equal in vec_id and quantised vector count
+    as one; other rows that repeat a vec_id are candidates each, and queries of one id share a result. Only vectors with as many components as the query are its
     candidates. Sums must stay below 2**63. Other columns are not read.
 
     Vectors are sorted by length into buckets of BUCKET rows. Each query first meets the bucket of
@@ -213,8 +213,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 2
     whole = (
         narrow.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
         .select("vec_id", quantise(F.col("embedding"), scale).alias("vector"), "_q")
-        .groupBy("vec_id")
-        .agg(F.max("vector").alias("vector"), F.max("_q").alias("_q"))
+        .groupBy("vec_id", "vector")
+        .agg(F.max("_q").alias("_q"))
     )
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     whole = settle(whole.withColumn("square", square), "vectors")

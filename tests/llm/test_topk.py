@@ -66,3 +66,9 @@ def test_equals_its_sql(spark):
         want = db.execute(ORACLE["op5_exact_top_k"]).fetchall()
     found = QUERIES["op5_exact_top_k"](spark, sf).select("query_id", "rank", "vec_id", "score").collect()
     assert {tuple(r) for r in found} == set(want)
+
+
+def test_other_vectors_of_an_id_are_candidates(spark):
+    rows = [(0, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (1, [0.5, 3.0], 0), (1, [0.5, 3.0], 0), (2, [0.75, 0.0], 0)]
+    found = exact_top_k(frame(spark, rows), F.col("vec_id") == 0)
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [(1, 1, 65536), (2, 2, 49152), (3, 1, 32768)]
