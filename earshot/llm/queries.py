@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from earshot.llm.alignment import align
 from earshot.llm.common import table
 from earshot.llm.decontam import contamination
 from earshot.llm.ngram import language_model_scores
@@ -63,6 +64,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_substring_dedup": op1_substring_dedup,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op8_pieces": op8_pieces,
     "op9_language_model": op9_language_model,
     "op10_token_counts": op10_token_counts,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
 }
 
 ORACLE: dict[str, str] = {
