@@ -14,6 +14,7 @@ from earshot.llm.decontam import contamination
 from earshot.llm.ngram import language_model_scores
 from earshot.llm.pieces import encode
 from earshot.llm.pii import find_pii, pii_digest
+from earshot.llm.prefix_trie import prefix_trie
 from earshot.llm.quality import quality_scores
 from earshot.llm.simhash import simhash_groups
 from earshot.llm.substring import substring_dedup
@@ -68,6 +69,10 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return align(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_substring_dedup": op1_substring_dedup,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op9_language_model": op9_language_model,
     "op10_token_counts": op10_token_counts,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
