@@ -11,6 +11,7 @@ import corpus_pipeline
 from earshot.llm.alignment import align
 from earshot.llm.common import table
 from earshot.llm.decontam import contamination
+from earshot.llm.jaccard import jaccard_groups
 from earshot.llm.ngram import language_model_scores
 from earshot.llm.pieces import encode
 from earshot.llm.pii import find_pii, pii_digest
@@ -73,6 +74,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_substring_dedup": op1_substring_dedup,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
