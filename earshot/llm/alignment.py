@@ -37,7 +37,9 @@ CHUNK = 1 << 16
 #: Fragments that one node of the tree composes.
 FAN = 16
 #: Tokens that a task looks at together, pairs in one file of counts, pairs a task counts before it passes them on.
-BATCH, FILE, COUNTED = 1 << 18, 1 << 20, 1 << 20
+BATCH, FILE, COUNTED = 1 << 17, 1 << 20, 1 << 18
+#: Texts that a task encodes, rows that it unpacks at a time.
+TEXTS, ROWS = 256, 256
 #: Where both tokenizers end a token whatever stands around: before the one space between two words.
 SEAM = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z])")
 
@@ -75,6 +77,8 @@ class Tokenizers:
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         names = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         self.b = _side([bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)])
+        #: What ids are kept as.
+        self.dtype = np.uint16 if max(len(self.a.spelled), len(self.b.spelled)) <= 1 << 16 else np.uint32
         #: Whether no piece reaches across a space and texts are left as they are, so that slabs can be encoded alone.
         self.separable = not any(MARK in p.lstrip(MARK) for p in names) and sp.normalize(" a  b ") == f"{MARK * 2}a{MARK * 2}b{MARK}"
 
@@ -85,7 +89,7 @@ class Tokenizers:
             line = b" " + text.encode()
             a = self.bpe.encode_ordinary(" " + text)
             fits = all(b"".join(map(side.spelled.__getitem__, ids)) == line for side, ids in ((self.a, a), (self.b, b)))
-            found.append((np.array(a, np.uint32), np.array(b, np.uint32), fits))
+            found.append((np.array(a, self.dtype), np.array(b, self.dtype), fits))
         return found
 
 
@@ -179,10 +183,6 @@ def spell(vocab: Tokenizers, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, e
     return parts.tolist(), common
 
 
-def _ids(value: bytes) -> np.ndarray:
-    return np.frombuffer(value, np.uint32)
-
-
 class Counts:
     """The corpus-wide counts of id pairs, as sorted hash arrays mapped from the shared folder."""
 
@@ -222,8 +222,9 @@ def _sealed(key: int, at: int, group: Open) -> dict:
     return {"key": key, "at": at, "sealed": True, "a": group[0].tobytes(), "b": group[1].tobytes()}
 
 
-def _fragment(row: dict) -> Fragment:
-    return Fragment((_ids(row["a"]), _ids(row["b"])), (_ids(row["a2"]), _ids(row["b2"])), row["split"], row["mark"], row["ok"])
+def _fragment(row: dict, dtype: type) -> Fragment:
+    a, b, a2, b2 = (np.frombuffer(row[c], dtype) for c in ("a", "b", "a2", "b2"))
+    return Fragment((a, b), (a2, b2), row["split"], row["mark"], row["ok"])
 
 
 def slabs(line: bytes, size: int) -> Iterator[tuple[int, bytes]]:
@@ -236,14 +237,14 @@ def slabs(line: bytes, size: int) -> Iterator[tuple[int, bytes]]:
         start = end
 
 
-def _tree(parts: DataFrame, longest: int, chunk: int, fan: int) -> tuple[list[DataFrame], DataFrame]:
+def _tree(parts: DataFrame, longest: int, chunk: int, fan: int, dtype: type) -> tuple[list[DataFrame], DataFrame]:
     """Closed groups of each level of the tree, and the one fragment of each text."""
 
     def fold(table: pa.Table) -> pa.Table:
         rows = sorted(table.drop_columns(["block"]).to_pylist(), key=lambda r: r["at"])
-        whole, closed = _fragment(rows[0]), []
+        whole, closed = _fragment(rows[0], dtype), []
         for row in rows[1:]:
-            whole, seam = compose(whole, _fragment(row))
+            whole, seam = compose(whole, _fragment(row, dtype))
             if seam:
                 closed.append(_sealed(row["key"], *seam))
         return pa.Table.from_pylist([_part(rows[0]["key"], rows[0]["at"], whole), *closed], PART_SCHEMA)
@@ -285,7 +286,7 @@ def align(
     """
     spark = docs.sparkSession
     files = [Path(byte_bpe).read_bytes(), Path(pieces).read_bytes()]
-    separable = _load(*files).separable
+    separable, dtype, width = (known := _load(*files)).separable, known.dtype, len(known.a.sizes)
     shared = [spark.sparkContext.broadcast(f) for f in files]
 
     def vocab() -> Tokenizers:
@@ -294,8 +295,8 @@ def align(
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = vocab()
         for batch in batches:
-            for start in range(0, len(batch), 512):
-                ids, texts = (c.to_pylist() for c in batch.slice(start, 512).columns)
+            for start in range(0, len(batch), TEXTS):
+                ids, texts = (c.to_pylist() for c in batch.slice(start, TEXTS).columns)
                 found = tokenizers.encode([t or "" for t in texts])
                 fits = [ok and bool(t) for t, (_, _, ok) in zip(texts, found, strict=True)]
                 a, b = ([x[i].tobytes() if ok else b"" for x, ok in zip(found, fits, strict=True)] for i in (0, 1))
@@ -334,7 +335,7 @@ def align(
     groups, roots = None, None
     if longest:
         dealt = cut_up.select("key", "at", "text").repartition("key", "at")
-        closed, roots = _tree(settle(dealt.mapInArrow(encode_slabs, PARTS), "fragments"), longest, chunk, fan)
+        closed, roots = _tree(settle(dealt.mapInArrow(encode_slabs, PARTS), "fragments"), longest, chunk, fan, dtype)
         # The line's first byte and, where its bytes fit, its last are common ends: the root's prefix is a whole group.
         firsts = roots.filter("ok").select("key", F.lit(0).cast("long").alias("at"), "a", "b")
         groups = firsts
@@ -344,7 +345,7 @@ def align(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers, held, n_held = vocab(), [], 0
-        for a, b, _ in _batched(batches):
+        for a, b, _ in _batched(batches, dtype):
             pairs, n = np.unique(links(tokenizers, np.concatenate(a), np.concatenate(b))[0], return_counts=True)
             held.append((pairs, n))
             n_held += len(pairs)
@@ -359,7 +360,6 @@ def align(
 
     tokens = short.select("a", "b")
     tokens = tokens if groups is None else tokens.unionByName(groups.select("a", "b"))
-    width = len(_load(*files).a.sizes)
     pairs = settle(tokens.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     best = pairs.groupBy(F.expr(f"pair div {width}").alias("id")).agg(F.max("n").alias("most"))
     n_files = max(1, -(-pairs.count() // FILE))
@@ -381,7 +381,7 @@ def align(
     def measure(batches: Iterator[pa.RecordBatch], lead: int) -> Iterator[tuple[list[list], np.ndarray, list[bytes], np.ndarray]]:
         """Leading columns, sums and the spelled groups with the number of their tokens, of some rows at a time."""
         tokenizers, counts = vocab(), Counts(folder, n_files)
-        for a, b, rest in _batched(batches, lead):
+        for a, b, rest in _batched(batches, dtype, lead):
             sizes_a, sizes_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
             ids_a, ids_b = np.concatenate(a), np.concatenate(b)
             found, ends, ends_a, ends_b = links(tokenizers, ids_a, ids_b)
@@ -442,17 +442,18 @@ def _digested(key: int, state, rest: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([state.hexdigest()])], ["key", "groups_sha256"])
 
 
-def _batched(batches: Iterator[pa.RecordBatch], lead: int = 0) -> Iterator[tuple[list, list, list[list]]]:
+def _batched(batches: Iterator[pa.RecordBatch], dtype: type, lead: int = 0) -> Iterator[tuple[list, list, list[list]]]:
     """Ids of A and B of some rows, BATCH tokens or one row at a time, and the leading columns."""
     for batch in batches:
-        *rest, a, b = (c.to_pylist() for c in batch.columns)
-        a, b = [_ids(x) for x in a], [_ids(x) for x in b]
-        start, size = 0, 0
-        for i in range(len(a)):
-            size += len(a[i]) + len(b[i])
-            if size >= BATCH or i == len(a) - 1:
-                yield a[start : i + 1], b[start : i + 1], [r[start : i + 1] for r in rest[:lead]]
-                start, size = i + 1, 0
+        for at in range(0, len(batch), ROWS):
+            *rest, a, b = (c.to_pylist() for c in batch.slice(at, ROWS).columns)
+            a, b = ([np.frombuffer(x, dtype) for x in side] for side in (a, b))
+            start, size = 0, 0
+            for i in range(len(a)):
+                size += len(a[i]) + len(b[i])
+                if size >= BATCH or i == len(a) - 1:
+                    yield a[start : i + 1], b[start : i + 1], [r[start : i + 1] for r in rest[:lead]]
+                    start, size = i + 1, 0
 
 
 def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
