@@ -174,42 +174,45 @@ def _end_digests(ends: DataFrame) -> DataFrame:
     """(d, digest, ends_sha256) of (d, digest, conv): runs of sorted ids are joined by many tasks, then hashed in order."""
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, done = None, [], []
         for batch in batches:
             for d, digest, conv in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (d, digest) != now or len(held) >= RUN:
                     if held:
-                        yield _run(*now, held)
+                        done.append((*now, held[0], ",".join(map(str, held))))
                     now, held = (d, digest), []
                 held.append(conv)
+            yield _batch(done, run_schema)
+            done = []
         if held:
-            yield _run(*now, held)
+            yield _batch([(*now, held[0], ",".join(map(str, held)))], run_schema)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state = None, None
+        now, state, done = None, None, []
         for batch in batches:
             for d, digest, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (d, digest) != now:
                     if now:
-                        yield _hashed(*now, state.hexdigest())
+                        done.append((*now, state.hexdigest()))
                     now, state = (d, digest), hashlib.sha256(ids.encode())
                 else:
                     state.update(b"," + ids.encode())
+            yield _batch(done, end_schema)
+            done = []
         if now:
-            yield _hashed(*now, state.hexdigest())
+            yield _batch([(*now, state.hexdigest())], end_schema)
 
+    node = [("d", pa.int64()), ("digest", pa.binary())]
+    run_schema, end_schema = pa.schema([*node, ("first", pa.int64()), ("ids", pa.string())]), pa.schema([*node, ("ends_sha256", pa.string())])
     ordered = ends.repartitionByRange("d", "digest", "conv").sortWithinPartitions("d", "digest", "conv")
     joined = ordered.mapInArrow(runs, "d long, digest binary, first long, ids string")
     dealt = joined.repartition("d", "digest").sortWithinPartitions("d", "digest", "first").select("d", "digest", "ids")
     return dealt.mapInArrow(hashed, "d long, digest binary, ends_sha256 string")
 
 
-def _run(d: int, digest: bytes, ids: list[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([d]), pa.array([digest], pa.binary()), pa.array([ids[0]]), pa.array([",".join(map(str, ids))])], ["d", "digest", "first", "ids"])
-
-
-def _hashed(d: int, digest: bytes, found: str) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([d]), pa.array([digest], pa.binary()), pa.array([found])], ["d", "digest", "ends_sha256"])
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
 def shard_sums(table: pa.Table, band: int = BAND) -> pa.Table:
