@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from earshot import schemas
 from earshot.functions.text import present
+from earshot.functions.times import wall_seconds
 from earshot.operators.overlap import without_overlap
 from earshot.operators.timeline import gap_to_next
 from earshot.plans.plays import URI, classify_gaps
 from earshot.sources.history import remove
+from earshot.sources.slots import read_slots
 from earshot.sources.tables import read_or_empty
 
 COLUMNS = ["track_name", "played_at", URI]
@@ -125,3 +127,83 @@ def start_overlap_check(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def _instant(local: str) -> Column:
+    """Wall-clock time as the TIMESTAMP that watermarks need, read as UTC whatever the session's zone."""
+    return F.timestamp_seconds(wall_seconds(F.col(local)))
+
+
+def stream_without_stream_overlap(
+    recent: DataFrame,
+    history: DataFrame,
+    tolerance: int = schemas.Thresholds().overlap_seconds,
+    delay: str = "1 hour",
+) -> DataFrame:
+    """Recent plays that a *stream* of history plays does not hold, each once it is certain.
+
+    An outer join of two streams within ``tolerance`` seconds, both with a watermark: a play without
+    a partner comes out when no history play of its time can arrive any more, and both sides forget
+    what is past. Plays meet by track and time slot, so those of a hot track spread over its slots;
+    a history play stands in the slots beside its own as well.
+    """
+    width = tolerance + 1
+    at = _instant("played_at")
+    slot = F.floor(wall_seconds(F.col("played_at")) / width)
+    left = recent.select("*", at.alias("_at"), slot.alias("_slot")).withWatermark("_at", delay)
+    near = history.select(
+        F.col(URI).alias("_uri"),
+        at.alias("_there"),
+        F.explode(F.array(slot - 1, slot, slot + 1)).alias("_near"),
+    ).withWatermark("_there", delay)
+    reach = F.expr(f"INTERVAL '{tolerance}' SECOND")  # a literal, from which Spark derives when to forget
+    met = (
+        (F.col(URI) == F.col("_uri"))
+        & (F.col("_slot") == F.col("_near"))
+        & F.col("_there").between(F.col("_at") - reach, F.col("_at") + reach)
+    )
+    return left.join(near, met, "left_outer").where(F.col("_uri").isNull()).select(*recent.columns)
+
+
+HISTORY_BY_DAY = f"{URI} string, played_at timestamp_ntz, day date"
+
+
+def write_history_by_day(events: DataFrame, path: str) -> None:
+    """Track and time of history plays, in a folder per day, for checks that look into few days."""
+    rows = events.select(URI, "played_at", F.to_date("played_at").alias("day"))
+    rows.hint("rebalance", "day").sortWithinPartitions("day", URI).write.partitionBy("day").parquet(path)
+
+
+def near_history(
+    batch: DataFrame, path: str, tolerance: int = schemas.Thresholds().overlap_seconds
+) -> DataFrame:
+    """The history of the days that a batch of plays reaches: the filter is one on folders.
+
+    The driver sees the batch's days, not its plays.
+    """
+    reach = F.make_dt_interval(secs=F.lit(tolerance))
+    days = F.array(*[F.to_date(t) for t in (F.col("played_at") - reach, F.col("played_at") + reach)])
+    found = [r.day for r in batch.select(F.explode(days).alias("day")).distinct().collect()]
+    return read_slots(batch.sparkSession, path, HISTORY_BY_DAY, "day", found)
+
+
+def start_overlap_check_by_day(
+    recent: DataFrame,
+    history_by_day: str,
+    output: str,
+    checkpoint: str,
+    tolerance: int = schemas.Thresholds().overlap_seconds,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Recent plays the history does not hold, each batch against the days of the history it reaches."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        kept = without_overlap(batch, near_history(batch, history_by_day, tolerance), tolerance)
+        kept.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+
+    return (
+        recent.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

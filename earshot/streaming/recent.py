@@ -100,3 +100,41 @@ def session_windows(
     return grouped.agg(F.max(at).alias("session_end"), F.count("*").alias("play_count")).select(
         *partition_cols, F.col("w.start").alias("session_start"), "session_end", "play_count"
     )
+
+
+#: State on local disk with checkpoints, and sessions merged before the shuffle, so that a user with
+#: most of the plays sends sessions, not plays.
+SESSION_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+
+def start_sessions(
+    plays: DataFrame,
+    at: str,
+    gap_seconds: int,
+    partition_cols: Sequence[str],
+    path: str,
+    checkpoint: str,
+    delay: str = "1 hour",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append the sessions of a stream once they are over.
+
+    A session is over when the watermark, ``delay`` behind the newest play, is ``gap_seconds`` past its
+    last play. It then leaves the state, which holds open sessions only, and is never written again.
+    """
+    spark = plays.sparkSession
+    before = {key: spark.conf.get(key, None) for key in SESSION_SETTINGS}
+    for key, value in SESSION_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        windows = session_windows(plays, at, gap_seconds, partition_cols, delay)
+        return stream_table(windows, path, checkpoint, trigger)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

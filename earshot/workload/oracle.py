@@ -319,6 +319,8 @@ WHERE NOT EXISTS (
     SELECT 1 FROM hist_event h WHERE h.spotify_track_uri = r.spotify_track_uri
        AND abs(date_sub('second', h.played_at, r.played_at)) <= 60)"""
 CLASSIFIED_RECENT = f"{FOR_PLAYS} SELECT {_play_columns()} FROM recent_plays"
+CLASSIFIED_PER_USER = f"""{_with(EVENTS, TRACKS, PLAYS)},
+{_recent_plays("user_plays", "gaps_user")} SELECT {_play_columns("user_id,")} FROM user_plays"""
 MAPPING = f"{FOR_TAGS} SELECT tag_id, spotify_track_uri FROM mapping"
 TRACK_STATS = f"{FOR_STATS} SELECT * FROM stats"
 
@@ -332,8 +334,7 @@ WHERE spotify_track_uri <> ''
     "gap_to_next_play": _gaps("", ""),
     "gap_to_next_per_user": _gaps("user_id,", "PARTITION BY user_id"),
     "classify_recent": CLASSIFIED_RECENT,
-    "classify_recent_per_user": f"""{_with(EVENTS, TRACKS, PLAYS)},
-{_recent_plays("user_plays", "gaps_user")} SELECT {_play_columns("user_id,")} FROM user_plays""",
+    "classify_recent_per_user": CLASSIFIED_PER_USER,
     "dedup_recent": f"{FOR_PLAYS} SELECT {_play_columns()} FROM kept",
     "plays": f"{FOR_PLAYS} SELECT {_play_columns()} FROM plays",
     "plays_summary": f"""{FOR_PLAYS} SELECT source, play_quality, count(*) AS n FROM plays
@@ -506,4 +507,12 @@ FROM history""",
     "stream_overlap": STREAM_OVERLAP,
     "stream_overlap_bounded": STREAM_OVERLAP,
     "stream_sessions": _sessions("raw_recent", "user_id", 21600),
+    "stream_classify_shuffled": CLASSIFIED_RECENT,
+    "stream_classify_shuffled_per_user": CLASSIFIED_PER_USER,
+    "stream_recent_two_tiers": STORED_RECENT,
+    "stream_sessions_closed": f"""SELECT s.* FROM ({_sessions("raw_recent", "user_id", 21600)}) s
+WHERE CAST(session_end AS TIMESTAMP) + to_hours(6) <= (
+  SELECT max(CAST(session_end AS TIMESTAMP)) - to_hours(1) FROM ({_sessions("raw_recent", "user_id", 21600)}))""",
+    "stream_overlap_streams": STREAM_OVERLAP,
+    "stream_overlap_by_day": STREAM_OVERLAP,
 }

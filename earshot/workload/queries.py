@@ -30,7 +30,9 @@ from earshot.sources.tables import (
     write_plays,
 )
 from earshot.streaming import classify as SC
+from earshot.streaming import lossless as SL
 from earshot.streaming import recent as SR
+from earshot.streaming import repair as SP
 from earshot.workload import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -673,3 +675,84 @@ def stream_sessions(spark, sf):
         .awaitTermination()
     )
     return spark.read.parquet(stored)
+
+
+def _delivered(spark, df: DataFrame, landing: str, parts: list, run: Callable[[DataFrame], object]) -> None:
+    """Let the parts of a frame (conditions) arrive one after the other, with a run after each."""
+    for part in parts:
+        df.where(part).write.mode("append").parquet(landing)
+        run(spark.readStream.schema(df.schema).parquet(landing)).awaitTermination()
+
+
+def _dealt(df: DataFrame, n: int) -> list:
+    """Conditions that deal rows out by a hash, so that every part has plays of every time."""
+    return [F.pmod(F.xxhash64(*df.columns), F.lit(n)) == i for i in range(n)]
+
+
+@query
+def stream_classify_shuffled(spark, sf):
+    """Recent plays in three deliveries, each of plays of all times: late ones end in the result."""
+    landing, output, marks = (scratch_path(spark, x) for x in ("landing", "output", "marks"))
+    tracks, rows = V.track_data(spark, sf), _distinct_recent(spark, sf)
+    start = lambda stream: SP.start_repairing_classification(stream, tracks, output, marks)
+    _delivered(spark, rows, landing, _dealt(rows, 3), start)
+    return SP.classified_log(spark, output)
+
+
+@query
+def stream_classify_shuffled_per_user(spark, sf):
+    landing, output, marks = (scratch_path(spark, x) for x in ("landing", "output", "marks"))
+    tracks, rows = V.track_data(spark, sf), V.recent(spark, sf)
+    start = lambda stream: SP.start_repairing_classification(stream, tracks, output, marks, partition_cols=["user_id"])
+    _delivered(spark, rows, landing, _dealt(rows, 3), start)
+    return SP.classified_log(spark, output, ["user_id bigint"])
+
+
+@query
+def stream_recent_two_tiers(spark, sf):
+    """Landed pages in three deliveries, with plays months behind the look-back; nothing is lost."""
+    folder, output, marks = (scratch_path(spark, x) for x in ("pages", "output", "marks"))
+    pages = V.recent_pages(spark, sf)
+    for part in _dealt(pages.select("cursors"), 3):
+        pages.where(part).write.mode("append").json(folder)
+        SL.start_lossless_ingest(SR.page_stream(spark, folder), output, marks).awaitTermination()
+    return SL.ingested(spark, output)
+
+
+@query
+def stream_sessions_closed(spark, sf):
+    """Session windows per user in append mode: those that are over at the last watermark."""
+    landing, stored, marks = (scratch_path(spark, x) for x in ("landing", "table", "marks"))
+    rows = V.recent(spark, sf).select("user_id", F.col("played_at").cast("timestamp").alias("at"))
+    month = F.date_format("at", "yyyy-MM")
+    parts = [month <= "2024-01", month == "2024-02", month > "2024-02"]
+    start = lambda stream: SR.start_sessions(stream, "at", 6 * 3600, ("user_id",), stored, marks)
+    _delivered(spark, rows, landing, parts, start)
+    return spark.read.parquet(stored)
+
+
+@query
+def stream_overlap_streams(spark, sf):
+    """Recent plays and history both as streams; a mark far ahead in each closes what came before."""
+    rows = _distinct_recent(spark, sf)
+    events = P.history_events(V.history(spark, sf)).select("spotify_track_uri", "played_at")
+    folders, stored = [scratch_path(spark, x) for x in ("recent", "history")], scratch_path(spark, "table")
+    far = F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'").alias("played_at")
+    end = spark.range(1).select(F.lit("").alias("track_name"), far, F.lit("").alias("spotify_track_uri"))
+    for df, folder in zip((rows, events), folders, strict=True):
+        df.unionByName(end.select(*df.columns)).write.parquet(folder)
+    streams = [spark.readStream.schema(d.schema).parquet(f) for d, f in zip((rows, events), folders, strict=True)]
+    kept = SC.stream_without_stream_overlap(*streams)
+    SR.stream_table(kept, stored, scratch_path(spark, "marks")).awaitTermination()
+    return spark.read.schema(schemas.RECENT).parquet(stored)
+
+
+@query
+def stream_overlap_by_day(spark, sf):
+    """A stream of recent plays against the days of the history that each batch reaches."""
+    landing, by_day, stored, marks = (scratch_path(spark, x) for x in ("landing", "history", "table", "marks"))
+    SC.write_history_by_day(P.history_events(V.history(spark, sf)), by_day)
+    rows = _distinct_recent(spark, sf)
+    start = lambda stream: SC.start_overlap_check_by_day(stream, by_day, stored, marks)
+    _delivered(spark, rows, landing, _dealt(rows, 2), start)
+    return spark.read.schema(schemas.RECENT).parquet(stored).drop("batch_id")
