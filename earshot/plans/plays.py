@@ -72,9 +72,13 @@ def classify_history(
     on_bad: str = "fail",
 ) -> DataFrame:
     """Plays of the exported history, quality from end reason and played ratio."""
+    return classify_events(history_events(history, tz, on_bad), track_data, limits)
+
+
+def classify_events(events: DataFrame, track_data: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
+    """The same of events whose time is known already."""
     return (
-        history_events(history, tz, on_bad)
-        .select(URI, "played_at", "ms_played", "reason_end")
+        events.select(URI, "played_at", "ms_played", "reason_end")
         .join(durations(track_data), URI, "left")
         .withColumn("_ratio", Q.history_ratio(F.col("ms_played"), F.col("duration_ms")))
         .withColumn("play_percentage", Q.played_share(F.col("_ratio")))

@@ -81,12 +81,15 @@ def track_stats(plays: DataFrame, track_data: DataFrame, as_of: Column | None =
     track has at most one row per day. Those rows move to their track once, and both
     further steps run on that partitioning. Names are joined to the finished rows.
     """
-    as_of = F.current_date() if as_of is None else as_of
+    return stats_of_days(track_days(plays), track_data, as_of)
+
+
+def track_days(plays: DataFrame) -> DataFrame:
+    """The sums of each track and day, from which any longer time is folded."""
     quality = F.col("play_quality")
-    day = F.to_date("played_at")
-    days = (
+    return (
         _with_uri(plays)
-        .groupBy(URI, day.alias("day"))
+        .groupBy(URI, F.to_date("played_at").alias("day"))
         .agg(
             F.count("*").alias("plays"),
             F.count_if(quality == FULL_LISTEN).alias("full"),
@@ -100,8 +103,13 @@ def track_stats(plays: DataFrame, track_data: DataFrame, as_of: Column | None =
             F.min("played_at").alias("first"),
             F.max("played_at").alias("last"),
         )
-        .repartition(URI)
     )
+
+
+def stats_of_days(days: DataFrame, track_data: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """``track_stats`` folded from the sums of ``track_days``."""
+    as_of = F.current_date() if as_of is None else as_of
+    days = days.repartition(URI)
     added = ["plays", "full", "natural", "partial", "skip", "none", "share_sum", "share_n", "ms"]
 
     def roll_up(df: DataFrame, *keys: str | Column, extra: tuple[Column, ...]) -> DataFrame:
