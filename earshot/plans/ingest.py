@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from earshot import schemas
 from earshot.operators.clean import drop_duplicate_rows, trim_strings
 from earshot.operators.enrich import track_rows, unique_tracks
+from earshot.plans.ledger import Counter
 from earshot.session import scratch_path
 from earshot.sources import payloads
 from earshot.sources.history import RECORD, exists, record_columns, record_keys, remove, scan_records
@@ -111,39 +112,44 @@ def ingest_recent(
     calls_table: str,
     tz: str = schemas.HOME_TIMEZONE,
     call_made: datetime | None = None,
-) -> None:
+) -> dict[str, int]:
     """Load landed recently-played pages: one audit row per page, distinct plays.
 
     Pages are told apart by file and content, and ``calls_table`` records them; a page it holds
     is neither audited nor loaded again. ``call_made`` is when the page's file was written,
-    unless given.
+    unless given. Returns the pages that were new, their plays, and the plays that were added.
     """
     pages = payloads.read_pages(spark, folder, schemas.RECENT_PAGE, located=True)
     if exists(spark, calls_table):
         loaded = read_or_empty(spark, calls_table, schemas.RECENT_CALLS).select("page").where("page IS NOT NULL")
         pages = pages.join(loaded, "page", "left_anti")
-    staged = scratch_path(spark, "pages")
+    staged, counter = scratch_path(spark, "pages"), Counter()
     try:
-        pages.write.parquet(staged)
+        counter.watch("pages", pages).write.parquet(staged)
         fresh = spark.read.schema(pages.schema).parquet(staged)
-        rows = payloads.recent_rows(fresh, tz)
-        write_table(new_recent_rows(spark, rows, recent_table), recent_table)
+        rows = counter.watch("plays", payloads.recent_rows(fresh, tz))
+        write_table(counter.watch("added", new_recent_rows(spark, rows, recent_table)), recent_table)
         # Last, so that a load that broke off is done again; its plays are then known already.
         write_table(payloads.call_rows(fresh, call_made, tz), calls_table)
+        return counter.counts()
     finally:
         remove(spark, staged)
 
 
-def ingest_tracks(spark: SparkSession, folder: str, table: str, rejects: str) -> None:
+def ingest_tracks(spark: SparkSession, folder: str, table: str, rejects: str) -> dict[str, int]:
     """Add landed track payloads to ``track_data``; tracks it already holds stay as they are.
 
     Artists stay one array column, so a track with more artists changes no schema. Rejected
-    payloads are stored once each, however often the folder is loaded.
+    payloads are stored once each, however often the folder is loaded. Returns the usable payloads, the
+    tracks that were added, and the payloads that were newly rejected.
     """
+    counter = Counter()
     rows, bad = track_rows(payloads.scan_tracks(spark, folder))
+    rows = counter.watch("usable", rows)
     known = read_or_empty(spark, table, schemas.TRACK_DATA).select("source_uri")
-    write_table(unique_tracks(rows).join(known, "source_uri", "left_anti"), table)
+    write_table(counter.watch("added", unique_tracks(rows).join(known, "source_uri", "left_anti")), table)
     fresh = bad.dropDuplicates()
     if exists(spark, rejects):
         fresh = fresh.subtract(read_or_empty(spark, rejects, schemas.TRACK_PAYLOAD))
-    write_table(fresh, rejects)
+    write_table(counter.watch("rejected", fresh), rejects)
+    return counter.counts()

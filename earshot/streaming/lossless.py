@@ -24,13 +24,14 @@ def store_batch(
     Two tiers tell whether a play is known. ``<output>/window`` holds the keys of the last
     ``look_back`` seconds before the newest play; most plays are looked up there, and its size
     doesn't grow with the table. Plays from before that, which a watermark would drop, are
-    looked up in the stored table, in the folders of just their days. Each batch writes its own
-    folders, which its next attempt replaces.
+    looked up in the stored table, in the folders of just their days. ``<output>/calls`` gets an audit
+    row per page. Each batch writes its own folders, which its next attempt replaces.
     """
     spark = pages.sparkSession
     played = F.col("played_at")
     root = f"{output}/_batch-{batch_id}"
     remove(spark, root)
+    payloads.call_rows(pages, None, tz).write.mode("overwrite").parquet(f"{output}/calls/batch_id={batch_id}")
     rows = payloads.recent_rows(pages, tz)
     rows.dropDuplicates(IDENTITY).withColumn("day", F.to_date(played)).write.parquet(f"{root}/fresh")
     fresh = spark.read.schema(f"{schemas.RECENT}, day date").parquet(f"{root}/fresh")
@@ -56,12 +57,13 @@ def store_batch(
     if newest is not None:
         keys = keys.where(played >= F.lit(newest).cast("timestamp_ntz") - back).dropDuplicates()
     keys.write.mode("overwrite").parquet(f"{output}/window/batch_id={batch_id}")
+    n_pages = read_or_empty(spark, f"{output}/calls/batch_id={batch_id}", schemas.RECENT_CALLS).count()
     n_rows = fresh.count()
     added = {r.late: r["count"] for r in spark.read.schema(f"{schemas.RECENT}, late boolean").parquet(folder).groupBy("late").count().collect()}
     # A batch that is run again needs the window of the batch before it, none older.
     remove(spark, f"{output}/window/batch_id={batch_id - 2}")
     remove(spark, root)
-    return {"plays": n_rows, "added": sum(added.values()), "added_late": added.get(True, 0) if before else 0}
+    return {"pages": n_pages, "plays": n_rows, "added": sum(added.values()), "added_late": added.get(True, 0) if before else 0}
 
 
 def _stored(spark: SparkSession, output: str) -> DataFrame:
@@ -76,6 +78,11 @@ def ingested(spark: SparkSession, output: str) -> DataFrame:
     return _stored(spark, output).select(*IDENTITY)
 
 
+def calls(spark: SparkSession, output: str) -> DataFrame:
+    """The audit rows so far, one per page."""
+    return read_or_empty(spark, f"{output}/calls", f"{schemas.RECENT_CALLS}, batch_id bigint").drop("batch_id")
+
+
 def start_lossless_ingest(
     pages: DataFrame,
     output: str,

@@ -516,3 +516,40 @@ WHERE CAST(session_end AS TIMESTAMP) + to_hours(6) <= (
     "stream_overlap_streams": STREAM_OVERLAP,
     "stream_overlap_by_day": STREAM_OVERLAP,
 }
+
+
+def _count(sql: str) -> str:
+    return f"(SELECT count(*) FROM ({sql}))"
+
+
+_FOUND = f"{_with(EVENTS)}, {URIS} SELECT uri FROM found WHERE track_id IS NOT NULL"
+_CLEANED = f"""{FOR_PLAYS}, cleaned AS (
+  SELECT DISTINCT ts, ms_played, spotify_track_uri, reason_start, reason_end, shuffle, offline, platform
+  FROM hist_event) SELECT * FROM cleaned"""
+_COUNTS = {
+    ("ingest_history", "read"): "(SELECT count(*) FROM events)",
+    ("ingest_history", "written"): _count(ORACLE["ingest_history_files"]),
+    ("ingest_recent", "pages"): _count(ORACLE["recent_calls"]),
+    ("ingest_recent", "plays"): "(SELECT count(*) + count(*) FILTER (event_id % 40 < 10) FROM events)",
+    ("ingest_recent", "added"): _count(STORED_RECENT),
+    ("uris_to_enrich", "uris"): _count(_FOUND),
+    ("ingest_tracks", "usable"): _count(ORACLE["ingest_track_payloads"]),
+    ("ingest_tracks", "added"): _count(ORACLE["ingest_track_payloads"]),
+    ("ingest_tracks", "rejected"): _count(ORACLE["stored_rejects"]),
+    ("uris_left", "uris"): _count(ORACLE["uris_to_enrich"]),
+    ("rebuild_plays", "extended_history"): _count(_CLEANED),
+    ("rebuild_plays", "recently_played"): _count(f"{FOR_PLAYS} SELECT * FROM kept"),
+    ("rebuild_track_stats", "tracks"): _count(TRACK_STATS),
+    ("rebuild_tag_mapping", "mapped"): _count(MAPPING),
+    ("rebuild_tag_mapping", "playlists"): _count(ORACLE["tags_per_playlist"]),
+    ("rebuild_tag_mapping", "unmatched_playlists"): _count(ORACLE["unmatched_playlists"]),
+    ("rebuild_tag_mapping", "unmatched_tags"): _count(ORACLE["unmatched_tags"]),
+}
+ORACLE["run_ledger"] = " UNION ALL ".join(
+    f"SELECT '{step}' AS step, 'night' AS run, '{name}' AS name, {sql} AS rows" for (step, name), sql in _COUNTS.items()
+)
+ORACLE["stream_calls"] = f"""SELECT before_ts, after_ts, NULL AS name, NULL AS rows FROM ({ORACLE["recent_calls"]})
+UNION ALL SELECT NULL, NULL, 'pages', {_count(ORACLE["recent_calls"])}
+UNION ALL SELECT NULL, NULL, 'added', {_count(STORED_RECENT)}"""
+ORACLE["rebuild_after_one_day"] = TRACK_STATS
+ORACLE["plays_after_one_day"] = ORACLE["plays"]

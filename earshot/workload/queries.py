@@ -15,10 +15,12 @@ from earshot.operators import clean as C
 from earshot.operators import enrich as E
 from earshot.operators import tags as G
 from earshot.operators.timeline import gap_to_next, sessions
-from earshot.plans import ingest, pipeline
+from earshot.plans import incremental as IN
+from earshot.plans import ingest, pipeline, runs
 from earshot.plans import plays as P
 from earshot.plans import reports as R
 from earshot.plans import stats as S
+from earshot.plans.ledger import Ledger
 from earshot.session import configure, scratch_path
 from earshot.sources import payloads
 from earshot.sources.history import hadoop_path, scan_history
@@ -756,3 +758,83 @@ def stream_overlap_by_day(spark, sf):
     start = lambda stream: SC.start_overlap_check_by_day(stream, by_day, stored, marks)
     _delivered(spark, rows, landing, _dealt(rows, 2), start)
     return spark.read.schema(schemas.RECENT).parquet(stored).drop("batch_id")
+
+
+# --- incremental rebuild and ledger ----------------------------------------------------
+
+
+def _landed(spark, sf) -> tuple[pipeline.Tables, Ledger]:
+    tables = pipeline.Tables(scratch_path(spark, "base"))
+    V.track_data(spark, sf).write.parquet(tables.path("track_data"))
+    return tables, Ledger(spark, tables.path("ledger"))
+
+
+def _rebuilt_after_one_day(spark, sf) -> pipeline.Tables:
+    """All days but one landed and built, then that day landed and the days it reaches built again."""
+    tables, ledger = _landed(spark, sf)
+    late = "{0} = DATE'2024-02-10'"
+    history, recent = V.history(spark, sf), V.recent(spark, sf)
+    for run, way in (("first", "NOT {0}"), ("second", "{0}")):
+        of_history, of_recent = (way.format(late.format(f"to_date({c})")) for c in ("to_timestamp_ntz(left(ts, 19))", "played_at"))
+        IN.land_history(spark, tables, ledger, run, history.where(of_history))
+        IN.land_recent(spark, tables, ledger, run, recent.where(of_recent))
+        IN.rebuild_changed_days(spark, tables, ledger, run, F.lit(AS_OF).cast("date"))
+    return tables
+
+
+@query
+def rebuild_after_one_day(spark, sf):
+    """The statistics after an incremental rebuild."""
+    tables = _rebuilt_after_one_day(spark, sf)
+    return spark.read.schema(schemas.TRACK_STATS).parquet(tables.path("track_stats"))
+
+
+@query
+def plays_after_one_day(spark, sf):
+    """The plays after an incremental rebuild."""
+    return IN.plays_by_day(spark, _rebuilt_after_one_day(spark, sf)).select(*schemas.PLAY_COLUMNS)
+
+
+def _run_twice(spark, sf) -> Ledger:
+    """The whole chain from landed files, twice under one name: the second time every step is known."""
+    tables = pipeline.Tables(scratch_path(spark, "base"))
+    landed = runs.Landed(*(scratch_path(spark, x) for x in ("history", "pages", "payloads", "lists", "items")))
+    V.history(spark, sf).drop("event_id").write.json(landed.history)
+    V.recent_pages(spark, sf).write.json(landed.recent)
+    V.track_payloads(spark, sf).write.json(landed.tracks)
+    entry = F.struct(F.col("playlist_id").alias("id"), "name")
+    V.playlists(spark, sf).select(F.array(entry).alias("items")).write.json(landed.playlists)
+    V.playlist_items(spark, sf).select(
+        "playlist_id", F.array(F.struct("item", "track")).alias("items")
+    ).write.json(landed.playlist_items)
+    V.tags(spark, sf).write.parquet(tables.path("tags"))
+    ledger = Ledger(spark, tables.path("ledger"))
+    for _ in range(2):
+        runs.run_all(spark, tables, landed, ledger, "night", F.lit(AS_OF).cast("date"))
+    return ledger
+
+
+@query
+def run_ledger(spark, sf):
+    """What every step of the chain counted."""
+    counted = _run_twice(spark, sf).counted()
+    return counted.select("step", "run", "name", "rows")
+
+
+@query
+def stream_calls(spark, sf):
+    """The audit rows of a stream of pages, and its batches run again."""
+    folder, output, marks = (scratch_path(spark, x) for x in ("pages", "output", "marks"))
+    pages = V.recent_pages(spark, sf)
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+
+    def again(batch, batch_id, counts):
+        ledger.record("stream_recent", f"batch-{batch_id}", counts)
+        SL.store_batch(batch, batch_id, output)
+
+    for part in _dealt(pages.select("cursors"), 2):
+        pages.where(part).write.mode("append").json(folder)
+        SL.start_lossless_ingest(SR.page_stream(spark, folder), output, marks, on_batch=again).awaitTermination()
+    counts = ledger.counted().groupBy("name").agg(F.sum("rows").alias("rows")).where("name IN ('pages', 'added')")
+    calls = SL.calls(spark, output).select("before_ts", "after_ts", F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("rows"))
+    return calls.unionByName(counts, allowMissingColumns=True)
