@@ -42,7 +42,7 @@ dit disait écrit prétend dijo dice escribió afirma llamó
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;\n]")
 STOPS = frozenset(".!?;\n")
 #: Shortest and longest learnt stem.
-STEM = (3, 7)
+STEM = (3, 10)
 #: Support a learnt word or stem needs in toxic texts, and its least log ratio; forms of a stem.
 MIN_SUPPORT, MIN_WEIGHT, MIN_FORMS = 5, 3.0, 5
 #: Different texts of each label, at most, from which the last step's weights are fitted.
@@ -80,9 +80,18 @@ def _within(trigger: str, events: str, factor: float, reach: int) -> Transducer:
     return Transducer(arcs)
 
 
+def _behind(part: Transducer, verb: str, object_: str) -> Transducer:
+    """``part`` starting anew at ``verb``, which takes the ``object_`` directly behind it for its own."""
+    states = {s for s, _ in part.arcs} | {s for s, _ in part.arcs.values()}
+    own = max(states) + 1
+    arcs = part.arcs | {(s, verb): (own, 1.0) for s in [*states, own]}
+    return Transducer(arcs | {(own, object_): (0, 1.0), (own, "*"): (0, 1.0)})
+
+
 #: The parts of the grammar. An insult or threat counts more with a target or an intent shortly
-#: before it, less when it is negated, and less for the rest of a clause after a reporting verb.
-AIMED = _within(TARGET, INSULT + THREAT, 1.5, 4)
+#: before it (whom a reporting verb is about is no target), less when it is negated, and less for the rest
+#: of a clause after a reporting verb.
+AIMED = _behind(_within(TARGET, INSULT + THREAT, 1.5, 4), SAID, TARGET)
 MEANT = _within(WILL, THREAT, 2.0, 3)
 DENIED = _within(NOT, INSULT + THREAT, 0.3, 3)
 REPORTED = Transducer({(0, SAID): (1, 1.0), (1, INSULT): (1, 0.5), (1, THREAT): (1, 0.5)})
