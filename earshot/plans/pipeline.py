@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from earshot import schemas
-from earshot.operators.tags import TagSync, sync_tags
+from earshot.operators.tags import TagSync, generated_playlist, sync_tags
 from earshot.plans.plays import build_plays, plays_summary
 from earshot.plans.stats import track_stats
 from earshot.sources import payloads
@@ -16,7 +17,9 @@ from earshot.sources.tables import (
     TRACK_DATA_RULES,
     check_constraints,
     overwrite,
+    read_or_empty,
     read_required,
+    recover,
     write_plays,
     write_stats,
 )
@@ -71,3 +74,36 @@ def rebuild_tag_mapping(
     )
     overwrite(result.mapping, tables.path("tag_mapping"), **TAG_MAPPING_RULES)
     return result
+
+
+def store_playlist(
+    spark: SparkSession,
+    tables: Tables,
+    tracks: DataFrame,
+    name: str,
+    uri: str | None = None,
+    tag_id: int | None = None,
+) -> int:
+    """Store the result of a tag query as a playlist, or anew under its name; returns its id.
+
+    ``playlists`` gets a row, ``playlist_mapping`` a folder with its tracks, written first: a playlist
+    that has a row has its tracks.
+    """
+    path, mapping_path = tables.path("playlists"), tables.path("playlist_mapping")
+    recover(spark, path)
+    playlists = read_or_empty(spark, path, schemas.PLAYLISTS)
+    same = F.col("playlist_name") == name
+    own, highest = playlists.agg(F.max(F.when(same, F.col("playlist_id"))), F.max("playlist_id")).first()
+    playlist_id = own if own is not None else (highest or 0) + 1
+    row, mapping = generated_playlist(tracks, playlist_id, name, uri, tag_id)
+    mapping.drop("playlist_id").write.mode("overwrite").parquet(f"{mapping_path}/playlist_id={playlist_id}")
+    others = playlists.where(F.col("playlist_id") != playlist_id)
+    overwrite(others.unionByName(row), path, not_null=["playlist_id", "playlist_name"], key=["playlist_id"])
+    return playlist_id
+
+
+def stored_playlists(spark: SparkSession, tables: Tables) -> DataFrame:
+    """playlist_id, playlist_name, spotify_track_uri of all stored playlists."""
+    mapping = read_or_empty(spark, tables.path("playlist_mapping"), "spotify_track_uri string, playlist_id bigint")
+    playlists = read_required(spark, tables.path("playlists"), schemas.PLAYLISTS)
+    return playlists.join(mapping, "playlist_id").select("playlist_id", "playlist_name", "spotify_track_uri")

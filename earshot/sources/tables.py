@@ -79,17 +79,21 @@ def overwrite(
     token = uuid.uuid4().hex
     staged_path, retired_path = f"{path}.staged-{token}", f"{path}.retired-{token}"
     rules = _column_rules(not_null, max_length)
-    if rules:
-        seen = Observation()
-        observed = [rule.alias(name) for name, rule in rules.items()]
-        df.observe(seen, *observed).write.partitionBy(*partition_by).parquet(staged_path)
-        _raise_broken(seen.get)
-    else:
-        df.write.partitionBy(*partition_by).parquet(staged_path)
-    if key:
-        check_constraints(read_or_empty(spark, staged_path, _ddl(df)), key=key)
-
     _, staged = hadoop_path(spark, staged_path)
+    try:
+        if rules:
+            seen = Observation()
+            observed = [rule.alias(name) for name, rule in rules.items()]
+            df.observe(seen, *observed).write.partitionBy(*partition_by).parquet(staged_path)
+            _raise_broken(seen.get)
+        else:
+            df.write.partitionBy(*partition_by).parquet(staged_path)
+        if key:
+            check_constraints(read_or_empty(spark, staged_path, _ddl(df)), key=key)
+    except BaseException:
+        fs.delete(staged, True)
+        raise
+
     _, retired = hadoop_path(spark, retired_path)
     if fs.exists(target) and not fs.rename(target, retired):
         raise OSError(f"could not set {path} aside")

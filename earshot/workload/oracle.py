@@ -553,3 +553,18 @@ UNION ALL SELECT NULL, NULL, 'pages', {_count(ORACLE["recent_calls"])}
 UNION ALL SELECT NULL, NULL, 'added', {_count(STORED_RECENT)}"""
 ORACLE["rebuild_after_one_day"] = TRACK_STATS
 ORACLE["plays_after_one_day"] = ORACLE["plays"]
+ORACLE["plays_looked_up"] = f"""SELECT * FROM ({ORACLE["plays"]}) WHERE spotify_track_uri = 'spotify:track:100'
+UNION ALL SELECT * FROM ({ORACLE["plays"]}) WHERE played_at BETWEEN '2024-02-10 08:00:00' AND '2024-02-10 08:59:59'"""
+# A track has far fewer days than a sketch has cells: the estimates are exact then.
+ORACLE["quarter_from_sketches"] = f"""SELECT spotify_track_uri, count(*) AS plays,
+       count(DISTINCT substr(played_at, 1, 10)) AS days_played
+FROM ({ORACLE["plays"]}) WHERE substr(played_at, 1, 7) BETWEEN '2024-01' AND '2024-03' GROUP BY 1"""
+ORACLE["stored_playlist_tables"] = f"""SELECT 1 AS playlist_id, playlist_name, spotify_track_uri
+FROM ({ORACLE["generated_playlist"]})
+UNION ALL SELECT 2, 'blue widgets', spotify_track_uri FROM ({ORACLE["tag_query_and"]})"""
+ORACLE["ingest_history_replaced"] = ORACLE["ingest_history_files"].replace("SELECT DISTINCT ts", "SELECT ts")
+ORACLE["refused_loads"] = f"""SELECT load, outcome, {_count(ORACLE["ingest_history_files"])} AS n_rows FROM (VALUES
+  ('no folder', 'NotADirectoryError'), ('a file', 'NotADirectoryError'), ('table there', 'AnalysisException')) AS v(load, outcome)"""
+ORACLE["artist_column_count"] = f"""{_with(TRACKS)} SELECT CAST(max(n_artists) AS BIGINT) AS needed,
+       CAST(max(n_artists) AS BIGINT) AS columns FROM payload"""
+ORACLE["calls_made_now"] = f"SELECT count(*) AS n, count(*) AS n_now FROM ({ORACLE['recent_calls']})"

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot import schemas
 from earshot.functions.text import present
+from earshot.functions.times import local_time
 from earshot.operators import clean as C
 from earshot.operators import enrich as E
 from earshot.operators import tags as G
@@ -21,9 +23,11 @@ from earshot.plans import plays as P
 from earshot.plans import reports as R
 from earshot.plans import stats as S
 from earshot.plans.ledger import Ledger
+from earshot.plans.rollups import monthly_sketches, rolled_up
 from earshot.session import configure, scratch_path
 from earshot.sources import payloads
 from earshot.sources.history import hadoop_path, scan_history
+from earshot.sources.layout import look_up, write_for_lookup
 from earshot.sources.tables import (
     PLAYS_RULES,
     TRACK_STATS_RULES,
@@ -838,3 +842,85 @@ def stream_calls(spark, sf):
     counts = ledger.counted().groupBy("name").agg(F.sum("rows").alias("rows")).where("name IN ('pages', 'added')")
     calls = SL.calls(spark, output).select("before_ts", "after_ts", F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("rows"))
     return calls.unionByName(counts, allowMissingColumns=True)
+
+
+# --- layout, roll-ups, stored playlists, modes of ingest -------------------------------
+
+
+@query
+def plays_looked_up(spark, sf):
+    """A track's plays and an hour's plays from the layout for look-ups."""
+    path = scratch_path(spark, "lookup")
+    write_for_lookup(_plays(spark, sf), path)
+    of_track = look_up(spark, path, uri="spotify:track:100")
+    of_hour = look_up(spark, path, since="2024-02-10 08:00:00", until="2024-02-10 08:59:59")
+    return of_track.unionByName(of_hour)
+
+
+@query
+def quarter_from_sketches(spark, sf):
+    """Play counts and days of three months folded from stored monthly sketches."""
+    path = scratch_path(spark, "months")
+    monthly_sketches(_plays(spark, sf)).write.parquet(path)
+    months = spark.read.parquet(path).where("month BETWEEN '2024-01' AND '2024-03'")
+    return rolled_up(months)
+
+
+@query
+def stored_playlist_tables(spark, sf):
+    """Two playlists stored, one of them twice, read back with their names."""
+    tables = pipeline.Tables(scratch_path(spark, "base"))
+    pipeline.store_playlist(spark, tables, _select(spark, sf, all_of=("blue",)), "temperature")
+    pipeline.store_playlist(spark, tables, _select(spark, sf, all_of=("blue", "widget")), "blue widgets")
+    hot = _select(spark, sf, any_of=("hot", "cold"), none_of=("anvil",))
+    pipeline.store_playlist(spark, tables, hot, "temperature")
+    return pipeline.stored_playlists(spark, tables)
+
+
+@query
+def ingest_history_replaced(spark, sf):
+    """History files loaded twice without cleaning, the table replaced: copies within a load stay."""
+    folder, stored = scratch_path(spark, "files"), scratch_path(spark, "table")
+    V.history(spark, sf).drop("event_id").write.json(folder)
+    for _ in range(2):
+        ingest.ingest_history(spark, folder, stored, if_exists="replace", clean=False)
+    return read_table(spark, stored)
+
+
+@query
+def refused_loads(spark, sf):
+    """Loads that must fail, and how: no folder, a file for a folder, a table that is there."""
+    folder, stored = scratch_path(spark, "files"), scratch_path(spark, "table")
+    V.history(spark, sf).drop("event_id").write.json(folder)
+    ingest.ingest_history(spark, folder, stored)
+    part = next(iter(spark.read.text(folder).inputFiles()))
+    tried = {"no folder": (f"{folder}-none", "append"), "a file": (part, "append"), "table there": (folder, "fail")}
+    found = []
+    for name, (source, mode) in tried.items():
+        try:
+            ingest.ingest_history(spark, source, stored, if_exists=mode)
+            found.append((name, "loaded"))
+        except (NotADirectoryError, AnalysisException) as error:
+            found.append((name, type(error).__name__))
+    n_rows = spark.read.parquet(stored).count()
+    return spark.createDataFrame([(*f, n_rows) for f in found], "load string, outcome string, n_rows bigint")
+
+
+@query
+def artist_column_count(spark, sf):
+    """The artist columns a wide table has, counted by name, against what its rows ask for."""
+    tracks = V.track_data(spark, sf)
+    wide = E.widen_artists(tracks)
+    return tracks.agg(E.artists_needed(E.artist_columns(wide)).alias("needed")).withColumn(
+        "columns", F.lit(E.artist_columns(wide)).cast("bigint")
+    )
+
+
+@query
+def calls_made_now(spark, sf):
+    """Audit rows of pages without a landing time: each is made at the present time of the home zone."""
+    pages = V.recent_pages(spark, sf)
+    now = local_time(F.current_timestamp(), schemas.HOME_TIMEZONE)
+    calls = payloads.call_rows(pages)
+    late = F.abs(F.unix_timestamp("call_made") - F.unix_timestamp(now)) <= 60
+    return calls.agg(F.count("*").alias("n"), F.count_if(late).alias("n_now"))
