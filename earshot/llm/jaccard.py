@@ -10,14 +10,14 @@ left at the leaves is counted exactly. Cells are cut into blocks of bounded size
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.llm.common import settle, slabs
@@ -25,36 +25,72 @@ from earshot.llm.components import components
 from earshot.session import scratch_path
 from earshot.sources.history import remove
 
-#: Bits of a set's bitmap, nodes below a node, pairs of nodes looked at together, shingles in a block of a cell.
-BITS, FAN, PAIRS, BLOCK = 2048, 8, 1024, 1 << 19
-#: Cells of the count that orders shingles, rarest first, and of the filter in front of the sets; both of fixed size.
-CELLS, SIEVE = 1 << 17, 1 << 22
+#: Least power of two of a bitmap's bits, nodes below a node, pairs of nodes looked at together, shingles in a block of a cell.
+BITS, FAN, PAIRS, BLOCK = 9, 8, 1024, 1 << 19
+#: Cells of the count that orders shingles, rarest first, rows that hold it, and cells of the filter in front of
+#: the texts; all of fixed size.
+CELLS, PARTS, SIEVE = 1 << 17, 64, 1 << 22
 SEED = 42
-#: Odd multiplier of the second smallest-hash key (a fixed value).
+#: Words whose hashes a task remembers, texts that it looks at together.
+WORDS, TEXTS = 1 << 18, 256
+#: Odd multiplier of the hashes and of the second smallest-hash key (a fixed value).
 MIX = 0x9E3779B97F4A7C15
 
 
+class _Words(dict):
+    """64-bit hashes of words; forgets all when there are many, so that its size is bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, SEED)
+        return found
+
+
+_WORDS = _Words()
+
+
+def _chained(words: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of every ``width`` consecutive words, from the hashes of the words."""
+    count = len(words) - width + 1
+    hashes = np.full(count, width, np.uint64)
+    for i in range(width):
+        hashes = (hashes ^ words[i : i + count]) * np.uint64(MIX)
+        hashes ^= hashes >> np.uint64(29)
+    return hashes
+
+
 def shingles(text: bytes, width: int) -> np.ndarray:
-    """Sorted distinct XXH64 of the ``width``-word shingles; with fewer words, of the whole sequence."""
-    found, tail = [np.zeros(0, np.uint64)], []
+    """Sorted distinct 64-bit hashes of the ``width``-word shingles; with fewer words, of the whole sequence."""
+    found, tail = [], np.zeros(0, np.uint64)
     for slab in slabs(text.lower()):
-        words = tail + slab.split()
-        grams = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
-        count = max(0, len(words) - width + 1)
-        found.append(np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, count)))
-        tail = words[len(words) - min(len(words), width - 1) :] if width > 1 else []
-    hashes = np.unique(np.concatenate(found))
-    if not len(hashes) and tail:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(tail), SEED)], np.uint64)
-    return hashes
+        own = slab.split()
+        words = np.concatenate([tail, np.fromiter(map(_WORDS.__getitem__, own), np.uint64, len(own))])
+        if len(words) >= width:
+            found.append(np.unique(_chained(words, width)))
+        tail = words[max(0, len(words) - width + 1) :]
+    if found:
+        return np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+    return _chained(tail, len(tail)) if len(tail) else tail
+
+
+def width_of(size: int) -> int:
+    """Bits of the bitmap of a set: about a third of them are then set, or up to a half in a large one."""
+    return 1 << max(BITS, int(2 * size - 1).bit_length()) if size else 1 << BITS
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(hashes >> np.uint64(32)) % np.uint64(BITS)] = 1
+def bitmap(hashes: np.ndarray, width: int) -> np.ndarray:
+    bits = np.zeros(width, np.uint8)
+    bits[(hashes >> np.uint64(24)) % np.uint64(width)] = 1
     return np.packbits(bits).view(np.uint64)
 
 
+def evened(bitmaps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps folded to the shortest of them."""
+    least = min(map(len, bitmaps))
+    return np.stack([np.bitwise_or.reduce(b.reshape(-1, least), axis=0) for b in bitmaps])
+
+
 def linked(overlap: np.ndarray | int, total: np.ndarray | int, percent: int) -> np.ndarray | bool:
     """100 * overlap >= percent * union, where ``total`` is the sum of both sizes."""
     return (100 + percent) * overlap >= percent * total
@@ -63,12 +99,13 @@ def linked(overlap: np.ndarray | int, total: np.ndarray | int, percent: int) ->
 class Tree:
     """Leaves in a given order, and levels of nodes over FAN of the level below, up to ``height`` levels."""
 
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, height: int):
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, rest: np.ndarray, labels: np.ndarray, height: int):
         slack = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        #: Of each level: OR of the bitmaps, smallest and largest size, most shingles that share a bit.
-        self.levels = [(bits, sizes, sizes, slack)]
+        #: Of each level: OR of the bitmaps, smallest and largest size, most shingles that share a bit, most
+        #: that can be shared if the key of the cell is the first shared one.
+        self.levels = [(bits, sizes, sizes, slack, rest)]
         for _ in range(height - 1):
-            bits, low, high, slack = self.levels[-1]
+            bits, low, high, slack, rest = self.levels[-1]
             cuts = np.arange(0, len(bits), FAN)
             self.levels.append(
                 (
@@ -76,6 +113,7 @@ class Tree:
                     np.minimum.reduceat(low, cuts),
                     np.maximum.reduceat(high, cuts),
                     np.maximum.reduceat(slack, cuts),
+                    np.maximum.reduceat(rest, cuts),
                 )
             )
         self.relabel(labels)
@@ -111,10 +149,10 @@ def walk(left: Tree, right: Tree, percent: int) -> Iterator[tuple[np.ndarray, np
             i, j = i[:PAIRS], j[:PAIRS]
         if same and not level:
             i, j = i[i < j], j[i < j]
-        (bits, low, high, slack), (bits2, low2, high2, slack2) = left.levels[level], right.levels[level]
+        (bits, low, high, slack, rest), (bits2, low2, high2, slack2, rest2) = left.levels[level], right.levels[level]
         labels, labels2 = left.labels[level], right.labels[level]
         shared = np.bitwise_count(bits[i] & bits2[j]).sum(axis=1, dtype=np.int64) + np.minimum(slack[i], slack2[j])
-        most = np.minimum(shared, np.minimum(high[i], high2[j]))
+        most = np.minimum(shared, np.minimum(rest[i], rest2[j]))
         fits = linked(most, low[i] + low2[j], percent) & (100 * high[i] >= percent * low2[j]) & (100 * high2[j] >= percent * low[i])
         fits &= (labels[i] != labels2[j]) | (labels[i] < 0)
         i, j = i[fits], j[fits]
@@ -130,30 +168,31 @@ def walk(left: Tree, right: Tree, percent: int) -> Iterator[tuple[np.ndarray, np
         stack.append((level - 1, a[there], b[there]))
 
 
-def _trees(bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray) -> Iterator[tuple[Tree, Tree, np.ndarray, np.ndarray]]:
+def _trees(bits: np.ndarray, sizes: np.ndarray, rest: np.ndarray, labels: np.ndarray, sides: np.ndarray) -> Iterator[tuple[Tree, Tree, np.ndarray, np.ndarray]]:
     """The one tree of a block, or the trees of both blocks, with the rows of their leaves."""
     order = np.lexsort((sizes, labels))
     rows = [order[sides[order] == s] for s in np.unique(sides)]
     levels = height(max(map(len, rows)))
-    trees = [Tree(bits[r], sizes[r], labels[r], levels) for r in rows]
+    trees = [Tree(bits[r], sizes[r], rest[r], labels[r], levels) for r in rows]
     yield trees[0], trees[-1], rows[0], rows[-1]
 
 
-def candidates(bits: np.ndarray, sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray, percent: int) -> np.ndarray:
+def candidates(bits: np.ndarray, sizes: np.ndarray, rest: np.ndarray, labels: np.ndarray, sides: np.ndarray, percent: int) -> np.ndarray:
     """Which sets may be linked to one of another label."""
     flagged = np.zeros(len(sizes), bool)
-    for left, right, rows, rows2 in _trees(bits, sizes, labels, sides):
+    for left, right, rows, rows2 in _trees(bits, sizes, rest, labels, sides):
         for i, j in walk(left, right, percent):
             flagged[rows[i]] = flagged[rows2[j]] = True
     return flagged
 
 
-def links(sets: list[np.ndarray], labels: np.ndarray, sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def links(sets: list[np.ndarray], rest: np.ndarray, labels: np.ndarray, sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Verified links that connect all sets of a cell that links connect, labels taken as given."""
     sizes, known, found = np.array([len(s) for s in sets]), labels.copy(), []
-    bits = np.stack([bitmap(s) for s in sets])
+    width = width_of(int(sizes.max()))
+    bits = np.stack([bitmap(s, width) for s in sets])
     members: dict[int, frozenset] = {}
-    for left, right, rows, rows2 in _trees(bits, sizes, labels, sides):
+    for left, right, rows, rows2 in _trees(bits, sizes, rest, labels, sides):
         for i, j in walk(left, right, percent):
             a, b = rows[i], rows2[j]
             apart = known[a] != known[b]
@@ -171,11 +210,11 @@ def links(sets: list[np.ndarray], labels: np.ndarray, sides: np.ndarray, percent
     return found
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes], tuple]]:
-    """node, root (as numbers from 0), block, size and payload of the rows of each cell; rows come sorted by key, x, y."""
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes], tuple]]:
+    """node, root (as numbers from 0), block, size, rest and payload of the rows of each cell; rows come sorted by key, x, y."""
     held, now = [], None
     for batch in batches:
-        numbers = [batch.column(c).to_numpy() for c in ("node", "root", "block", "size")]
+        numbers = [batch.column(c).to_numpy() for c in ("node", "root", "block", "size", "rest")]
         marks = np.stack([batch.column(c).to_numpy() for c in ("key", "x", "y")], axis=1)
         cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), len(marks)]
         for start, stop in zip(cuts, cuts[1:], strict=False):
@@ -192,8 +231,8 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
 
 
 def _cell(held: list, cell: tuple) -> tuple:
-    node, root, block, size = (np.concatenate(x) for x in zip(*(numbers for numbers, _ in held), strict=True))
-    return node, np.unique(root, return_inverse=True)[1], block, size, [v for _, values in held for v in values], cell
+    node, root, block, size, rest = (np.concatenate(x) for x in zip(*(numbers for numbers, _ in held), strict=True))
+    return node, np.unique(root, return_inverse=True)[1], block, size, rest, [v for _, values in held for v in values], cell
 
 
 def _sieve(keys: DataFrame) -> np.ndarray:
@@ -204,55 +243,79 @@ def _sieve(keys: DataFrame) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-def _some_sets(sets: DataFrame, wanted: DataFrame, as_bits: bool) -> DataFrame:
-    """(node, payload) of the wanted nodes and, as the filter lets some pass, a few others."""
-    shared = sets.sparkSession.sparkContext.broadcast(_sieve(wanted))
+def _some_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, payload) with the texts of the wanted nodes and, as the filter lets some pass, of a few others."""
+    shared = texts.sparkSession.sparkContext.broadcast(_sieve(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            cell = batch.column("cell").to_numpy()
+            node, cell, text = batch.columns
+            cell = cell.to_numpy()
             kept = np.flatnonzero(bits[cell >> 3] >> (cell & 7) & 1)
-            for start in range(0, len(kept), 512):
-                part = batch.take(pa.array(kept[start : start + 512]))
-                payload = part.column("set")
-                if as_bits:
-                    payload = pa.array([bitmap(np.frombuffer(s, np.uint64)).tobytes() for s in payload.to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("node"), payload], ["node", "payload"])
+            for start in range(0, len(kept), TEXTS):
+                some = pa.array(kept[start : start + TEXTS])
+                yield pa.RecordBatch.from_arrays([node.take(some), text.take(some)], ["node", "payload"])
 
     cell = F.pmod(F.xxhash64("node"), F.lit(SIEVE)).cast("int").alias("cell")
-    return sets.select("node", cell, "set").mapInArrow(run, "node long, payload binary")
+    return texts.select("node", cell, F.col("text").cast("binary")).mapInArrow(run, "node long, payload binary")
+
+
+def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
+    """(node, payload) with the bitmaps of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), TEXTS):
+                node, values = batch.slice(start, TEXTS).columns
+                sets = (shingles(t, width) for t in values.to_pylist())
+                bits = pa.array([bitmap(s, width_of(len(s))).tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([node, bits], ["node", "payload"])
+
+    return texts.mapInArrow(run, "node long, payload binary")
 
 
 def _work(cells: DataFrame, run: Callable, schema: str) -> DataFrame:
     return cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, schema)
 
 
-def _verify(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) of the cells (key, x, y, node, root, size, block), with their sets."""
+def _verify(cells: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links (u, v) of the cells (key, x, y, node, root, size, rest, block), from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node, labels, block, _, payload, _ in _cells(batches):
-            found = links([np.frombuffer(s, np.uint64) for s in payload], labels, block, percent)
+        for node, labels, block, _, rest, payload, _ in _cells(batches):
+            found = links([shingles(t, width) for t in payload], rest, labels, block, percent)
             if found:
                 u, v = np.array(found).T
                 yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["u", "v"])
 
-    full = cells.join(_some_sets(sets, cells.select("node"), False), "node")
+    full = cells.join(_some_texts(texts, cells.select("node")), "node")
     return _work(full, run, "u long, v long")
 
 
+def _rungs(members: DataFrame, percent: int) -> DataFrame:
+    """Members (key, node, root, size, rest) by key and rung of size; ``home`` is false in the rung above their own.
+
+    Sizes of linked sets are at most one rung apart, so they meet in the rung of the larger.
+    """
+    # A little wider than the ratio, so that rounding can't part two sizes further.
+    rung = F.floor(F.log(F.col("size")) / (math.log(100 / percent) * 1.000001 if percent < 100 else 1e-6))
+    step = F.explode(F.array(F.lit(0), F.lit(1)))
+    placed = members.withColumn("rung", rung).select("*", step.alias("step"))
+    return placed.select(F.xxhash64("key", F.col("rung") + F.col("step")).alias("key"), "node", "root", "size", "rest", (F.col("step") == 0).alias("home"))
+
+
 def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Add ``x``, ``y`` and ``block`` to members (key, node, root, size) of cells with more than one root.
+    """Add ``x``, ``y`` and ``block`` to the members of cells with more than one root and one at home at least.
 
     A cell is cut into blocks of about ``block`` shingles; a member comes once for each pair of blocks that
     its own is in.
     """
-    cells = members.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.sum("size").alias("weight"))
-    cells = cells.filter("least <> most").select("key", F.ceil(F.col("weight") / block).alias("n_blocks"))
+    cells = members.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max("home").alias("any"), F.sum("size").alias("weight"))
+    cells = cells.filter("least <> most and any").select("key", F.ceil(F.col("weight") / block).alias("n_blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("n_blocks")).alias("block")
-    dealt = members.join(cells, "key").select("key", "node", "root", "size", own, F.explode(F.expr("sequence(0L, n_blocks - 1)")).alias("other"))
-    return dealt.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "root", "size", "block")
+    dealt = members.join(cells, "key").select("key", "node", "root", "size", "rest", own, F.explode(F.expr("sequence(0L, n_blocks - 1)")).alias("other"))
+    return dealt.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "root", "size", "rest", "block")
 
 
 def _first_round(classes: DataFrame, block: int) -> DataFrame:
@@ -264,54 +327,80 @@ def _first_round(classes: DataFrame, block: int) -> DataFrame:
         "x", F.explode(F.when(F.col("node") == F.col("pivot"), F.expr("sequence(0L, n_blocks - 1)")).otherwise(F.array(own)))
     )
     zero = F.lit(0).cast("long")
-    return dealt.select("key", "x", zero.alias("y"), "node", F.col("node").alias("root"), "size", zero.alias("block"))
+    return dealt.select("key", "x", zero.alias("y"), "node", F.col("node").alias("root"), "size", F.col("size").alias("rest"), zero.alias("block"))
 
 
-def _rarity(sets: DataFrame) -> np.ndarray:
+def _rarity(counted: DataFrame) -> np.ndarray:
     """How often shingles of each of CELLS hash cells occur: a fixed number of counts, added up in Spark."""
-    parts = 64
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.int64)
-        for batch in batches:
-            for start in range(0, len(batch), 512):
-                hashes = np.frombuffer(b"".join(batch.column(0).slice(start, 512).to_pylist()), np.uint64)
-                counts += np.bincount((hashes % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-        rows = [c.tobytes() for c in np.split(counts, parts)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int64()), pa.array(rows, pa.binary())], ["part", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py(), np.int64) for c in table["counts"])
+        total = np.zeros(CELLS // PARTS, np.int64)
+        for value in table["counts"]:
+            total += np.frombuffer(value.as_py(), np.uint32)
         return pa.table({"part": table["part"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    added = sets.select("set").mapInArrow(run, "part long, counts binary").groupBy("part").applyInArrow(add, "part long, counts binary").toArrow()
-    counts = np.zeros((parts, CELLS // parts), np.int64)
+    added = counted.groupBy("part").applyInArrow(add, "part long, counts binary").toArrow()
+    counts = np.zeros((PARTS, CELLS // PARTS), np.int64)
     for part, values in zip(added["part"].to_pylist(), added["counts"].to_pylist(), strict=True):
         counts[part] = np.frombuffer(values, np.int64)
     return counts.ravel()
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, c1, c2): the shingles, rarest first, of which linked sets share one at least."""
-    shared = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
+def _cells_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(CELLS)).astype(np.int64)
+
+
+def _named(texts: DataFrame, width: int) -> DataFrame:
+    """(doc_id, node, c1, c2, k1, k2, size) of each text and, at the end of each task, (part, counts) of its shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CELLS, np.uint32)
+        for batch in batches:
+            for start in range(0, len(batch), TEXTS):
+                ids, nodes, values = batch.slice(start, TEXTS).columns
+                sets = [shingles((t or "").encode(), width) for t in values.to_pylist()]
+                counts += np.bincount(_cells_of(np.concatenate(sets)), minlength=CELLS).astype(np.uint32)
+                names = np.array([np.frombuffer(blake2b(s, digest_size=16).digest(), np.int64) for s in sets])
+                mins = np.array([[s[0], (s * np.uint64(MIX)).min()] if len(s) else [0, 0] for s in sets], np.uint64).view(np.int64)
+                columns = [ids, nodes, *(pa.array(x.copy()) for x in (*names.T, *mins.T)), pa.array([len(s) for s in sets], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.binary())], fields)
+        parts = [c.tobytes() for c in np.split(counts, PARTS)]
+        none = [pa.nulls(PARTS, pa.int64())] * 7
+        yield pa.RecordBatch.from_arrays([*none, pa.array(range(PARTS), pa.int64()), pa.array(parts, pa.binary())], fields)
+
+    fields = ["doc_id", "node", "c1", "c2", "k1", "k2", "size", "part", "counts"]
+    return texts.select("doc_id", "node", "text").mapInArrow(run, ", ".join(f"{f} long" for f in fields[:-1]) + ", counts binary")
+
+
+def _prefixes(texts: DataFrame, counts: np.ndarray, percent: int, width: int) -> DataFrame:
+    """(key, c1, c2, rest): the shingles, rarest first, of which linked sets share one at least.
+
+    Keys of one class only are left out; ``rest`` counts the key and the shingles behind it.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            for start in range(0, len(batch), 512):
-                c1, c2, sets_ = batch.slice(start, 512).columns
-                keys, sizes = [], []
-                for value in sets_.to_pylist():
-                    hashes = np.frombuffer(value, np.uint64)
+            for start in range(0, len(batch), TEXTS):
+                found = []
+                for value in batch.column(0).slice(start, TEXTS).to_pylist():
+                    hashes = shingles((value or "").encode(), width)
+                    if not len(hashes):
+                        continue
                     # Of n shingles, a linked set has percent / 100 at least.
                     length = len(hashes) - -(-percent * len(hashes) // 100) + 1
-                    order = np.lexsort((hashes, counts[hashes % np.uint64(CELLS)]))[:length]
-                    keys.append(hashes[order].view(np.int64))
-                    sizes.append(len(order))
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), c1.take(pa.array(owner)), c2.take(pa.array(owner))], ["key", "c1", "c2"])
+                    order = np.lexsort((hashes, counts[_cells_of(hashes)]))[:length]
+                    name = np.frombuffer(blake2b(hashes, digest_size=16).digest(), np.int64)
+                    found.append(np.column_stack([hashes[order].view(np.int64), np.tile(name, (length, 1)), len(hashes) - np.arange(length)]))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x.copy()) for x in np.concatenate(found).T], ["key", "c1", "c2", "rest"])
 
-    return sets.select("c1", "c2", "set").mapInArrow(run, "key long, c1 long, c2 long").distinct()
+    # One exchange serves the copies that go and the keys of one class only.
+    found = texts.select("text").mapInArrow(run, "key long, c1 long, c2 long, rest long").repartition("key").dropDuplicates()
+    of_key = Window.partitionBy("key")
+    ends = found.withColumn("least", F.min("c1").over(of_key)).withColumn("most", F.max("c1").over(of_key))
+    return ends.filter("least <> most").drop("least", "most")
 
 
 def jaccard_groups(
@@ -332,54 +421,38 @@ def jaccard_groups(
     what its blocks of ``block`` shingles leave to compare: families that the first round connects cost no
     more; sets of a hot cell that are close but not linked are compared block by block, by many tasks.
     """
-    spark = docs.sparkSession
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                ids, rows, texts = batch.slice(start, 256).columns
-                sets = [shingles((t or "").encode(), width) for t in texts.to_pylist()]
-                names = np.array([np.frombuffer(blake2b(s, digest_size=16).digest(), np.int64) for s in sets])
-                firsts = [[int(s[0]), int((s * np.uint64(MIX)).min())] if len(s) else [0, 0] for s in sets]
-                mins = np.array(firsts, np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [ids, rows, *(pa.array(x.copy()) for x in (*names.T, *mins.T)), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["doc_id", "row", "c1", "c2", "k1", "k2", "size", "set"],
-                )
-
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
-    path = scratch_path(spark, "sets")
-    narrow.mapInArrow(run, "doc_id long, row long, c1 long, c2 long, k1 long, k2 long, size long, set binary").write.parquet(path)
-    everything = spark.read.parquet(path)
-    members = settle(everything.select("doc_id", "c1", "c2", "size"), "members")
-    classes = everything.filter("size > 0").groupBy("c1", "c2").agg(F.min("row").alias("node"), *(F.min(c).alias(c) for c in ("size", "k1", "k2", "doc_id")))
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("node"), F.col(text_col).cast("string").alias("text"))
+    path = scratch_path(docs.sparkSession, "texts")
+    narrow.write.parquet(path)
+    texts = docs.sparkSession.read.schema("doc_id long, node long, text string").parquet(path)
+    named = settle(_named(texts, width), "named")
+    members = named.filter("part is null").select("doc_id", "c1", "c2", "size")
+    classes = named.filter("size > 0").groupBy("c1", "c2").agg(*(F.min(c).alias(c) for c in ("node", "size", "k1", "k2", "doc_id")))
     classes = settle(classes, "classes")
-    sets = everything.filter("size > 0").select(F.col("row").alias("node"), "c1", "c2", "set")
 
-    near = settle(_verify(settle(_first_round(classes, block), "cells"), sets, percent), "near")
+    near = settle(_verify(settle(_first_round(classes, block), "cells"), texts, percent, width), "near")
     roots = components(near)
     rooted = settle(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    prefixes = settle(_prefixes(sets, percent), "prefixes")
-    shared = prefixes.groupBy("key").agg(F.min("c1").alias("least"), F.max("c1").alias("most")).filter("least <> most").select("key")
-    entries = prefixes.join(shared, "key").join(rooted.select("c1", "c2", "node", "root", "size"), ["c1", "c2"]).drop("c1", "c2")
-    cells = settle(_blocks(settle(entries, "entries"), block), "cells")
+    prefixes = _prefixes(texts, _rarity(named.filter("part is not null").select("part", "counts")), percent, width)
+    entries = settle(prefixes, "prefixes").join(rooted.select("c1", "c2", "node", "root", "size"), ["c1", "c2"]).drop("c1", "c2")
+    cells = settle(_blocks(_rungs(settle(entries, "entries"), percent), block), "cells")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node, labels, side, sizes, payload, cell in _cells(batches):
-            bits = np.frombuffer(b"".join(payload), np.uint64).reshape(len(payload), -1)
-            kept = np.flatnonzero(candidates(bits, sizes, labels, side, percent))
+        for node, labels, side, sizes, rest, payload, cell in _cells(batches):
+            bits = evened([np.frombuffer(p, np.uint64) for p in payload])
+            kept = np.flatnonzero(candidates(bits, sizes, rest, labels, side, percent))
             if len(kept):
                 yield pa.RecordBatch.from_arrays([pa.array(node[kept]), *(pa.array(np.full(len(kept), c, np.int64)) for c in cell)], ["node", "key", "x", "y"])
 
-    signed = cells.join(_some_sets(sets, cells.select("node"), True), "node")
+    signed = cells.join(_bitmaps(_some_texts(texts, cells.select("node")), width), "node")
     left = settle(_work(signed, sift, "node long, key long, x long, y long"), "left")
     worth = settle(left.join(cells, ["node", "key", "x", "y"]), "worth")
-    far = settle(_verify(worth, sets, percent), "far")
+    far = settle(_verify(worth, texts, percent, width), "far")
     reached = components(near.unionByName(far))
-    remove(spark, path)
     grouped = classes.join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = settle(grouped.join(names, "root").select("c1", "c2", "component_id"), "names")
-    joined = members.join(named, ["c1", "c2"], "left")
+    chosen = settle(grouped.join(names, "root").select("c1", "c2", "component_id"), "names")
+    remove(docs.sparkSession, path)
+    joined = members.join(chosen, ["c1", "c2"], "left")
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("size").alias("n_shingles"), own.alias("component_id"))

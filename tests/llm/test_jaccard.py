@@ -7,7 +7,7 @@ from llm_helpers import odd_docs, texts
 
 from conftest import rows
 from earshot.llm import jaccard
-from earshot.llm.jaccard import Tree, bitmap, height, jaccard_groups, linked, links, shingles, walk
+from earshot.llm.jaccard import Tree, bitmap, evened, height, jaccard_groups, linked, links, shingles, walk, width_of
 
 
 def word_sets(text, width=3):
@@ -94,9 +94,9 @@ def test_walk_leaves_out_no_link(size):
     draw = random.Random(size)
     sets = [shingles(t.encode(), 3) for t in family(draw, size, 70, 9)]
     sizes, labels = np.array([len(s) for s in sets]), np.arange(size)
-    tree = Tree(np.stack([bitmap(s) for s in sets]), sizes, labels, height(size))
+    tree = Tree(evened([bitmap(s, width_of(len(s))) for s in sets]), sizes, sizes, labels, height(size))
     met = {(int(a), int(b)) for i, j in walk(tree, tree, 90) for a, b in zip(i, j)}
     true = {(i, j) for j in range(size) for i in range(j) if linked(len(set(sets[i].tolist()) & set(sets[j].tolist())), len(sets[i]) + len(sets[j]), 90)}
     assert true <= met
-    found = links(sets, labels, np.zeros(size, int), 90)
+    found = links(sets, sizes, labels, np.zeros(size, int), 90)
     assert len(found) < size and {tuple(sorted(x)) for x in found} <= true
