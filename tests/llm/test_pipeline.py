@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
     assert QUERIES.items() <= queries().items() and ORACLE.items() <= oracle_sql().items()
 
 
