@@ -9,21 +9,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.session import scratch_path
+from earshot.sources.history import remove
 
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, written: list[str] | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 
     Cuts lineage so that nothing above is computed twice and a lost executor costs only the
     running stage; the reread table has a known size, so Spark itself decides on broadcasts.
+    ``written`` gets the folder, for ``forget``.
     """
     path = scratch_path(df.sparkSession, name)
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, written: list[str]) -> None:
+    """Remove written tables that nothing reads any more."""
+    while written:
+        remove(spark, written.pop())
+
+
 def fold(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id's decimal text modulo ``parts`` (a null id: of the empty text)."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -59,3 +69,13 @@ def sift(df: DataFrame, keys: DataFrame, column: str, buckets: int = 1 << 17) ->
         .join(F.broadcast(taken), "_cell", "left_semi")
         .drop("_cell")
     )
+
+
+def sieve(df: DataFrame, keys: DataFrame, column: str, blocks: int = 1 << 18) -> DataFrame:
+    """As ``sift`` with 64 cells in each of ``blocks`` integers: as much is broadcast, far fewer rows stay."""
+    cell = F.pmod(F.xxhash64(F.col(column)), F.lit(64 * blocks))
+    placed = keys.select(cell.alias("_cell")).selectExpr("_cell div 64 AS _block", "shiftleft(1L, int(_cell % 64)) AS _bit")
+    taken = placed.groupBy("_block").agg(F.bit_or("_bit").alias("_bits"))
+    marked = df.withColumn("_cell", cell).withColumn("_block", F.expr("_cell div 64"))
+    kept = marked.join(F.broadcast(taken), "_block").where("shiftrightunsigned(_bits, int(_cell % 64)) & 1 = 1")
+    return kept.drop("_cell", "_block", "_bits")

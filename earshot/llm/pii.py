@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import settle, sift
+from earshot.llm.common import forget, settle, sieve, sift
 
 KINDS = ("email", "ip", "card", "phone")
 #: The kinds' patterns, written so that each run of characters is tried once and repeated groups
@@ -26,8 +26,9 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 LETTERS = r"[^\p{L}]+"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
-#: Cells of the filter on rows with disclosing terms.
-CELLS = 1 << 17
+#: Cells of the filter on rows with disclosing terms and of the count of words; times the mean of these from
+#: which a cell is crowded.
+CELLS, CROWDED = 1 << 17, 8
 #: Words on each side of a mention that count as its context: as many as a document can hold.
 REACH = 2**31 - 1
 #: Shortest term; documents in which a term must stand near an entity; share of the entity's
@@ -137,7 +138,7 @@ def _entity() -> Column:
     return F.concat_ws(":", "m.kind", bare)
 
 
-def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure: float) -> DataFrame:
+def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure: float, written: list[str] | None = None) -> DataFrame:
     """(row, terms): per row the terms in it that disclose a protected entity of the corpus.
 
     With N documents, n_e of which mention entity e, n_t hold term t and n_te hold both, t outside of
@@ -146,36 +147,50 @@ def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure
     n_te >= ``support``.
 
     n_te is at most n_e, so entities of fewer documents play no part, and each of the others bounds the
-    n_t of its terms; only words within the largest bound are paired with the entities of their rows.
+    n_t of its terms. Words travel as hashes with their row, once, and meet the entities of their row only
+    if they are within the bound of one. The words of crowded hash cells, the common ones among them,
+    are counted before they are shuffled.
     """
-    mentions = settle(base.select("row", F.explode("base").alias("m")).select("row", _entity().alias("entity")).distinct(), "mentions")
+    mentions = settle(base.select("row", F.explode("base").alias("m")).select("row", F.xxhash64(_entity()).alias("entity")).distinct(), "mentions", written)
     total = keyed.select("row").count()
     # PMI / IC >= disclosure, solved for n_t.
     bound = lambda n_te: F.col(n_te) * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - disclosure))
     per_entity = mentions.groupBy("entity").agg(F.count("*").alias("n_e")).filter((F.col("n_e") >= support) & (F.col("n_e") < total))
-    named = settle(mentions.join(per_entity, "entity"), "named")
-    by_row = named.groupBy("row").agg(F.collect_list(F.struct("entity", "n_e")).alias("entities"), F.max(bound("n_e")).alias("limit"))
-    texts = sift(keyed.select("row", "text"), named, "row", CELLS).dropDuplicates(["row"])
-    near = settle(texts.join(by_row, "row").select("entities", "limit", _context(F.col("text")).alias("words")), "contexts")
+    named = settle(mentions.join(per_entity.withColumn("bound", bound("n_e")), "entity"), "named", written)
+    limit = named.agg(F.max("bound")).first()[0] or 0.0
+    by_row = named.groupBy("row").agg(F.collect_list(F.struct("entity", "n_e", "bound")).alias("entities"))
+    texts = sift(keyed.select("row", "text"), named, "row", CELLS).join(named.select("row").distinct(), "row", "left_semi")
+    near = settle(texts.dropDuplicates(["row"]).select("row", _context(F.col("text")).alias("words")), "contexts", written)
+
+    words = near.select("row", F.explode(F.transform("words", lambda w: F.xxhash64(w))).alias("hash"))
+    cell = F.pmod("hash", F.lit(CELLS)).cast("int")
+    cells = settle(words.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")), "cells", written)
+    crowd = cells.filter(F.col("n") > CROWDED * (cells.agg(F.avg("n")).first()[0] or 0.0)).select("cell")
+    split = words.withColumn("cell", cell)
     # Documents with the term and any entity bound n_t from below.
-    around = near.select(F.explode("words").alias("term"), "limit").groupBy("term")
-    around = around.agg(F.count("*").alias("least"), F.max("limit").alias("limit"))
-    around = settle(around.filter((F.col("least") >= support) & (F.expr("least <= limit"))).drop("limit"), "around")
-    spread = sift(near.select("entities", F.explode("words").alias("term")), around, "term", 1 << 18).join(around, "term")
+    few = (F.col("least") >= support) & (F.col("least") <= F.lit(limit))
+    counted = lambda df: df.groupBy("hash").agg(F.count("*").alias("least")).filter(few)
+    # One exchange serves the count and the rows.
+    calm = split.join(F.broadcast(crowd), "cell", "left_anti").select("row", "hash").repartition("hash")
+    loud = split.join(F.broadcast(crowd), "cell", "left_semi").select("row", "hash")
+    usual = settle(counted(loud), "usual", written)
+    spread = calm.join(counted(calm), "hash").unionByName(sieve(loud, usual, "hash").join(usual, "hash").select("hash", "row", "least"))
+    fits = F.filter("entities", lambda e: F.col("least") <= e["bound"])
     pairs = (
-        spread.select("term", "least", F.explode("entities").alias("e"))
-        .groupBy("term", "least", F.col("e.entity").alias("entity"), F.col("e.n_e").alias("n_e"))
+        spread.join(by_row, "row")
+        .select("hash", "least", F.explode(fits).alias("e"))
+        .groupBy("hash", "least", F.col("e.entity").alias("entity"), F.col("e.n_e").alias("n_e"))
         .agg(F.count("*").alias("n_te"))
         .filter(F.col("n_te") >= support)
     )
     candidates = settle(
-        pairs.groupBy("term", "least").agg(F.max(bound("n_te")).alias("most")).filter("least <= most").select("term", "most"),
+        pairs.groupBy("hash", "least").agg(F.max(bound("n_te")).alias("most")).filter("least <= most").select("hash", "most"),
         "candidates",
+        written,
     )
-    words = keyed.select("row", F.explode(_words(F.col("text"))).alias("term"))
-    held = settle(
-        sift(words, candidates, "term", 1 << 18).distinct().join(candidates, "term").select("row", "term", "most"), "terms"
-    )
+    words = keyed.select("row", F.explode(F.array_distinct(_words(F.col("text")))).alias("term")).withColumn("hash", F.xxhash64("term"))
+    held = sieve(words, candidates, "hash").distinct().join(candidates, "hash")
+    held = settle(held.select("row", "term", "most"), "terms", written)
     told = held.groupBy("term").agg(F.count("*").alias("n_t"), F.first("most").alias("most")).filter("n_t <= most")
     return held.join(told.select("term"), "term").groupBy("row").agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
@@ -203,8 +218,13 @@ def _with_terms(df: DataFrame, told: DataFrame) -> DataFrame:
     return met.select(*free.columns).unionByName(free)
 
 
-def _told(keyed: DataFrame, base: DataFrame, support: int, disclosure: float) -> DataFrame:
-    return settle(disclosing_terms(keyed, base, support, disclosure), "told")
+def _told(keyed: DataFrame, support: int, disclosure: float) -> DataFrame:
+    """The disclosing terms of each row, written; what led to them is removed again."""
+    written: list[str] = []
+    base = settle(base_spans(keyed), "base", written)
+    told = settle(disclosing_terms(keyed, base, support, disclosure, written), "told")
+    forget(keyed.sparkSession, written)
+    return told
 
 
 def find_pii(
@@ -224,8 +244,7 @@ def find_pii(
     table gives an empty result.
     """
     keyed = _keyed(docs, id_col, text_col)
-    base = settle(base_spans(keyed), "base")
-    told = _told(keyed, base, support, disclosure)
+    told = _told(keyed, support, disclosure)
     return _with_base(_with_terms(keyed, told)).select("doc_id", "row", "base", "terms")
 
 
@@ -257,8 +276,7 @@ def sanitise(
     """
     keyed = _keyed(docs, id_col, text_col, F.struct(*docs.columns).alias("_doc"))
     narrow = keyed.drop("_doc")
-    base = settle(base_spans(narrow), "base")
-    told = _told(narrow, base, support, disclosure)
+    told = _told(narrow, support, disclosure)
     found = _with_base(_with_terms(keyed, told)).withColumn("_spans", F.concat("base", "terms"))
     clean = F.when(F.size("_spans") > 0, _replaced(F.col("text"), F.col("_spans"))).otherwise(F.col(f"_doc.{text_col}"))
     return found.select(*(clean.alias(c) if c == text_col else F.col(f"_doc.{c}").alias(c) for c in docs.columns))
