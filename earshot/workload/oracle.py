@@ -559,6 +559,9 @@ UNION ALL SELECT * FROM ({ORACLE["plays"]}) WHERE played_at BETWEEN '2024-02-10
 ORACLE["quarter_from_sketches"] = f"""SELECT spotify_track_uri, count(*) AS plays,
        count(DISTINCT substr(played_at, 1, 10)) AS days_played
 FROM ({ORACLE["plays"]}) WHERE substr(played_at, 1, 7) BETWEEN '2024-01' AND '2024-03' GROUP BY 1"""
+ORACLE["monthly_top_from_states"] = f"SELECT month, rank, spotify_track_uri, play_count FROM ({ORACLE['monthly_most_played']})"
+ORACLE["top_from_states"] = f"""SELECT row_number() OVER (ORDER BY play_count DESC, spotify_track_uri) AS rank,
+       spotify_track_uri, play_count FROM ({ORACLE["top_played"]})"""
 ORACLE["stored_playlist_tables"] = f"""SELECT 1 AS playlist_id, playlist_name, spotify_track_uri
 FROM ({ORACLE["generated_playlist"]})
 UNION ALL SELECT 2, 'blue widgets', spotify_track_uri FROM ({ORACLE["tag_query_and"]})"""

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from earshot import schemas
 from earshot.functions.text import present
-from earshot.functions.times import local_time
+from earshot.functions.times import local_time, month_of
 from earshot.operators import clean as C
 from earshot.operators import enrich as E
 from earshot.operators import tags as G
@@ -24,6 +24,7 @@ from earshot.plans import reports as R
 from earshot.plans import stats as S
 from earshot.plans.ledger import Ledger
 from earshot.plans.rollups import monthly_sketches, rolled_up
+from earshot.plans.toplists import daily_states, exact_top, month_of_day
 from earshot.session import configure, scratch_path
 from earshot.sources import payloads
 from earshot.sources.history import hadoop_path, scan_history
@@ -866,6 +867,28 @@ def quarter_from_sketches(spark, sf):
     return rolled_up(months)
 
 
+def _plays_and_states(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Plays and their daily frequency sketches, both stored."""
+    base = scratch_path(spark, "toplists")
+    _plays(spark, sf).select("spotify_track_uri", "played_at").write.parquet(f"{base}/plays")
+    plays = spark.read.parquet(f"{base}/plays")
+    daily_states(plays).write.parquet(f"{base}/states")
+    return plays, spark.read.parquet(f"{base}/states")
+
+
+@query
+def top_from_states(spark, sf):
+    """The most played tracks, candidates from stored daily sketches."""
+    return exact_top(*_plays_and_states(spark, sf)).drop("group")
+
+
+@query
+def monthly_top_from_states(spark, sf):
+    """The most played tracks of each month, candidates from stored daily sketches."""
+    plays, states = _plays_and_states(spark, sf)
+    return exact_top(plays, states, month_of(F.col("played_at")), month_of_day()).withColumnRenamed("group", "month")
+
+
 @query
 def stored_playlist_tables(spark, sf):
     """Two playlists stored, one of them twice, read back with their names."""
