@@ -116,13 +116,18 @@ def ingest_recent(
     """Load landed recently-played pages: one audit row per page, distinct plays.
 
     Pages are told apart by file and content, and ``calls_table`` records them; a page it holds
-    is neither audited nor loaded again. ``call_made`` is when the page's file was written,
+    is neither audited nor loaded again, and files that it holds as they are aren't read. ``call_made`` is when the page's file was written,
     unless given. Returns the pages that were new, their plays, and the plays that were added.
     """
-    pages = payloads.read_pages(spark, folder, schemas.RECENT_PAGE, located=True)
-    if exists(spark, calls_table):
-        loaded = read_or_empty(spark, calls_table, schemas.RECENT_CALLS).select("page").where("page IS NOT NULL")
-        pages = pages.join(loaded, "page", "left_anti")
+    source: str | list[str] = folder
+    calls = read_or_empty(spark, calls_table, schemas.RECENT_CALLS).where("page IS NOT NULL") if exists(spark, calls_table) else None
+    if calls is not None:
+        source = payloads.unread_files(spark, folder, calls)
+        if not source:
+            return {"pages": 0, "plays": 0, "added": 0}
+    pages = payloads.read_pages(spark, source, schemas.RECENT_PAGE, located=True)
+    if calls is not None:
+        pages = pages.join(calls.select("page"), "page", "left_anti")
     staged, counter = scratch_path(spark, "pages"), Counter()
     try:
         counter.watch("pages", pages).write.parquet(staged)

@@ -53,7 +53,7 @@ RECENT_PAGE = """
     items array<struct<played_at:string,track:struct<name:string,uri:string>>>
 """
 RECENT = "track_name string, played_at timestamp_ntz, spotify_track_uri string"
-RECENT_CALLS = "before_ts bigint, after_ts bigint, call_made timestamp_ntz, page string"
+RECENT_CALLS = "before_ts bigint, after_ts bigint, call_made timestamp_ntz, page string, landed timestamp"
 
 TRACK_PAYLOAD = """
     uri string, name string, duration_ms bigint, is_playable boolean, popularity int,

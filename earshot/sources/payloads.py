@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +14,31 @@ from earshot.functions.times import instant as to_instant
 from earshot.functions.times import local_time
 
 
-def read_pages(spark: SparkSession, folder: str, schema: str, located: bool = False) -> DataFrame:
-    """Landed pages, one JSON document per line. Malformed pages fail the job.
+def unread_files(spark: SparkSession, folder: str, calls: DataFrame) -> list[str]:
+    """The files of a folder that ``calls`` doesn't know, or that were written again since.
+
+    Files are listed as rows, of which no content is read; only the names of the unread ones pass the
+    driver.
+    """
+    listed = spark.read.format("binaryFile").load(folder).select(
+        "path", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("landed")
+    )
+    known = calls.select(F.regexp_extract("page", "^(.*)#[^#]*$", 1).alias("file"), "landed")
+    return sorted(r.path for r in listed.join(known, ["file", "landed"], "left_anti").select("path").collect())
+
+
+#: Characters that would make a file name a pattern.
+PATTERN = re.compile(r"([\[\]{}*?\\])")
+
+
+def read_pages(spark: SparkSession, folder: str | Sequence[str], schema: str, located: bool = False) -> DataFrame:
+    """Landed pages of a folder or of some files, one JSON document per line. Malformed pages fail the job.
 
     ``located`` adds ``page``, the file and a hash of the page's content, and ``landed``, when the
     file was written.
     """
-    pages = spark.read.schema(schema).option("mode", "FAILFAST").json(folder)
+    paths = folder if isinstance(folder, str) else [PATTERN.sub(r"\\\1", path) for path in folder]
+    pages = spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
     if not located:
         return pages
     content = F.xxhash64(F.to_json(F.struct(*pages.columns)))
@@ -77,7 +97,10 @@ def call_rows(
         cursor("before").alias("before_ts"),
         cursor("after").alias("after_ts"),
         made.alias("call_made"),
-        (F.col("page") if "page" in pages.columns else F.lit(None).cast("string")).alias("page"),
+        *[
+            (F.col(name) if name in pages.columns else F.lit(None).cast(kind)).alias(name)
+            for name, kind in (("page", "string"), ("landed", "timestamp"))
+        ],
     )
 
 

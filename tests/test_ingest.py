@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 from pathlib import Path
 
@@ -20,6 +21,7 @@ from earshot.plans import ingest
 from earshot.plans.pipeline import Tables, rebuild_plays, rebuild_track_stats
 from earshot.sources import payloads
 from earshot.sources.history import scan_history
+from earshot.sources.payloads import unread_files
 from earshot.sources.tables import (
     check_constraints,
     constraint_violations,
@@ -336,3 +338,27 @@ def test_time_without_a_zone_is_utc(spark):
     hour = 3_600_000_000
     three = 1_704_164_400_000_000
     assert found[0] == found[1] == [three, three, three + 500_000, three - 2 * hour, three - 3 * hour, None, None]
+
+
+def test_known_pages_are_not_read_again(spark, folder):
+    times = [f"2024-06-01T14:0{i}:00Z" for i in range(5)]
+    land = lambda name, *played: put(folder, f"in/{name}", "\n".join(page([item(t, "A", "spotify:track:a")]) for t in played))
+    recent, calls = f"{folder}/recent", f"{folder}/calls"
+    unread = lambda: [
+        path.rsplit("/", 1)[1] for path in unread_files(spark, f"{folder}/in", read_or_empty(spark, calls, schemas.RECENT_CALLS))
+    ]
+    load = lambda: ingest.ingest_recent(spark, f"{folder}/in", recent, calls)
+    land("1 [a].json", times[0], times[1])
+    land("2.json", times[2])
+    assert unread() == ["1 [a].json", "2.json"]
+    assert load() == {"pages": 3, "plays": 3, "added": 3}
+    assert unread() == [] and load() == {"pages": 0, "plays": 0, "added": 0}
+    land("3 {b}*.json", times[3])
+    assert unread() == ["3 {b}*.json"]
+    assert load() == {"pages": 1, "plays": 1, "added": 1}
+    land("2.json", times[2], times[4])
+    os.utime(f"{folder}/in/2.json", (2e9, 2e9))
+    assert unread() == ["2.json"]
+    assert load() == {"pages": 1, "plays": 1, "added": 1}
+    assert unread() == []
+    assert read_table(spark, recent).count() == 5 and read_table(spark, calls).count() == 5
