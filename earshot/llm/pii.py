@@ -149,7 +149,8 @@ def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure
     n_te is at most n_e, so entities of fewer documents play no part, and each of the others bounds the
     n_t of its terms. Words travel as hashes with their row, once, and meet the entities of their row only
     if they are within the bound of one. The words of crowded hash cells, the common ones among them,
-    are counted before they are shuffled.
+    are counted before they are shuffled. The candidates' n_t are counted in the tasks that read the texts;
+    rows are listed only for terms that pass, so common words never travel by row.
     """
     mentions = settle(base.select("row", F.explode("base").alias("m")).select("row", F.xxhash64(_entity()).alias("entity")).distinct(), "mentions", written)
     total = keyed.select("row").count()
@@ -188,11 +189,21 @@ def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure
         "candidates",
         written,
     )
-    words = keyed.select("row", F.explode(F.array_distinct(_words(F.col("text")))).alias("term")).withColumn("hash", F.xxhash64("term"))
-    held = sieve(words, candidates, "hash").distinct().join(candidates, "hash")
-    held = settle(held.select("row", "term", "most"), "terms", written)
-    told = held.groupBy("term").agg(F.count("*").alias("n_t"), F.first("most").alias("most")).filter("n_t <= most")
-    return held.join(told.select("term"), "term").groupBy("row").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    terms = lambda df: df.select("row", F.explode(F.array_distinct(_words(F.col("text")))).alias("term")).withColumn("hash", F.xxhash64("term"))
+    n_t = sieve(terms(_once(keyed, written)), candidates, "hash").groupBy("term", "hash").agg(F.count("*").alias("n_t"))
+    told = settle(n_t.join(candidates, "hash").filter("n_t <= most").select("term", "hash"), "counted", written)
+    held = sieve(terms(keyed), told, "hash").join(told.select("term"), "term")
+    return held.groupBy("row").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+
+
+def _once(keyed: DataFrame, written: list[str] | None) -> DataFrame:
+    """(row, text) of the distinct rows; only texts that pass a filter on the keys of repeated rows are shuffled."""
+    repeated = settle(keyed.groupBy("row").agg(F.count("*").alias("n")).filter("n > 1").select("row"), "repeated", written)
+    cell = F.pmod(F.xxhash64("row"), F.lit(CELLS)).cast("int")
+    cells = F.broadcast(repeated.select(cell.alias("_cell")).distinct())  # CELLS rows at most
+    split = keyed.select("row", "text", cell.alias("_cell"))
+    single = split.join(cells, "_cell", "left_anti")
+    return single.unionByName(split.join(cells, "_cell", "left_semi").dropDuplicates(["row"])).drop("_cell")
 
 
 def _with_terms(df: DataFrame, told: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+from earshot.llm import pii
 from earshot.llm.pii import DISCLOSURE, MIN_LETTERS, MIN_SUPPORT, REACH, find_pii, pii_digest, sanitise
 
 from llm_helpers import odd_docs, texts
@@ -119,3 +120,21 @@ def test_terms_far_from_a_value_disclose_it(spark):
     for i in (0, 1):
         assert [values[i][s["start"] : s["end"]] for s in rows[i]["terms"]] == ["Lee", "Zacharias"]
     assert not any(rows[i]["terms"] for i in range(2, 32))
+
+
+def test_common_candidates_are_counted_not_listed(spark, monkeypatch):
+    """Words that stand near a value twice, and in all other texts, are written by no table once for each text."""
+    filler = "river stone cloud green table light"
+    values = [f"{filler} Zacharias joe@x.org"] * 2 + [f"{filler} {i}" for i in range(300)]
+    plain, sizes = pii.settle, {}
+
+    def counted(df, name, *rest):
+        found = plain(df, name, *rest)
+        sizes[name] = found.count()
+        return found
+
+    monkeypatch.setattr(pii, "settle", counted)
+    docs = texts(spark, values).unionByName(texts(spark, values[:1]))  # a row repeated counts once
+    for r in find_pii(docs).collect():
+        assert [values[r["doc_id"]][s["start"] : s["end"]] for s in r["terms"]] == (["Zacharias"] if r["doc_id"] < 2 else [])
+    assert max(n for name, n in sizes.items() if name != "base") < 100, sizes
