@@ -73,9 +73,19 @@ def sift(df: DataFrame, keys: DataFrame, column: str, buckets: int = 1 << 17) ->
 
 def sieve(df: DataFrame, keys: DataFrame, column: str, blocks: int = 1 << 18) -> DataFrame:
     """As ``sift`` with 64 cells in each of ``blocks`` integers: as much is broadcast, far fewer rows stay."""
+    return _marked(df, keys, column, blocks, "inner").where("_held").drop("_held")
+
+
+def parted(df: DataFrame, keys: DataFrame, column: str, blocks: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+    """Rows that ``sieve`` keeps, and the others."""
+    marked = _marked(df, keys, column, blocks, "left")
+    return marked.where("_held").drop("_held"), marked.where("NOT coalesce(_held, false)").drop("_held")
+
+
+def _marked(df: DataFrame, keys: DataFrame, column: str, blocks: int, how: str) -> DataFrame:
     cell = F.pmod(F.xxhash64(F.col(column)), F.lit(64 * blocks))
     placed = keys.select(cell.alias("_cell")).selectExpr("_cell div 64 AS _block", "shiftleft(1L, int(_cell % 64)) AS _bit")
     taken = placed.groupBy("_block").agg(F.bit_or("_bit").alias("_bits"))
     marked = df.withColumn("_cell", cell).withColumn("_block", F.expr("_cell div 64"))
-    kept = marked.join(F.broadcast(taken), "_block").where("shiftrightunsigned(_bits, int(_cell % 64)) & 1 = 1")
-    return kept.drop("_cell", "_block", "_bits")
+    held = F.expr("shiftrightunsigned(_bits, int(_cell % 64)) & 1 = 1").alias("_held")
+    return marked.join(F.broadcast(taken), "_block", how).select(*df.columns, held)

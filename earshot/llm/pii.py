@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import forget, settle, sieve, sift
+from earshot.llm.common import forget, parted, settle, sieve
 
 KINDS = ("email", "ip", "card", "phone")
 #: The kinds' patterns, written so that each run of characters is tried once and repeated groups
@@ -26,8 +26,7 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 LETTERS = r"[^\p{L}]+"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
-#: Cells of the filter on rows with disclosing terms and of the count of words; times the mean of these from
-#: which a cell is crowded.
+#: Cells of the count of words; times the mean of these from which a cell is crowded.
 CELLS, CROWDED = 1 << 17, 8
 #: Words on each side of a mention that count as its context: as many as a document can hold.
 REACH = 2**31 - 1
@@ -160,7 +159,7 @@ def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure
     named = settle(mentions.join(per_entity.withColumn("bound", bound("n_e")), "entity"), "named", written)
     limit = named.agg(F.max("bound")).first()[0] or 0.0
     by_row = named.groupBy("row").agg(F.collect_list(F.struct("entity", "n_e", "bound")).alias("entities"))
-    texts = sift(keyed.select("row", "text"), named, "row", CELLS).join(named.select("row").distinct(), "row", "left_semi")
+    texts = sieve(keyed.select("row", "text"), named, "row").join(named.select("row").distinct(), "row", "left_semi")
     near = settle(texts.dropDuplicates(["row"]).select("row", _context(F.col("text")).alias("words")), "contexts", written)
 
     words = near.select("row", F.explode(F.transform("words", lambda w: F.xxhash64(w))).alias("hash"))
@@ -199,11 +198,8 @@ def disclosing_terms(keyed: DataFrame, base: DataFrame, support: int, disclosure
 def _once(keyed: DataFrame, written: list[str] | None) -> DataFrame:
     """(row, text) of the distinct rows; only texts that pass a filter on the keys of repeated rows are shuffled."""
     repeated = settle(keyed.groupBy("row").agg(F.count("*").alias("n")).filter("n > 1").select("row"), "repeated", written)
-    cell = F.pmod(F.xxhash64("row"), F.lit(CELLS)).cast("int")
-    cells = F.broadcast(repeated.select(cell.alias("_cell")).distinct())  # CELLS rows at most
-    split = keyed.select("row", "text", cell.alias("_cell"))
-    single = split.join(cells, "_cell", "left_anti")
-    return single.unionByName(split.join(cells, "_cell", "left_semi").dropDuplicates(["row"])).drop("_cell")
+    double, single = parted(keyed.select("row", "text"), repeated, "row")
+    return single.unionByName(double.dropDuplicates(["row"]))
 
 
 def _with_terms(df: DataFrame, told: DataFrame) -> DataFrame:
@@ -211,16 +207,12 @@ def _with_terms(df: DataFrame, told: DataFrame) -> DataFrame:
 
     Case doesn't matter. Only rows that pass a filter on the key of rows with terms are shuffled.
     """
-    cell = lambda row: F.pmod(F.xxhash64(row), F.lit(CELLS)).cast("int")
-    cells = F.broadcast(told.select(cell(F.col("row")).alias("_cell")).distinct())  # CELLS rows at most
-    split = df.withColumn("_cell", cell(F.col("row")))
-    free = split.join(cells, "_cell", "left_anti").drop("_cell").withColumn("terms", F.array().cast(SPAN))
+    may, free = parted(df, told, "row")
+    free = free.withColumn("terms", F.array().cast(SPAN))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("_terms", "|"), F.lit(r")(?!\p{L})"))
     named = told.withColumnRenamed("terms", "_terms")
     hits = (
-        split.join(cells, "_cell", "left_semi")
-        .drop("_cell")
-        .join(named, "row", "left")
+        may.join(named, "row", "left")
         .withColumn("_pattern", pattern)
         .withColumn("_hits", F.regexp_extract_all("text", F.col("_pattern"), F.lit(0)))
     )
