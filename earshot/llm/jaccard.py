@@ -1,8 +1,8 @@
 """Jaccard join of shingle sets by signature trees.
 
 Equal sets are one class. Classes that share a key meet in a cell: in a first round their smallest shingle
-hashes, so that families of near copies are connected cheaply, then every shingle of their prefix, which
-misses no pair. In a cell the sets are the leaves of a tree whose nodes hold the OR of their sets' bitmaps and
+hashes, so that families of near copies are connected cheaply, then parts of their sets: of one part more than
+linked sets of their size can differ in, one at least is equal in both, which misses no pair. In a cell the sets are the leaves of a tree whose nodes hold the OR of their sets' bitmaps and
 their range of sizes. Two trees (or one with itself) are walked together; a pair of nodes is left out
 where the largest possible overlap is too small, or where all below is one component already. What is
 left at the leaves is counted exactly. Cells are cut into blocks of bounded size, pairs of which meet.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -27,12 +28,11 @@ from earshot.sources.history import remove
 
 #: Least power of two of a bitmap's bits, nodes below a node, pairs of nodes looked at together, shingles in a block of a cell.
 BITS, FAN, PAIRS, BLOCK = 9, 8, 1024, 1 << 19
-#: Cells of the count that orders shingles, rarest first, rows that hold it, and cells of the filter in front of
-#: the texts; all of fixed size.
-CELLS, PARTS, SIEVE = 1 << 17, 64, 1 << 22
+#: Cells of the filter in front of the texts.
+SIEVE = 1 << 22
 SEED = 42
-#: Words whose hashes a task remembers, texts that it looks at together.
-WORDS, TEXTS = 1 << 18, 256
+#: Words whose hashes a task remembers, names of sets that it remembers, texts that it looks at together.
+WORDS, NAMES, TEXTS = 1 << 18, 1 << 18, 256
 #: Odd multiplier of the hashes and of the second smallest-hash key (a fixed value).
 MIX = 0x9E3779B97F4A7C15
 
@@ -293,20 +293,8 @@ def _verify(cells: DataFrame, texts: DataFrame, percent: int, width: int) -> Dat
     return _work(full, run, "u long, v long")
 
 
-def _rungs(members: DataFrame, percent: int) -> DataFrame:
-    """Members (key, node, root, size, rest) by key and rung of size; ``home`` is false in the rung above their own.
-
-    Sizes of linked sets are at most one rung apart, so they meet in the rung of the larger.
-    """
-    # A little wider than the ratio, so that rounding can't part two sizes further.
-    rung = F.floor(F.log(F.col("size")) / (math.log(100 / percent) * 1.000001 if percent < 100 else 1e-6))
-    step = F.explode(F.array(F.lit(0), F.lit(1)))
-    placed = members.withColumn("rung", rung).select("*", step.alias("step"))
-    return placed.select(F.xxhash64("key", F.col("rung") + F.col("step")).alias("key"), "node", "root", "size", "rest", (F.col("step") == 0).alias("home"))
-
-
 def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Add ``x``, ``y`` and ``block`` to the members of cells with more than one root and one at home at least.
+    """Add ``x``, ``y`` and ``block`` to the members (key, node, root, size, rest, home) of cells with more than one root and one at home at least.
 
     A cell is cut into blocks of about ``block`` shingles; a member comes once for each pair of blocks that
     its own is in.
@@ -330,77 +318,92 @@ def _first_round(classes: DataFrame, block: int) -> DataFrame:
     return dealt.select("key", "x", zero.alias("y"), "node", F.col("node").alias("root"), "size", F.col("size").alias("rest"), zero.alias("block"))
 
 
-def _rarity(counted: DataFrame) -> np.ndarray:
-    """How often shingles of each of CELLS hash cells occur: a fixed number of counts, added up in Spark."""
-
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(CELLS // PARTS, np.int64)
-        for value in table["counts"]:
-            total += np.frombuffer(value.as_py(), np.uint32)
-        return pa.table({"part": table["part"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
-
-    added = counted.groupBy("part").applyInArrow(add, "part long, counts binary").toArrow()
-    counts = np.zeros((PARTS, CELLS // PARTS), np.int64)
-    for part, values in zip(added["part"].to_pylist(), added["counts"].to_pylist(), strict=True):
-        counts[part] = np.frombuffer(values, np.int64)
-    return counts.ravel()
-
-
-def _cells_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes % np.uint64(CELLS)).astype(np.int64)
-
-
 def _named(texts: DataFrame, width: int) -> DataFrame:
-    """(doc_id, node, c1, c2, k1, k2, size) of each text and, at the end of each task, (part, counts) of its shingles."""
+    """(doc_id, node, c1, c2, k1, k2, size) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint32)
         for batch in batches:
             for start in range(0, len(batch), TEXTS):
                 ids, nodes, values = batch.slice(start, TEXTS).columns
                 sets = [shingles((t or "").encode(), width) for t in values.to_pylist()]
-                counts += np.bincount(_cells_of(np.concatenate(sets)), minlength=CELLS).astype(np.uint32)
                 names = np.array([np.frombuffer(blake2b(s, digest_size=16).digest(), np.int64) for s in sets])
                 mins = np.array([[s[0], (s * np.uint64(MIX)).min()] if len(s) else [0, 0] for s in sets], np.uint64).view(np.int64)
                 columns = [ids, nodes, *(pa.array(x.copy()) for x in (*names.T, *mins.T)), pa.array([len(s) for s in sets], pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.binary())], fields)
-        parts = [c.tobytes() for c in np.split(counts, PARTS)]
-        none = [pa.nulls(PARTS, pa.int64())] * 7
-        yield pa.RecordBatch.from_arrays([*none, pa.array(range(PARTS), pa.int64()), pa.array(parts, pa.binary())], fields)
+                yield pa.RecordBatch.from_arrays(columns, fields)
+
+    fields = ["doc_id", "node", "c1", "c2", "k1", "k2", "size"]
+    return texts.select("doc_id", "node", "text").mapInArrow(run, ", ".join(f"{f} long" for f in fields))
+
+
+def rung_of(size: int, percent: int) -> int:
+    """Rung of a size: sizes of linked sets are at most one rung apart."""
+    return math.floor(math.log(size) / _step(percent))
+
+
+def _step(percent: int) -> float:
+    # A little wider than the ratio, so that rounding can't part two sizes further.
+    return math.log(100 / percent) * 1.000001 if percent < 100 else 1e-6
+
+
+@lru_cache(256)
+def _bounds(rung: int, percent: int) -> np.ndarray:
+    """First hashes of the parts of sets up to a rung: one part more than linked ones can differ in."""
+    most = math.floor(math.exp((rung + 1) * _step(percent))) + 1
+    # Linked sets of a and b shingles differ in (100 - percent) / (100 + percent) * (a + b) at most.
+    n = 2 * most * (100 - percent) // (100 + percent) + 1
+    return np.array([(i << 64) // n for i in range(n)], np.uint64)
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    for shift in (np.uint64(29), np.uint64(32)):
+        hashes = hashes * np.uint64(MIX)
+        hashes ^= hashes >> shift
+    return hashes
+
 
-    fields = ["doc_id", "node", "c1", "c2", "k1", "k2", "size", "part", "counts"]
-    return texts.select("doc_id", "node", "text").mapInArrow(run, ", ".join(f"{f} long" for f in fields[:-1]) + ", counts binary")
+def part_keys(hashes: np.ndarray, rung: int, percent: int) -> np.ndarray:
+    """A key for each part of a set (sorted hashes), the empty ones too, in a rung."""
+    bounds = _bounds(rung, percent)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(hashes), dtype=np.uint64)])
+    ends = np.append(np.searchsorted(hashes, bounds), len(hashes))
+    places = _mixed(np.arange(len(bounds), dtype=np.uint64) + np.uint64(rung << 32))
+    return _mixed((sums[ends[1:]] - sums[ends[:-1]]) ^ places)
 
 
-def _prefixes(texts: DataFrame, counts: np.ndarray, percent: int, width: int) -> DataFrame:
-    """(key, c1, c2, rest): the shingles, rarest first, of which linked sets share one at least.
+def _parts(texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """(key, c1, home): parts of sets, by rung of size, that several classes share; c1 is half of a class's name.
 
-    Keys of one class only are left out; ``rest`` counts the key and the shingles behind it.
+    Linked sets meet in the rung of the larger, so each comes with the parts of its rung (``home``) and of
+    that above. A task passes on a set once as far as it remembers.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        seen = set()
         for batch in batches:
             for start in range(0, len(batch), TEXTS):
-                found = []
+                keys, names, homes = [], [], []
                 for value in batch.column(0).slice(start, TEXTS).to_pylist():
                     hashes = shingles((value or "").encode(), width)
-                    if not len(hashes):
+                    name = int(np.frombuffer(blake2b(hashes, digest_size=16).digest(), np.int64)[0])
+                    if not len(hashes) or name in seen:
                         continue
-                    # Of n shingles, a linked set has percent / 100 at least.
-                    length = len(hashes) - -(-percent * len(hashes) // 100) + 1
-                    order = np.lexsort((hashes, counts[_cells_of(hashes)]))[:length]
-                    name = np.frombuffer(blake2b(hashes, digest_size=16).digest(), np.int64)
-                    found.append(np.column_stack([hashes[order].view(np.int64), np.tile(name, (length, 1)), len(hashes) - np.arange(length)]))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(x.copy()) for x in np.concatenate(found).T], ["key", "c1", "c2", "rest"])
-
-    # One exchange serves the copies that go and the keys of one class only.
-    found = texts.select("text").mapInArrow(run, "key long, c1 long, c2 long, rest long").repartition("key").dropDuplicates()
+                    if len(seen) >= NAMES:
+                        seen.clear()
+                    seen.add(name)
+                    rung = rung_of(len(hashes), percent)
+                    for up in (0, 1):
+                        keys.append(part_keys(hashes, rung + up, percent))
+                        names.append(name)
+                        homes.append(up == 0)
+                if keys:
+                    lengths = [len(k) for k in keys]
+                    columns = [np.concatenate(keys).view(np.int64), np.repeat(np.array(names, np.int64), lengths), np.repeat(homes, lengths)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "c1", "home"])
+
+    found = texts.select("text").mapInArrow(run, "key long, c1 long, home boolean").repartition("key")
     of_key = Window.partitionBy("key")
-    ends = found.withColumn("least", F.min("c1").over(of_key)).withColumn("most", F.max("c1").over(of_key))
-    return ends.filter("least <> most").drop("least", "most")
+    ends = found.select("*", F.min("c1").over(of_key).alias("least"), F.max("c1").over(of_key).alias("most"), F.max("home").over(of_key).alias("any"))
+    return ends.filter("least <> most and any").select("key", "c1", "home").dropDuplicates()
 
 
 def jaccard_groups(
@@ -426,16 +429,15 @@ def jaccard_groups(
     narrow.write.parquet(path)
     texts = docs.sparkSession.read.schema("doc_id long, node long, text string").parquet(path)
     named = settle(_named(texts, width), "named")
-    members = named.filter("part is null").select("doc_id", "c1", "c2", "size")
+    members = named.select("doc_id", "c1", "c2", "size")
     classes = named.filter("size > 0").groupBy("c1", "c2").agg(*(F.min(c).alias(c) for c in ("node", "size", "k1", "k2", "doc_id")))
     classes = settle(classes, "classes")
 
     near = settle(_verify(settle(_first_round(classes, block), "cells"), texts, percent, width), "near")
     roots = components(near)
     rooted = settle(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    prefixes = _prefixes(texts, _rarity(named.filter("part is not null").select("part", "counts")), percent, width)
-    entries = settle(prefixes, "prefixes").join(rooted.select("c1", "c2", "node", "root", "size"), ["c1", "c2"]).drop("c1", "c2")
-    cells = settle(_blocks(_rungs(settle(entries, "entries"), percent), block), "cells")
+    entries = settle(_parts(texts, percent, width), "parts").join(rooted.select("c1", "node", "root", "size"), "c1").drop("c1")
+    cells = settle(_blocks(entries.withColumn("rest", F.col("size")), block), "cells")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node, labels, side, sizes, rest, payload, cell in _cells(batches):

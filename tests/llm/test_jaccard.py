@@ -7,7 +7,7 @@ from llm_helpers import odd_docs, texts
 
 from conftest import rows
 from earshot.llm import jaccard
-from earshot.llm.jaccard import Tree, bitmap, evened, height, jaccard_groups, linked, links, shingles, walk, width_of
+from earshot.llm.jaccard import Tree, bitmap, evened, height, jaccard_groups, linked, links, part_keys, rung_of, shingles, walk, width_of
 
 
 def word_sets(text, width=3):
@@ -100,3 +100,27 @@ def test_walk_leaves_out_no_link(size):
     assert true <= met
     found = links(sets, sizes, labels, np.zeros(size, int), 90)
     assert len(found) < size and {tuple(sorted(x)) for x in found} <= true
+
+
+@pytest.mark.parametrize("percent", [70, 90, 100])
+def test_linked_sets_share_a_part_in_the_rung_of_the_larger(percent):
+    draw = np.random.default_rng(percent)
+    for size in [*range(1, 60), 333, 5000]:
+        base = draw.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2)
+        for extra in range(3 + size // 3):
+            kept = draw.permutation(base)[: size - extra // 2]
+            other = np.unique(np.append(kept, draw.integers(0, 1 << 63, extra - extra // 2, dtype=np.uint64)))
+            a, b = np.unique(base), other
+            if len(b) and linked(len(np.intersect1d(a, b)), len(a) + len(b), percent):
+                rung = max(rung_of(len(a), percent), rung_of(len(b), percent))
+                assert rung - min(rung_of(len(a), percent), rung_of(len(b), percent)) <= 1
+                assert len(np.intersect1d(part_keys(a, rung, percent), part_keys(b, rung, percent)))
+
+
+def test_unrelated_texts_that_share_shingles_meet_in_no_cell(spark):
+    """Long texts of common phrases share shingles of any prefix, but no whole part."""
+    draw = random.Random(4)
+    phrases = [" ".join(f"p{i}x{k}" for k in range(6)) for i in range(200)]
+    values = [" ".join(draw.choice(phrases) for _ in range(60)) for _ in range(120)]
+    cells = jaccard._parts(spark.createDataFrame([(v,) for v in values], "text string"), 90, 3)
+    assert cells.count() < len(values)
