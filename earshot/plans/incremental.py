@@ -60,8 +60,8 @@ def land_history(
 def land_recent(spark: SparkSession, tables: Tables, ledger: Ledger, run: str, recent: DataFrame) -> list[date]:
     """Add recent plays that no other run has added; only the folders of their days are read for that."""
     path, identity = tables.path("recent_by_day"), ["track_name", "played_at", URI]
+    days = [r.day for r in recent.select(F.to_date("played_at").alias("day")).distinct().collect()]
     fresh = recent.select(*identity).dropDuplicates()
-    days = [r.day for r in fresh.select(F.to_date("played_at").alias("day")).distinct().collect()]
     stored = read_slots(spark, path, RECENT_DAYS, "day", days).where(F.col("run") != run).select(*identity)
     kept = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in identity]
     known = stored.select(*[F.col(c).alias(f"_{c}") for c in identity])
@@ -128,13 +128,13 @@ def rebuild_changed_days(
     change.begin()
     recent_days = _folders(spark, tables.path("recent_by_day"))
     days = days_to_rebuild(changed, recent_days)
-    plays = change.keep(_plays_of(spark, tables, days, recent_days, limits), "plays")
-    sums = change.keep(track_days(plays), "sums")
+    plays = change.put("plays_by_day", _plays_of(spark, tables, days, recent_days, limits), "day")
+    sums = change.put("track_days", track_days(plays), "day")
     sums_path, touched_path = tables.path("track_days"), tables.path(f"_touched-{run}")
     before = read_slots(spark, sums_path, TRACK_DAYS, "day", days).select(URI)
     touched = before.unionByName(sums.select(URI)).distinct()
     touched.write.mode("append").parquet(touched_path)  # an earlier attempt's tracks stay
-    change.stage({"plays_by_day": plays, "track_days": sums}, "day")
+    change.seal()
     change.install()
 
     touched = spark.read.schema(f"{URI} string").parquet(touched_path).distinct()

@@ -50,10 +50,20 @@ class SlotChange:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def put(self, name: str, df: DataFrame, slot: str) -> DataFrame:
+        """Write the new slots of a table and read them back; the mark is still to come."""
+        path = f"{self.root}/{name}"
+        df.hint("rebalance", slot).write.partitionBy(slot).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def stage(self, tables: dict[str, DataFrame], slot: str) -> None:
         """Write the new slots of all tables by name, then the mark."""
         for name, df in tables.items():
-            df.hint("rebalance", slot).write.partitionBy(slot).parquet(f"{self.root}/{name}")
+            self.put(name, df, slot)
+        self.seal()
+
+    def seal(self) -> None:
+        """Mark what was put as complete."""
         fs, mark = hadoop_path(self.spark, f"{self.root}/{self.MARK}")
         fs.create(mark).close()
 

@@ -143,3 +143,13 @@ def test_ledger_counts_once(spark, folder):
     assert ledger.pending(["other"], "user") == ({"other/r1"}, {DAY})
     ledger.record("user", "r2", {}, used=["other/r1"])
     assert ledger.pending(["other"], "user") == (set(), set())
+
+
+def test_plays_of_a_rebuild_are_written_once(spark, base, monkeypatch):
+    """Neither plays nor sums are kept beside their staged folders."""
+    kept = []
+    monkeypatch.setattr(slots.SlotChange, "keep", lambda self, df, name: kept.append(name) or df)
+    land(spark, base, "a", F.lit(True))
+    I.rebuild_changed_days(spark, *base, "a", as_of())
+    check(spark, base, F.lit(True))
+    assert kept == []
