@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from earshot.functions.times import wall_seconds
 from earshot.schemas import PLAYS
+from earshot.session import scratch_path
+from earshot.sources.history import remove
 
 URI = "spotify_track_uri"
 #: Bits of each coordinate of the curve.
@@ -33,8 +35,18 @@ def write_for_lookup(plays: DataFrame, path: str, n_files: int | None = None, ro
     The curve's range partitions split a track with most of the plays by time, and a busy hour by
     track. A row group covers a small part of both axes, so the minima and maxima of ``uri_cell``
     (a hash of the track) and ``played_at`` leave out most groups for either look-up; the filters
-    leave out others that hold the cell but not the track. One row with the ends of time reaches the driver.
+    leave out others that hold the cell but not the track. ``plays`` is computed once, into a copy below the shared
+    folder that the ends of time and the ranges are taken from. One row with the ends reaches the driver.
     """
+    spark, copy = plays.sparkSession, scratch_path(plays.sparkSession, "unordered")
+    try:
+        plays.write.parquet(copy)
+        _write_ordered(spark.read.schema(plays.schema).parquet(copy), path, n_files, row_group_bytes)
+    finally:
+        remove(spark, copy)
+
+
+def _write_ordered(plays: DataFrame, path: str, n_files: int | None, row_group_bytes: int) -> None:
     second = wall_seconds(F.col("played_at"))
     first, last = plays.agg(F.min(second), F.max(second)).first()
     width = max(1, ((last or 0) - (first or 0)) // (1 << BITS) + 1)

@@ -48,6 +48,18 @@ def test_look_ups_touch_few_row_groups(spark, folder):
     assert rows(layout.look_up(spark, path, since=HOUR[0], until=HOUR[1]).select(*PLAY_COLUMNS)) == rows(hour)
 
 
+def test_plays_are_computed_once(spark, folder):
+    plays, seen = Q._plays(spark, SF), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    layout.write_for_lookup(plays.mapInArrow(count, plays.schema), f"{folder}/lookup")
+    assert seen.value == spark.read.parquet(f"{folder}/lookup").count()
+
+
 def test_the_curve_takes_bits_by_turns(spark):
     pair = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (3, 0), (5, 6), (65535, 65535)], "x long, y long")
     found = [r[0] for r in pair.select(layout.interleaved(F.col("x"), F.col("y"))).collect()]
