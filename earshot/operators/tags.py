@@ -95,13 +95,15 @@ def tag_query(
         return universe.select("spotify_track_uri").where(where(lambda _: F.lit(False)))
     column = {name: f"_tag{i}" for i, name in enumerate(wanted)}
     chosen = tag_lookup(tags.where(F.lower("tag").isin(*wanted)))
-    unknown = set(wanted) - {row.tag for row in chosen.select("tag").collect()}
+    ids = {row.tag: row.tag_id for row in chosen.collect()}
+    unknown = set(wanted) - ids.keys()
     if unknown:
         raise ValueError(f"unknown tags: {', '.join(sorted(unknown))}")
+    # A filter, unlike a join, goes below whatever makes the mapping distinct.
     flags = (
-        mapping.join(chosen, "tag_id")
+        mapping.where(F.col("tag_id").isin([*ids.values()]))
         .groupBy("spotify_track_uri")
-        .agg(*[F.bool_or(F.col("tag") == name).alias(column[name]) for name in wanted])
+        .agg(*[F.bool_or(F.col("tag_id") == ids[name]).alias(column[name]) for name in wanted])
     )
 
     def has(name: str) -> Column:

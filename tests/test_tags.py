@@ -124,3 +124,13 @@ def test_repeated_missing_and_unknown_tags(spark):
     assert pick() == ["a", "b", "c"]
     with pytest.raises(ValueError, match="unknown tags: green"):
         pick(none_of=("green",))
+
+
+def test_only_rows_of_the_asked_tags_are_made_distinct(spark, folder):
+    tags, playlists, items = frames(spark)
+    mapping = sync_tags(tags, playlists, items).mapping
+    mapping.write.parquet(f"{folder}/mapping")
+    stored = spark.read.schema(mapping.schema).parquet(f"{folder}/mapping").dropDuplicates()
+    found = tag_query(mapping.select("spotify_track_uri").distinct(), stored, tags, ["chill", "lofi"], lambda has: has("chill") & has("lofi"))
+    assert rows(found) == [("spotify:track:a",)]
+    assert "In(tag_id, [1,4])" in found._jdf.queryExecution().executedPlan().toString()
