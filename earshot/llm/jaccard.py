@@ -18,7 +18,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.llm.common import settle, slabs
@@ -293,14 +293,23 @@ def _verify(cells: DataFrame, texts: DataFrame, percent: int, width: int) -> Dat
     return _work(full, run, "u long, v long")
 
 
+def _distinct(cells: DataFrame) -> DataFrame:
+    """Cells of equal members (``m1``, ``m2``) are one: close sets share most of their parts."""
+    return cells.dropDuplicates(["m1", "m2"]).drop("m1", "m2")
+
+
+def _marks() -> list[Column]:
+    return [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"m{i}") for i in (1, 2)]
+
+
 def _blocks(members: DataFrame, block: int) -> DataFrame:
     """Add ``x``, ``y`` and ``block`` to the members (key, node, root, size, rest, home) of cells with more than one root and one at home at least.
 
     A cell is cut into blocks of about ``block`` shingles; a member comes once for each pair of blocks that
     its own is in.
     """
-    cells = members.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max("home").alias("any"), F.sum("size").alias("weight"))
-    cells = cells.filter("least <> most and any").select("key", F.ceil(F.col("weight") / block).alias("n_blocks"))
+    cells = members.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max("home").alias("any"), F.sum("size").alias("weight"), *_marks())
+    cells = _distinct(cells.filter("least <> most and any")).select("key", F.ceil(F.col("weight") / block).alias("n_blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("n_blocks")).alias("block")
     dealt = members.join(cells, "key").select("key", "node", "root", "size", "rest", own, F.explode(F.expr("sequence(0L, n_blocks - 1)")).alias("other"))
     return dealt.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "root", "size", "rest", "block")
@@ -309,7 +318,8 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
 def _first_round(classes: DataFrame, block: int) -> DataFrame:
     """Cells of the smallest hashes, cut into blocks that each hold the cell's first class besides."""
     keyed = classes.select(F.explode(F.array("k1", "k2")).alias("key"), "node", "size")
-    cells = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n"), F.sum("size").alias("weight")).filter("n > 1")
+    cells = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n"), F.sum("size").alias("weight"), *_marks())
+    cells = _distinct(cells.filter("n > 1"))
     own = F.pmod(F.xxhash64("node"), F.col("n_blocks"))
     dealt = keyed.join(cells.select("key", "pivot", F.ceil(F.col("weight") / block).alias("n_blocks")), "key").withColumn(
         "x", F.explode(F.when(F.col("node") == F.col("pivot"), F.expr("sequence(0L, n_blocks - 1)")).otherwise(F.array(own)))

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 from llm_helpers import odd_docs, texts
+from pyspark.sql import functions as F
 
 from conftest import rows
 from earshot.llm import jaccard
@@ -124,3 +125,12 @@ def test_unrelated_texts_that_share_shingles_meet_in_no_cell(spark):
     values = [" ".join(draw.choice(phrases) for _ in range(60)) for _ in range(120)]
     cells = jaccard._parts(spark.createDataFrame([(v,) for v in values], "text string"), 90, 3)
     assert cells.count() < len(values)
+
+
+def test_cells_of_equal_members_are_one(spark):
+    draw = random.Random(7)
+    docs = spark.createDataFrame([(v,) for v in family(draw, 2, 3000, 2)], "text string")
+    parts = jaccard._parts(docs, 90, 3)
+    nodes = parts.select("key", F.col("c1").alias("node"), F.col("c1").alias("root"), F.lit(2998).alias("size"), F.lit(1).alias("rest"), "home")
+    assert nodes.select("key").distinct().count() > 100
+    assert jaccard._blocks(nodes, 1 << 19).count() == 2
