@@ -10,16 +10,18 @@ hash arrays in the shared folder, are what the documents look their parts up in.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import sentencepiece
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +36,10 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 #: Longest part, in characters, that passes the lattice; its boundaries are the bits of a long.
 LONGEST = 62
-#: Characters of text cut into units at a time, units a task gathers, parts of a dictionary piece.
-SLAB, GATHER, PIECE = 1 << 20, 1 << 16, 1 << 16
-#: Texts that a task encodes at a time.
-TEXTS = 256
+#: Characters of text cut into units at a time, parts a task gathers, parts of a dictionary piece.
+SLAB, GATHER, PIECE = 1 << 20, 1 << 18, 1 << 16
+#: Bytes of lines that a task cuts into parts and encodes at a time.
+BLOCK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -93,24 +95,80 @@ def load(path: str = MODEL) -> Model:
     return Model(trainer.model_type, usable, scores, tuple(spelled), order, unknown, rules.add_dummy_prefix, pairs)
 
 
-def units(text: str, prefix: bool = True) -> Iterator[str]:
-    """The units of a whole text, cut off in slabs that end before a word mark."""
-    if not text:
-        return
-    marked = (MARK if prefix else "") + text.replace(" ", MARK)
+def slabs(line: str, mark: str = MARK) -> Iterator[str]:
+    """A line cut into slabs of about SLAB characters that end before a word mark."""
     start = 0
-    while start < len(marked):
+    while start < len(line):
         end = start + SLAB
-        while 0 < end < len(marked) and not (marked[end] == MARK and marked[end - 1] != MARK):
-            end = marked.find(MARK, end + 1)
-        end = len(marked) if end < 0 else min(end, len(marked))
-        yield from UNIT.findall(marked[start:end])
+        while 0 < end < len(line) and not (line[end] == mark and line[end - 1] != mark):
+            end = line.find(mark, end + 1)
+        end = len(line) if end < 0 else min(end, len(line))
+        yield line[start:end]
+        start = end
+
+
+def units(text: str, prefix: bool = True) -> Iterator[str]:
+    """The units of a whole text."""
+    if text:
+        for slab in slabs((MARK if prefix else "") + text.replace(" ", MARK)):
+            yield from UNIT.findall(slab)
+
+
+def lines(texts: pa.Array, prefix: bool) -> pa.Array:
+    """Each text as the model reads it, word marks as blanks; a null or empty text is the empty line."""
+    filled = pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), MARK, " ")
+    return pc.if_else(pc.equal(filled, ""), "", pc.binary_join_element_wise("", filled, " ")) if prefix else filled
+
+
+def blocks(texts: pa.Array, prefix: bool) -> Iterator[tuple[Iterable[pa.Array], int]]:
+    """Lines of about BLOCK bytes in one array, with their number; a longer one by itself, in an array for each slab."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    stops, start = np.cumsum(size), 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(stops, stops[start] - size[start] + BLOCK, "right")))
+        some = lines(texts.slice(start, end - start), prefix)
+        yield [some] if size[start] <= BLOCK else (pa.array([slab], pa.string()) for slab in slabs(some[0].as_py(), " ")), end - start
         start = end
 
 
-def plain(text: str, prefix: bool) -> bool:
-    """Whether the units of a text are its words between single blanks, each behind one mark."""
-    return prefix and text != "" and "  " not in text and MARK not in text and " " not in (text[0], text[-1])
+class Cutter:
+    """Cuts whole arrays of lines into parts, wherever no piece holds the characters on both sides."""
+
+    def __init__(self, model: Model):
+        letters = {c: i for i, c in enumerate(sorted({c for pair in model.neighbours for c in pair}), 1)}
+        self.width = len(letters) + 1
+        self.kinds = np.zeros(0x110000, np.int32)  # 0: in no pair
+        for letter, kind in letters.items():
+            self.kinds[ord(letter.replace(MARK, " "))] = kind
+        pairs = np.array([letters[a] * self.width + letters[b] for a, b in model.neighbours], np.int64)
+        self.pairs = np.unique(pairs)
+        self.table = np.zeros(self.width**2, bool) if self.width <= 1 << 12 else None
+        if self.table is not None:
+            self.table[pairs] = True
+
+    def held(self, codes: np.ndarray) -> np.ndarray:
+        return np.isin(codes, self.pairs) if self.table is None else self.table[codes]
+
+    def __call__(self, block: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The parts of all lines in a row, and the number of each line's parts."""
+        bounds = np.frombuffer(block.buffers()[1], np.int32)[block.offset : block.offset + len(block) + 1] if len(block) else np.zeros(1, np.int32)
+        if bounds[-1] == bounds[0]:
+            return pa.array([], pa.string()), np.zeros(len(block), np.int64)
+        raw = np.frombuffer(block.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        starts, letters = None, raw
+        if raw.max() >= 0x80:
+            starts = np.flatnonzero((raw & 0xC0) != 0x80)
+            letters = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+        kinds = self.kinds[letters]
+        cut = np.ones(len(letters), bool)
+        cut[1:] = ~self.held(kinds[:-1].astype(np.int64) * self.width + kinds[1:])
+        begins = bounds[:-1][bounds[1:] > bounds[:-1]]
+        cut[begins if starts is None else np.searchsorted(starts, begins)] = True
+        first = np.flatnonzero(cut)
+        stops = np.append(first if starts is None else starts[first], len(raw)).astype(np.int32)
+        parts = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(stops), pa.py_buffer(raw)])
+        return parts, np.diff(np.searchsorted(stops[:-1], bounds))
 
 
 def spell(model: Model, symbol: str) -> list[int]:
@@ -174,21 +232,11 @@ def lattice(words: DataFrame, model: Model) -> DataFrame:
     Substrings of up to the longest piece's length are joined to the piece table, which is of the model's
     size and so is broadcast. A character without a piece stays, with nulls.
     """
-    size = F.length("word")
-    places = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), size - 1),
-            lambda s: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(model.longest), size - s)),
-                lambda n: F.struct(
-                    s.alias("start"), (s + n).alias("end"), F.substr(F.col("word"), s + 1, n).alias("piece")
-                ),
-            ),
-        )
-    )
+    stop = F.least(F.length("word"), F.col("start") + model.longest)
     return (
-        words.select("piece_no", "word", F.explode(places).alias("place"))
-        .select("piece_no", "word", "place.*")
+        words.select("piece_no", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+        .select("piece_no", "word", "start", F.explode(F.sequence(F.col("start") + 1, stop)).alias("end"))
+        .withColumn("piece", F.substr("word", F.col("start") + 1, F.col("end") - F.col("start")))
         .join(F.broadcast(piece_table(words.sparkSession, model)), "piece", "left")
         .filter(F.col("code").isNotNull() | (F.col("end") - F.col("start") == 1))
     )
@@ -218,41 +266,40 @@ def merged(edges: DataFrame, model: Model) -> DataFrame:
     """(piece_no, word, ids) by merging in the order of the scores, from the left among equal ones.
 
     An edge is packed into a long: rank, start, end, id; sorted, they are in the order of merging. The
-    state is the set of boundaries between parts as the bits of a long. Each edge in turn that joins
-    two parts takes away the boundary inside it. One pass misses an edge that becomes possible only
-    after one of a worse rank; ``_dictionary`` checks for it.
+    state is the set of boundaries between parts as the bits of a long, and beside each edge stand the bits
+    of its ends and those from one end to the other. Each edge in turn that joins two parts takes away the
+    boundary inside it. One pass misses an edge that becomes possible only after one of a worse rank;
+    ``_dictionary`` checks for it.
     """
     code = F.coalesce("code", F.lit(NO_RANK << 32 | NO_ID))
     packed = code + F.shiftleft(F.col("start").cast("long"), 26) + F.shiftleft(F.col("end").cast("long"), 20)
-    ends = lambda x: (_bit(_field(x, 26, 6)), _bit(_field(x, 20, 6)))
-    joins = F.transform(
-        F.filter("edges", lambda x: _field(x, 20, 6) - _field(x, 26, 6) > 1),
-        lambda x: F.struct(
-            ends(x)[0].bitwiseOR(ends(x)[1]).alias("ends"), (ends(x)[1] - 2 * ends(x)[0]).alias("inner")
-        ),
-    )
+    ends = _bit(F.col("start")) + _bit(F.col("end"))
+    span = 2 * _bit(F.col("end")) - _bit(F.col("start"))
+    edge = F.struct(packed.alias("edge"), ends.alias("ends"), span.alias("span"))
 
     def turn(bounds: Column, x: Column) -> Column:
-        inside = bounds.bitwiseAND(x["inner"])
-        joined = (bounds.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(inside) == 1)
-        return F.when(joined, bounds.bitwiseXOR(inside)).otherwise(bounds)
+        joined = (bounds.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(bounds.bitwiseAND(x["span"])) == 3)
+        return F.when(joined, bounds.bitwiseAND(F.bitwise_not(x["span"])).bitwiseOR(x["ends"])).otherwise(bounds)
 
     def read(bounds: Column) -> Column:
         # The edges between neighbouring boundaries: both ends, and nothing else, from start to end.
-        parts = F.filter(
-            "edges",
-            lambda x: bounds.bitwiseAND(2 * ends(x)[1] - ends(x)[0]) == ends(x)[0].bitwiseOR(ends(x)[1]),
-        )
-        ordered = F.array_sort(F.transform(parts, lambda x: x.bitwiseAND(F.lit((1 << 32) - 1))))
-        return F.flatten(F.transform(ordered, spelled))
+        parts = F.filter("edges", lambda x: bounds.bitwiseAND(x["span"]) == x["ends"])
+        return F.sort_array(F.transform(parts, lambda x: x["edge"].bitwiseAND(F.lit((1 << 32) - 1))))
 
     def spelled(x: Column) -> Column:
         letter = F.substr(F.col("word"), _field(x, 26, 6) + 1, F.lit(1))
         return F.when(_field(x, 0, 20) == NO_ID, _spelled(letter, model)).otherwise(F.array(_field(x, 0, 20)))
 
     every = F.call_function("shiftleft", F.lit(2).cast("long"), F.length("word")) - 1
-    grouped = edges.groupBy("piece_no", "word").agg(F.sort_array(F.collect_list(packed)).alias("edges"))
-    return grouped.select("piece_no", "word", F.aggregate(joins, every, turn, read).alias("ids"))
+    grouped = edges.groupBy("piece_no", "word").agg(
+        F.collect_list(F.when(F.col("end") - F.col("start") > 1, edge)).alias("joins"),
+        F.collect_list(edge).alias("edges"),
+        F.bool_or(F.col("code").isNull()).alias("gaps"),
+    )
+    ordered = F.aggregate(F.sort_array("joins"), every, turn, read)
+    ids = F.transform(ordered, lambda x: x.bitwiseAND(F.lit(NO_ID)).cast("int"))
+    ids = F.when(F.col("gaps"), F.flatten(F.transform(ordered, spelled))).otherwise(ids)
+    return grouped.select("piece_no", "word", ids.alias("ids"))
 
 
 def viterbi(edges: DataFrame, model: Model) -> DataFrame:
@@ -296,46 +343,45 @@ def encode_words(words: DataFrame, model: Model, kind: int | None = None) -> Dat
     return fold(lattice(words, model), model)
 
 
-def _dictionary(docs: DataFrame, model: Model, folder: str, bits: int) -> None:
+def _dictionary(docs: DataFrame, model: Model, folder: str, bits: int, model_path: str = MODEL) -> None:
     """Encode the distinct parts of all texts and file them under the upper bits of their hash.
 
-    Each part's pieces are checked by the queue of ``merge_unit`` before they are filed.
+    Each part's pieces are checked against the model's own library before they are filed; one that differs
+    is filed as the queue of ``merge_unit`` gives it.
     """
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()  # units
-        words: set[str] = set()  # units without their one mark
+        cutter, held = Cutter(model), []
         for batch in batches:
-            for text in batch.column(0):
-                value = text.as_py() or ""
-                if plain(value, model.prefix):
-                    words.update(value.split(" "))
-                else:
-                    seen.update(units(value, model.prefix))
-                if len(seen) + len(words) >= GATHER:
-                    yield rows(seen, words)
-                    seen, words = set(), set()
-        if seen or words:
-            yield rows(seen, words)
-
-    def rows(seen: set[str], words: set[str]) -> pa.RecordBatch:
-        every = chain(seen, (MARK + w for w in words))
-        parts = list({p for unit in every for p in model.parts(unit) if len(p) <= LONGEST})
+            for block in (b for some, _ in blocks(batch.column(0), model.prefix) for b in some):
+                held.append(cutter(block)[0].unique())
+                if sum(map(len, held)) > GATHER:
+                    held = [pa.concat_arrays(held).unique()]
+                    if len(held[0]) > GATHER // 2:
+                        yield rows(held[0])
+                        held = []
+        if held:
+            yield rows(pa.concat_arrays(held).unique())
+
+    def rows(parts: pa.Array) -> pa.RecordBatch:
+        parts = parts.filter(pc.less_equal(pc.utf8_length(parts), LONGEST))
         numbers = _hashes(parts) >> np.uint64(64 - bits) if bits else np.zeros(len(parts), np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int64)), pa.array(parts, pa.string())], ["piece_no", "word"])
+        return pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int64)), pc.replace_substring(parts, " ", MARK)], ["piece_no", "word"])
 
     def write(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        hashes = _hashes(group["word"])
+        hashes = _hashes(group["word"].str.replace(MARK, " "))
         order = np.argsort(hashes)
+        every = group["word"].to_numpy()[order].tolist()
         ids = [
-            found if found.tolist() == (exact := merge_unit(model, word)) else np.array(exact, np.int32)
-            for word, found in zip(group["word"].to_numpy()[order], group["ids"].to_numpy()[order], strict=True)
+            found if found.tolist() == exact else np.array(merge_unit(model, word), np.int32)
+            for word, found, exact in zip(every, group["ids"].to_numpy()[order], library(proto).encode(every, num_threads=1), strict=True)
         ]
         put(folder, f"hash-{key[0]}", hashes[order])
         put(folder, f"stop-{key[0]}", np.cumsum([len(i) for i in ids], dtype=np.int64))
         put(folder, f"ids-{key[0]}", np.concatenate(ids).astype(np.int32))
         return pd.DataFrame({"piece_no": [key[0]], "words": [len(ids)]})
 
+    proto = bare(model_path)
     words = docs.select("text").mapInArrow(distinct, "piece_no long, word string")
     parts = max(1 << bits, docs.sparkSession.sparkContext.defaultParallelism)
     words = words.repartition(parts, "piece_no").dropDuplicates(["piece_no", "word"])
@@ -343,8 +389,25 @@ def _dictionary(docs: DataFrame, model: Model, folder: str, bits: int) -> None:
     encoded.agg(F.sum("words")).first()
 
 
-def _hashes(words: Iterator[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+def bare(path: str) -> bytes:
+    """The model file's content, for an encoder that takes a part as it stands, without a mark before it."""
+    from sentencepiece import sentencepiece_model_pb2 as messages
+
+    proto = messages.ModelProto()
+    proto.ParseFromString(Path(path).read_bytes())
+    proto.normalizer_spec.add_dummy_prefix = False
+    return proto.SerializeToString()
+
+
+@functools.lru_cache(maxsize=2)
+def library(proto: bytes) -> sentencepiece.SentencePieceProcessor:
+    return sentencepiece.SentencePieceProcessor(model_proto=proto)
+
+
+def _hashes(parts: Iterable) -> np.ndarray:
+    """Hashes of parts whose marks are blanks."""
+    values = parts.to_pylist() if isinstance(parts, pa.Array) else list(parts)
+    return np.fromiter(map(xxhash.xxh64_intdigest, values), np.uint64, len(values))
 
 
 class Dictionary:
@@ -352,7 +415,8 @@ class Dictionary:
 
     def __init__(self, folder: str, bits: int, model: Model):
         self.folder, self.bits, self.model, self.files = folder, bits, model, {}
-        self.recent: dict[str, np.ndarray] = {}  # of the texts before, GATHER at most
+        self.cutter = Cutter(model)
+        self.sizes = np.array([len(s) for s in model.spelled], np.int64)
 
     def file(self, name: str, dtype: type) -> np.ndarray:
         if name not in self.files:
@@ -360,39 +424,65 @@ class Dictionary:
         return self.files[name]
 
     def encode(self, distinct: list[str]) -> list[np.ndarray]:
-        """Ids of distinct units, from those of their parts."""
-        recent = self.recent
-        fresh = [u for u in distinct if u not in recent]
-        numbers: dict[str, int] = {}
-        cut = [[numbers.setdefault(p, len(numbers)) for p in self.model.parts(unit)] for unit in fresh]
-        found = self.look_up(list(numbers))
-        own = {
-            u: found[c[0]] if len(c) == 1 else np.concatenate([found[i] for i in c])
-            for u, c in zip(fresh, cut, strict=True)
-        }
-        out = [own[u] if u in own else recent[u] for u in distinct]
-        if len(recent) + len(own) > GATHER:
-            recent.clear()
-        if len(own) <= GATHER:
-            recent.update(own)
-        return out
-
-    def look_up(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of distinct parts. One that isn't filed, or under another's hash, is encoded on the spot."""
-        hashes = _hashes(words)
-        pieces = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(words), np.int64)
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        for piece in np.unique(pieces).tolist():
-            chosen = np.flatnonzero(pieces == piece)
-            known, stops, ids = (self.file(f"{n}-{piece}", t) for n, t in (("hash", np.uint64), ("stop", np.int64), ("ids", np.int32)))
-            at = np.minimum(np.searchsorted(known, hashes[chosen]), max(0, len(known) - 1))
-            starts = np.concatenate([[0], stops])[:-1] if len(stops) else stops
-            for word, place in zip(chosen.tolist(), at.tolist(), strict=True):
-                found = np.array(ids[starts[place] : stops[place]]) if len(known) else out[word]
-                if spelling(self.model, found) != words[word].replace(MARK, " ").encode():
-                    found = np.array(merge_unit(self.model, words[word]), np.int32)
-                out[word] = found
-        return out
+        """Ids of units or of runs of them."""
+        ids, n_ids = self.encode_lines(pc.replace_substring(pa.array(distinct, pa.string()), MARK, " "))
+        return np.split(ids, np.cumsum(n_ids)[:-1]) if distinct else []
+
+    def encode_lines(self, block: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all lines in a row, and the number of each line's."""
+        parts, n_parts = self.cutter(block)
+        coded = parts.dictionary_encode()
+        ids, n_ids = self.look_up(coded.dictionary)
+        order = coded.indices.to_numpy()
+        stops = np.append(0, np.cumsum(n_ids[order]))[np.append(0, np.cumsum(n_parts))]
+        return _gathered(ids, (np.cumsum(n_ids) - n_ids)[order], n_ids[order]), np.diff(stops)
+
+    def look_up(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct parts in a row, and the number of each part's.
+
+        One that isn't filed, or under another's hash, is encoded on the spot.
+        """
+        hashes = _hashes(parts)
+        pieces = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(parts), np.int64)
+        found, order = [np.zeros(0, np.int32)], np.argsort(pieces, kind="stable")
+        n_ids = np.zeros(len(parts), np.int64)  # in this order
+        bounds = [*np.flatnonzero(np.diff(pieces[order], prepend=-1)).tolist(), len(parts)]
+        for low, high in zip(bounds, bounds[1:]):
+            name = pieces[order[low]]
+            known, stops, ids = (self.file(f"{n}-{name}", t) for n, t in (("hash", np.uint64), ("stop", np.int64), ("ids", np.int32)))
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes[order[low:high]]), len(known) - 1)
+                starts = np.where(at > 0, stops[at - 1], 0)
+                n_ids[low:high] = np.where(known[at] == hashes[order[low:high]], stops[at] - starts, 0)
+                found.append(_gathered(ids, starts, n_ids[low:high]))
+        ids, parts = np.concatenate(found), parts.take(pa.array(order))
+        # Ids stand for their part where they spell it out; else it is encoded by itself.
+        size = pc.binary_length(parts).to_numpy(zero_copy_only=False)
+        other = np.diff(np.append(0, np.cumsum(self.sizes[ids]))[np.append(0, np.cumsum(n_ids))]) != size
+        ids, n_ids = self.mended(parts, ids, n_ids, np.flatnonzero(other))
+        if spelling(self.model, ids) != b"".join(parts.cast(pa.binary()).to_pylist()):
+            own = np.split(ids, np.cumsum(n_ids)[:-1])
+            other = [i for i, part in enumerate(parts.to_pylist()) if spelling(self.model, own[i]) != part.encode()]
+            ids, n_ids = self.mended(parts, ids, n_ids, np.array(other, np.int64))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return _gathered(ids, (np.cumsum(n_ids) - n_ids)[back], n_ids[back]), n_ids[back]
+
+    def mended(self, parts: pa.Array, ids: np.ndarray, n_ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts, those at some places replaced by what the queue gives."""
+        if not len(places):
+            return ids, n_ids
+        exact = [merge_unit(self.model, part.replace(" ", MARK)) for part in parts.take(pa.array(places)).to_pylist()]
+        starts, n_ids = np.cumsum(n_ids) - n_ids, n_ids.copy()
+        n_ids[places] = [len(e) for e in exact]
+        starts[places] = len(ids) + np.cumsum(n_ids[places]) - n_ids[places]
+        return _gathered(np.concatenate([ids, *(np.array(e, np.int32) for e in exact)]), starts, n_ids), n_ids
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of values one after the other."""
+    places = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    return values[places]
 
 
 def spelling(model: Model, ids: np.ndarray) -> bytes:
@@ -417,13 +507,15 @@ def encode(
     n_bytes = narrow.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = max(0, int(np.ceil(np.log2(max(1, n_bytes // 128) / PIECE))))
     folder = scratch_path(docs.sparkSession, "pieces")
-    _dictionary(narrow, model, folder, bits)
+    _dictionary(narrow, model, folder, bits, model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dictionary = Dictionary(folder, bits, model)
         for batch in batches:
-            for at in range(0, len(batch), TEXTS):
-                found = _encoded(batch.slice(at, TEXTS), dictionary)
+            at = 0
+            for some, rows in blocks(batch.column(1), model.prefix):
+                found = _encoded(batch.column(0).slice(at, rows), some, dictionary)
+                at += rows
                 if decoded:
                     texts = pa.array([read_back(model, ids) for ids in found.column(1)], pa.string())
                     found = pa.RecordBatch.from_arrays([*found.columns, texts], [*found.schema.names, "decoded"])
@@ -432,37 +524,13 @@ def encode(
     return narrow.mapInArrow(run, "doc_id long, ids array<int>, n_pieces int" + ", decoded string" * decoded)
 
 
-class Numbers(dict):
-    """Numbers things in the order in which they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        number = self[key] = len(self)
-        return number
-
-
-def _encoded(batch: pa.RecordBatch, dictionary: Dictionary) -> pa.RecordBatch:
-    units_seen, words_seen = Numbers(), Numbers()
-    texts, prefix = [], dictionary.model.prefix
-    for text in batch.column(1):
-        value = text.as_py() or ""
-        if plain(value, prefix):
-            own, seen = value.split(" "), words_seen
-        else:
-            own, seen = list(units(value, prefix)), units_seen
-        texts.append((np.fromiter(map(seen.__getitem__, own), np.int64, len(own)), seen is words_seen))
-    # Words without their mark are numbered after the units.
-    texts = [numbers + len(units_seen) * bare for numbers, bare in texts]
-    found = dictionary.encode([*units_seen, *(MARK + w for w in words_seen)])
-    size = np.array([len(f) for f in found], np.int64)
-    flat = np.concatenate([*found, np.zeros(0, np.int32)])
-    starts = np.cumsum(size) - size
-    order = np.concatenate([*texts, np.zeros(0, np.int64)])
-    lengths = size[order]
-    places = np.repeat(starts[order] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    n_pieces = np.array([size[t].sum() for t in texts], np.int64)
-    stops = pa.array(np.concatenate([[0], np.cumsum(n_pieces)]).astype(np.int32))
-    ids = pa.ListArray.from_arrays(stops, pa.array(flat[places]))
-    return pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(n_pieces.astype(np.int32))], ["doc_id", "ids", "n_pieces"])
+def _encoded(doc_ids: pa.Array, some: Iterable[pa.Array], dictionary: Dictionary) -> pa.RecordBatch:
+    ids, n_ids = zip(*map(dictionary.encode_lines, some))
+    # The arrays are slabs of one line, or there is but one array.
+    n_pieces = n_ids[0] if len(n_ids) == 1 else np.array([sum(n.sum() for n in n_ids)])
+    stops = pa.array(np.append(0, np.cumsum(n_pieces)).astype(np.int32))
+    found = pa.ListArray.from_arrays(stops, pa.array(np.concatenate(ids), pa.int32()))
+    return pa.RecordBatch.from_arrays([doc_ids, found, pa.array(n_pieces.astype(np.int32))], ["doc_id", "ids", "n_pieces"])
 
 
 def read_back(model: Model, ids: pa.ListScalar) -> str:
