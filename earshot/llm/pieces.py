@@ -15,6 +15,7 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -37,7 +38,7 @@ NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 #: Longest part, in characters, that passes the lattice; its boundaries are the bits of a long.
 LONGEST = 62
 #: Characters of text cut into units at a time, parts a task gathers, parts of a dictionary piece.
-SLAB, GATHER, PIECE = 1 << 20, 1 << 18, 1 << 16
+SLAB, GATHER, PIECE = 1 << 20, 1 << 19, 1 << 16
 #: Bytes of lines that a task cuts into parts and encodes at a time.
 BLOCK = 1 << 20
 
@@ -368,24 +369,27 @@ def _dictionary(docs: DataFrame, model: Model, folder: str, bits: int, model_pat
         numbers = _hashes(parts) >> np.uint64(64 - bits) if bits else np.zeros(len(parts), np.uint64)
         return pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int64)), pc.replace_substring(parts, " ", MARK)], ["piece_no", "word"])
 
-    def write(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        hashes = _hashes(group["word"].str.replace(MARK, " "))
+    def write(table: pa.Table) -> pa.Table:
+        name, words = table["piece_no"][0].as_py(), _whole(table["word"])
+        hashes = _hashes(pc.replace_substring(words, MARK, " "))
         order = np.argsort(hashes)
-        every = group["word"].to_numpy()[order].tolist()
-        ids = [
-            found if found.tolist() == exact else np.array(merge_unit(model, word), np.int32)
-            for word, found, exact in zip(every, group["ids"].to_numpy()[order], library(proto).encode(every, num_threads=1), strict=True)
-        ]
-        put(folder, f"hash-{key[0]}", hashes[order])
-        put(folder, f"stop-{key[0]}", np.cumsum([len(i) for i in ids], dtype=np.int64))
-        put(folder, f"ids-{key[0]}", np.concatenate(ids).astype(np.int32))
-        return pd.DataFrame({"piece_no": [key[0]], "words": [len(ids)]})
+        every, found = words.take(pa.array(order)).to_pylist(), _whole(table["ids"]).take(pa.array(order))
+        ids, n_ids = found.flatten().to_numpy(), pc.list_value_length(found).to_numpy()
+        exact = library(proto).encode(every, num_threads=1)
+        n_exact = np.fromiter(map(len, exact), np.int64, len(exact))
+        if not np.array_equal(n_ids, n_exact) or not np.array_equal(ids, np.fromiter(chain.from_iterable(exact), np.int32, n_exact.sum())):
+            own = [f if f == e else merge_unit(model, word) for word, f, e in zip(every, found.to_pylist(), exact, strict=True)]
+            ids, n_ids = np.array([*chain.from_iterable(own)], np.int32), np.array([*map(len, own)])
+        put(folder, f"hash-{name}", hashes[order])
+        put(folder, f"stop-{name}", np.cumsum(n_ids, dtype=np.int64))
+        put(folder, f"ids-{name}", ids.astype(np.int32))
+        return pa.table({"piece_no": pa.array([name], pa.int64()), "words": pa.array([len(every)], pa.int64())})
 
     proto = bare(model_path)
     words = docs.select("text").mapInArrow(distinct, "piece_no long, word string")
     parts = max(1 << bits, docs.sparkSession.sparkContext.defaultParallelism)
     words = words.repartition(parts, "piece_no").dropDuplicates(["piece_no", "word"])
-    encoded = encode_words(words, model).groupBy("piece_no").applyInPandas(write, "piece_no long, words long")
+    encoded = encode_words(words, model).groupBy("piece_no").applyInArrow(write, "piece_no long, words long")
     encoded.agg(F.sum("words")).first()
 
 
@@ -404,10 +408,18 @@ def library(proto: bytes) -> sentencepiece.SentencePieceProcessor:
     return sentencepiece.SentencePieceProcessor(model_proto=proto)
 
 
-def _hashes(parts: Iterable) -> np.ndarray:
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    found = column.combine_chunks()
+    return pa.concat_arrays(found.chunks) if isinstance(found, pa.ChunkedArray) else found
+
+
+def _hashes(parts: pa.Array) -> np.ndarray:
     """Hashes of parts whose marks are blanks."""
-    values = parts.to_pylist() if isinstance(parts, pa.Array) else list(parts)
-    return np.fromiter(map(xxhash.xxh64_intdigest, values), np.uint64, len(values))
+    found = [np.zeros(0, np.uint64)]
+    for at in range(0, len(parts), PIECE):
+        values = parts.slice(at, PIECE).cast(pa.binary()).to_pylist()
+        found.append(np.fromiter(map(xxhash.xxh64_intdigest, values), np.uint64, len(values)))
+    return np.concatenate(found)
 
 
 class Dictionary:
@@ -444,7 +456,7 @@ class Dictionary:
         """
         hashes = _hashes(parts)
         pieces = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(parts), np.int64)
-        found, order = [np.zeros(0, np.int32)], np.argsort(pieces, kind="stable")
+        found, order = [np.zeros(0, np.int32)], np.argsort(hashes)  # by piece too, which is the hash's upper bits
         n_ids = np.zeros(len(parts), np.int64)  # in this order
         bounds = [*np.flatnonzero(np.diff(pieces[order], prepend=-1)).tolist(), len(parts)]
         for low, high in zip(bounds, bounds[1:]):
@@ -460,7 +472,7 @@ class Dictionary:
         size = pc.binary_length(parts).to_numpy(zero_copy_only=False)
         other = np.diff(np.append(0, np.cumsum(self.sizes[ids]))[np.append(0, np.cumsum(n_ids))]) != size
         ids, n_ids = self.mended(parts, ids, n_ids, np.flatnonzero(other))
-        if spelling(self.model, ids) != b"".join(parts.cast(pa.binary()).to_pylist()):
+        if spelling(self.model, ids) != b"".join(parts.cast(pa.binary()).to_pylist()):  # two parts of one hash
             own = np.split(ids, np.cumsum(n_ids)[:-1])
             other = [i for i, part in enumerate(parts.to_pylist()) if spelling(self.model, own[i]) != part.encode()]
             ids, n_ids = self.mended(parts, ids, n_ids, np.array(other, np.int64))

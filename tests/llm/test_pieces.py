@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -78,3 +80,44 @@ def test_odd_rows(spark):
     assert len(found) == len(ODD_TEXTS) + 4
     assert sorted(r["decoded"] for r in found if r["doc_id"] == 0) == [""]
     assert P.encode(odd_docs(spark).limit(0)).count() == 0
+
+
+def test_arrays_of_lines_are_cut_as_units_are(monkeypatch, values):
+    model = P.load()
+    cutter, odd = P.Cutter(model), [None, *values, "▁a▁▁ b", "a ▁", "\x00 a"]
+    want = [[p.replace(P.MARK, " ") for u in P.units(v or "") for p in model.parts(u)] for v in odd]
+    for block in (P.BLOCK, 300):
+        monkeypatch.setattr(P, "BLOCK", block)
+        monkeypatch.setattr(P, "SLAB", 100)
+        found = []
+        for some, rows in P.blocks(pa.array(odd, pa.string()).slice(0), True):
+            cut = [cutter(b) for b in some]
+            own = [p for parts, _ in cut for p in parts.to_pylist()]
+            n_parts = cut[0][1].tolist() if len(cut) == 1 else [len(own)]
+            assert len(n_parts) == rows and sum(n_parts) == len(own)
+            found += [own[sum(n_parts[:i]) : sum(n_parts[: i + 1])] for i in range(rows)]
+        assert found == want
+
+
+def test_parts_that_are_not_filed_are_encoded_on_the_spot(tmp_path, library, values):
+    model = P.load()
+    parts = sorted({p for v in values[10:] for u in P.units(v) for p in model.parts(u)})
+    filed = pa.array([p.replace(P.MARK, " ") for p in parts[::2]])
+    hashes = P._hashes(filed)
+    order = np.argsort(hashes)
+    ids = [P.merge_unit(model, parts[::2][i]) for i in order]
+    wrong = next(i for i, found in enumerate(ids) if len(found) == 1)
+    ids[wrong] = [ids[wrong][0] + 1]  # as if another part had the same hash
+    for name, array in (("hash-0", hashes[order]), ("stop-0", np.cumsum([len(i) for i in ids], dtype=np.int64)), ("ids-0", np.concatenate(ids).astype(np.int32))):
+        P.put(str(tmp_path), name, array)
+    found = P.Dictionary(str(tmp_path), 0, model).encode(parts)
+    assert [f.tolist() for f in found] == [P.merge_unit(model, p) for p in parts]
+
+
+def test_the_fold_alone_equals_the_library(spark, library, values):
+    model = P.load()
+    bare = P.library(P.bare(P.MODEL))
+    words = sorted({u for v in values for u in P.units(v) if len(u) <= P.LONGEST})
+    rows = spark.createDataFrame([(0, w) for w in words], "piece_no long, word string")
+    found = {r["word"]: r["ids"] for r in P.encode_words(rows, model).collect()}
+    assert found == {w: bare.encode(w) for w in words}
