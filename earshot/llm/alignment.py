@@ -46,15 +46,17 @@ SEAM = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z])")
 
 @dataclass(frozen=True)
 class Side:
-    """Bytes of each token id, their number, and the digits of the id."""
+    """Bytes of each token id, their number, and the digits of the id with the sign inside and at the end of a group."""
 
     spelled: list[bytes]
     sizes: np.ndarray
-    digits: list[bytes]
+    inside: np.ndarray
+    last: np.ndarray
 
 
-def _side(spelled: list[bytes]) -> Side:
-    return Side(spelled, np.array([len(s) for s in spelled], np.int64), [b"%d" % i for i in range(len(spelled))])
+def _side(spelled: list[bytes], sign: bytes) -> Side:
+    signed = (np.array([b"%d%b" % (i, c) for i in range(len(spelled))], object) for c in (b",", sign))
+    return Side(spelled, np.array([len(s) for s in spelled], np.int64), *signed)
 
 
 class Tokenizers:
@@ -72,11 +74,11 @@ class Tokenizers:
         spelled = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             spelled[i] = token
-        self.a = _side(spelled)
+        self.a = _side(spelled, b"|")
         self.bpe = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         names = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-        self.b = _side([bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)])
+        self.b = _side([bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)], b";")
         #: What ids are kept as.
         self.dtype = np.uint16 if max(len(self.a.spelled), len(self.b.spelled)) <= 1 << 16 else np.uint32
         #: Whether no piece reaches across a space and texts are left as they are, so that slabs can be encoded alone.
@@ -163,24 +165,29 @@ def links(vocab: Tokenizers, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     Ranges of A and of B each cover the bytes without gaps, so the links are the bytes at which a token ends.
     """
     ends_a, ends_b = np.cumsum(vocab.a.sizes[a]), np.cumsum(vocab.b.sizes[b])
-    ends = np.union1d(ends_a, ends_b)
-    ia, ib = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    marks = np.zeros(ends_a[-1] + 1 if len(a) else 1, np.uint8)
+    marks[ends_a] = 1
+    marks[ends_b] += 2
+    ends = np.flatnonzero(marks)
+    of_a, of_b = marks[ends] & 1, marks[ends] >> 1
+    ia, ib = (np.cumsum(of, dtype=np.int64) - of for of in (of_a, of_b))  # tokens that end before
     return b[ib].astype(np.int64) * len(vocab.a.sizes) + a[ia], ends, ends_a, ends_b
 
 
 def spell(vocab: Tokenizers, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     """The tokens of all groups in the order of their text, each with the sign behind it; the last bytes of groups."""
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-    before_b = np.searchsorted(group_b, group_a)  # tokens of B in earlier groups
-    upto_a = np.searchsorted(group_a, group_b, "right")
-    last_a = np.append(group_a[1:] != group_a[:-1], True)[: len(a)]
-    last_b = np.append(group_b[1:] != group_b[:-1], True)[: len(b)]
+    marks = np.zeros(ends_a[-1] + 1 if len(a) else 1, np.uint8)
+    marks[ends_a] = 1
+    last_b = marks[ends_b] == 1
+    marks[ends_b] += 2
+    last_a = marks[ends_a] == 3
+    group_a, group_b = (np.cumsum(last) - last for last in (last_a, last_b))
+    before_b = np.append(0, np.flatnonzero(last_b) + 1)[group_a]  # tokens of B in earlier groups
+    upto_a = np.append(np.flatnonzero(last_a) + 1, len(a))[group_b]
     parts = np.empty(len(a) + len(b), object)
-    signed = lambda digits, ids, last, sign: [digits[i] + (sign if x else b",") for i, x in zip(ids.tolist(), last.tolist(), strict=True)]
-    parts[np.arange(len(a)) + before_b] = signed(vocab.a.digits, a, last_a, b"|")
-    parts[np.arange(len(b)) + upto_a] = signed(vocab.b.digits, b, last_b, b";")
-    return parts.tolist(), common
+    parts[np.arange(len(a)) + before_b] = np.where(last_a, vocab.a.last[a], vocab.a.inside[a])
+    parts[np.arange(len(b)) + upto_a] = np.where(last_b, vocab.b.last[b], vocab.b.inside[b])
+    return parts.tolist(), ends_b[last_b]
 
 
 class Counts:

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from conftest import rows
 from earshot.llm import alignment
-from earshot.llm.alignment import BYTE_BPE, PIECES, Fragment, Tokenizers, align, compose, fragments, slabs
+from earshot.llm.alignment import BYTE_BPE, PIECES, Fragment, Tokenizers, align, compose, fragments, links, slabs, spell
 
 
 @pytest.fixture(scope="module")
@@ -111,3 +111,24 @@ def test_odd_rows_and_empty_table(spark, monkeypatch):
     assert len(found) == docs.count() and align(docs, chunk=512).columns[0] == "doc_id"
     assert [r[1:] for r in found if r[0] == 1] == [(0, 0, 0, 0, 0, 0, "")]
     assert rows(align(docs.limit(0))) == []
+
+
+def test_links_and_groups_equal_plain_walks():
+    vocab = Tokenizers(Path(BYTE_BPE).read_bytes(), Path(PIECES).read_bytes())
+    encoded = [x for x in vocab.encode(["a", "née 😀 the\nend", "x" * 90, "one two  three ", " \t", "unbelievable, it's 3.14"]) if x[2]]
+    a, b = (np.concatenate([x[i] for x in encoded]) for i in (0, 1))
+    owners = [[t for t, token in enumerate(ids.tolist()) for _ in range(side.sizes[token])] for ids, side in ((a, vocab.a), (b, vocab.b))]
+    pairs, ends, ends_a, ends_b = links(vocab, a, b)
+    want = sorted(set(zip(*owners, strict=True)))
+    assert pairs.tolist() == [int(b[j]) * len(vocab.a.sizes) + int(a[i]) for i, j in want]
+    assert ends.tolist() == sorted({*ends_a.tolist(), *ends_b.tolist()})
+    groups, common = spell(vocab, a, b, ends_a, ends_b)
+    closed, text, start = sorted({*ends_a.tolist()} & {*ends_b.tolist()}), b"", 0
+    for end in closed:
+        inside = [[str(int(i)) for i, e in zip(ids, of, strict=True) if start < e <= end] for ids, of in ((a, ends_a), (b, ends_b))]
+        text, start = text + "|".join(map(",".join, inside)).encode() + b";", end
+    assert b"".join(groups) == text and common.tolist() == closed
+    # The digits of an id stand ready with the sign behind them.
+    assert vocab.a.last[12] == b"12|" and vocab.b.last[12] == b"12;" and vocab.b.inside[12] == b"12,"
+    none = a[:0]
+    assert [len(x) for x in links(vocab, none, none)] == [0] * 4 and spell(vocab, none, none, ends_a[:0], ends_b[:0])[0] == []
