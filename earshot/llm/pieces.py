@@ -37,8 +37,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 #: Longest part, in characters, that passes the lattice; its boundaries are the bits of a long.
 LONGEST = 62
-#: Characters of text cut into units at a time, parts a task gathers, parts of a dictionary piece.
-SLAB, GATHER, PIECE = 1 << 20, 1 << 19, 1 << 16
+#: Characters of text cut into units at a time, parts a task gathers, parts of a dictionary piece, whose edges one task sorts.
+SLAB, GATHER, PIECE = 1 << 20, 1 << 19, 1 << 15
 #: Bytes of lines that a task cuts into parts and encodes at a time.
 BLOCK = 1 << 20
 
@@ -276,7 +276,9 @@ def merged(edges: DataFrame, model: Model) -> DataFrame:
     packed = code + F.shiftleft(F.col("start").cast("long"), 26) + F.shiftleft(F.col("end").cast("long"), 20)
     ends = _bit(F.col("start")) + _bit(F.col("end"))
     span = 2 * _bit(F.col("end")) - _bit(F.col("start"))
-    edge = F.struct(packed.alias("edge"), ends.alias("ends"), span.alias("span"))
+    # Three longs, computed before the rows are grouped: a row waits for its group in memory.
+    narrow = edges.select("piece_no", "word", packed.alias("edge"), ends.alias("ends"), span.alias("span"))
+    edge = F.struct("edge", "ends", "span")
 
     def turn(bounds: Column, x: Column) -> Column:
         joined = (bounds.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(bounds.bitwiseAND(x["span"])) == 3)
@@ -292,12 +294,12 @@ def merged(edges: DataFrame, model: Model) -> DataFrame:
         return F.when(_field(x, 0, 20) == NO_ID, _spelled(letter, model)).otherwise(F.array(_field(x, 0, 20)))
 
     every = F.call_function("shiftleft", F.lit(2).cast("long"), F.length("word")) - 1
-    grouped = edges.groupBy("piece_no", "word").agg(
-        F.collect_list(F.when(F.col("end") - F.col("start") > 1, edge)).alias("joins"),
+    grouped = narrow.groupBy("piece_no", "word").agg(
         F.collect_list(edge).alias("edges"),
-        F.bool_or(F.col("code").isNull()).alias("gaps"),
+        F.bool_or(F.col("edge").bitwiseAND(F.lit(NO_ID)) == NO_ID).alias("gaps"),
     )
-    ordered = F.aggregate(F.sort_array("joins"), every, turn, read)
+    joins = F.filter("edges", lambda x: x["span"] != x["ends"])
+    ordered = F.aggregate(F.sort_array(joins), every, turn, read)
     ids = F.transform(ordered, lambda x: x.bitwiseAND(F.lit(NO_ID)).cast("int"))
     ids = F.when(F.col("gaps"), F.flatten(F.transform(ordered, spelled))).otherwise(ids)
     return grouped.select("piece_no", "word", ids.alias("ids"))
@@ -367,7 +369,7 @@ def _dictionary(docs: DataFrame, model: Model, folder: str, bits: int, model_pat
     def rows(parts: pa.Array) -> pa.RecordBatch:
         parts = parts.filter(pc.less_equal(pc.utf8_length(parts), LONGEST))
         numbers = _hashes(parts) >> np.uint64(64 - bits) if bits else np.zeros(len(parts), np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int64)), pc.replace_substring(parts, " ", MARK)], ["piece_no", "word"])
+        return pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int32)), pc.replace_substring(parts, " ", MARK)], ["piece_no", "word"])
 
     def write(table: pa.Table) -> pa.Table:
         name, words = table["piece_no"][0].as_py(), _whole(table["word"])
@@ -383,13 +385,14 @@ def _dictionary(docs: DataFrame, model: Model, folder: str, bits: int, model_pat
         put(folder, f"hash-{name}", hashes[order])
         put(folder, f"stop-{name}", np.cumsum(n_ids, dtype=np.int64))
         put(folder, f"ids-{name}", ids.astype(np.int32))
-        return pa.table({"piece_no": pa.array([name], pa.int64()), "words": pa.array([len(every)], pa.int64())})
+        return pa.table({"piece_no": pa.array([name], pa.int32()), "words": pa.array([len(every)], pa.int64())})
 
     proto = bare(model_path)
-    words = docs.select("text").mapInArrow(distinct, "piece_no long, word string")
-    parts = max(1 << bits, docs.sparkSession.sparkContext.defaultParallelism)
-    words = words.repartition(parts, "piece_no").dropDuplicates(["piece_no", "word"])
-    encoded = encode_words(words, model).groupBy("piece_no").applyInArrow(write, "piece_no long, words long")
+    words = docs.select("text").mapInArrow(distinct, "piece_no int, word string")
+    # A task for each piece, as several in one would wait in its memory together; in the order of their
+    # groups, since the edges of words in order are sorted as they come.
+    words = words.repartitionById(1 << bits, "piece_no").dropDuplicates(["piece_no", "word"])
+    encoded = encode_words(words.sortWithinPartitions("piece_no", "word"), model).groupBy("piece_no").applyInArrow(write, "piece_no int, words long")
     encoded.agg(F.sum("words")).first()
 
 

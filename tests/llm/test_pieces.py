@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from earshot.llm import pieces as P
 
@@ -52,6 +53,15 @@ def test_dictionary_in_many_pieces(spark, library, values, monkeypatch):
     assert [ids.tolist() for ids in dictionary.encode(words)] == [P.merge_unit(model, w) for w in words]
 
 
+def test_each_task_has_one_piece_of_the_dictionary_in_order(spark, values, monkeypatch):
+    dealt, encode_words = [], P.encode_words
+    monkeypatch.setattr(P, "encode_words", lambda words, model: dealt.append(words) or encode_words(words, model))
+    P._dictionary(texts(spark, values), P.load(), P.scratch_path(spark, "pieces-test"), 3)
+    rows = dealt[0].select(F.spark_partition_id().alias("task"), "piece_no", "word").collect()
+    assert len({r["piece_no"] for r in rows}) == len({r["task"] for r in rows}) == len({(r["task"], r["piece_no"]) for r in rows}) == 8
+    assert [tuple(r) for r in rows] == sorted(map(tuple, rows)) and len({r["word"] for r in rows}) == len(rows)
+
+
 def cheapest(model, unit):
     best = [(0.0, 0, [])]
     for end in range(1, len(unit) + 1):
