@@ -1,7 +1,9 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import sys
+import threading
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -10,6 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 from compare import compare, connect  # noqa: E402
 
 from __spark_entry__ import entry  # noqa: E402
+from earshot.workload import queries as Q  # noqa: E402
 from earshot.workload.oracle import ORACLE  # noqa: E402
 from earshot.workload.queries import REGISTRY  # noqa: E402
 
@@ -33,3 +36,21 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_landed_folders_are_written_side_by_side(spark):
+    both, written = threading.Barrier(2, timeout=20), []
+
+    def frame(fail=False):
+        def json(path):
+            both.wait()
+            if fail:
+                raise OSError(path)
+            written.append(path)
+
+        return SimpleNamespace(sparkSession=spark, write=SimpleNamespace(json=json))
+
+    Q._land({"a": frame(), "b": frame()})
+    assert sorted(written) == ["a", "b"]
+    with pytest.raises(OSError, match="d"):
+        Q._land({"c": frame(), "d": frame(fail=True)})
