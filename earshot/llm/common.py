@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,17 @@ def slabs(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
         start = end
 
 
+def portions(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """First row and end of each run of rows with up to ``size`` bytes of text, or one longer text."""
+    stops = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(stops):
+        done = stops[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(stops, done + size, "right")))
+        yield start, end
+        start = end
+
+
 def sift(df: DataFrame, keys: DataFrame, column: str, buckets: int = 1 << 17) -> DataFrame:
     """Rows of ``df`` whose ``column`` may occur in ``keys``; false positives stay.
 

@@ -13,9 +13,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
-from earshot.llm.common import fold, settle, sift
+from earshot.llm.common import fold, portions, settle, sift
 
 # Seed words of the grammar's classes in English, German, French and Spanish.
 INSULTS = """
@@ -47,6 +47,8 @@ STEM = (3, 10)
 MIN_SUPPORT, MIN_WEIGHT, MIN_FORMS = 5, 3.0, 5
 #: Different texts of each label, at most, from which the last step's weights are fitted.
 FIT_ROWS = 20_000
+#: Words and pairs of words that a task counts before it passes them on.
+HELD = 1 << 17
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
 #: Weight of a seed insult or threat that the labels say nothing about.
@@ -188,6 +190,35 @@ def _labelled(docs: DataFrame, labels: DataFrame, column: str, parts: int, held:
     return sift(training, known, "doc_id", 1 << 20).join(known, "doc_id").select("text", "label")
 
 
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words of (text, label) by label, and the pairs of words in toxic texts, about HELD rows at a time."""
+
+    def counted() -> pa.RecordBatch:
+        other, toxic = texts
+        return pa.RecordBatch.from_pydict(
+            {
+                "word": pa.array([*(w for w, _ in pairs), *toxic, *other], pa.string()),
+                "before": pa.array([*(b for _, b in pairs), *[None] * (len(toxic) + len(other))], pa.int64()),
+                "toxic": pa.array([*[0] * len(pairs), *toxic.values(), *[0] * len(other)], pa.int64()),
+                "other": pa.array([*[0] * (len(pairs) + len(toxic)), *other.values()], pa.int64()),
+            }
+        )
+
+    pairs: set[tuple[str, int]] = set()
+    texts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+    for batch in batches:
+        for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            words = [w for w in TOKEN.findall((text.as_py() or "").lower()) if w not in STOPS]
+            texts[label].update(set(words))
+            if label:
+                before = ["", *words]  # a text may have no words
+                pairs.update((w, xxhash.xxh32_intdigest(b)) for w, b in zip(words, before, strict=False))
+            if len(pairs) + sum(map(len, texts)) >= HELD:
+                yield counted()
+                pairs, texts = set(), (Counter(), Counter())
+    yield counted()
+
+
 def learn_lexicon(training: DataFrame, support: int = MIN_SUPPORT, least: float = MIN_WEIGHT) -> dict[str, float]:
     """Words and stems (with a final ``*``) that mark toxic texts, with their log ratios.
 
@@ -199,28 +230,7 @@ def learn_lexicon(training: DataFrame, support: int = MIN_SUPPORT, least: float
     weight, be it zero. All labelled training rows are
     counted; only what passes the thresholds reaches the driver.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs: set[tuple[str, int]] = set()
-            texts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
-            for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                words = [w for w in TOKEN.findall((text.as_py() or "").lower()) if w not in STOPS]
-                texts[label].update(set(words))
-                if label:
-                    before = ["", *words[:-1]]
-                    pairs.update((w, xxhash.xxh32_intdigest(b)) for w, b in zip(words, before, strict=True))
-            other, toxic = texts
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "word": pa.array([*(w for w, _ in pairs), *toxic, *other], pa.string()),
-                    "before": pa.array([*(b for _, b in pairs), *[None] * (len(toxic) + len(other))], pa.int64()),
-                    "toxic": pa.array([*[0] * len(pairs), *toxic.values(), *[0] * len(other)], pa.int64()),
-                    "other": pa.array([*[0] * (len(pairs) + len(toxic)), *other.values()], pa.int64()),
-                }
-            )
-
-    seen = training.select("text", "label").mapInArrow(run, "word string, before long, toxic long, other long")
+    seen = training.select("text", "label").mapInArrow(count_words, "word string, before long, toxic long, other long")
     n_toxic, n_other = training.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     if not n_toxic or not n_other:
         return {}
@@ -318,13 +328,13 @@ class Model:
     weights: np.ndarray
 
 
-def _measure(df: DataFrame, text_col: str, lexicon: dict[str, float]) -> DataFrame:
-    """All columns of ``df`` and, as ``_tox``, what the grammar finds in its text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, grammar = Lexicon(lexicon), Grammar()
-        for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(0)]
+def measure(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float], own: int | None = None) -> Iterator[pa.RecordBatch]:
+    """(row, tox) of batches of rows, whose text is their field ``own`` or else the second column; a portion at a time."""
+    words, grammar = Lexicon(lexicon), Grammar()
+    for batch in batches:
+        column = batch.column(1) if own is None else batch.column(0).field(own)
+        for start, end in portions(column):
+            texts = [t or "" for t in column.slice(start, end - start).to_pylist()]
             scores = [clause_scores(t, words, grammar) for t in texts]
             found = pa.StructArray.from_arrays(
                 [
@@ -335,11 +345,20 @@ def _measure(df: DataFrame, text_col: str, lexicon: dict[str, float]) -> DataFra
                 ],
                 ["total", "most", "clauses", "words"],
             )
-            yield pa.RecordBatch.from_arrays([batch.column(1), found], ["row", "tox"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), found], ["row", "tox"])
 
-    packed = df.select(F.col(text_col).cast("string").alias("text"), F.struct("*").alias("row"))
-    shape = StructType().add("row", packed.schema["row"].dataType).add("tox", StructType.fromDDL(SHAPE))
-    return packed.mapInArrow(run, shape)
+
+def _measure(df: DataFrame, text_col: str, lexicon: dict[str, float], *kept: str) -> DataFrame:
+    """Columns of ``df`` (without ``kept`` all) as ``row`` and, as ``tox``, what the grammar finds in its text.
+
+    A text goes to the workers once and comes back only if it is kept.
+    """
+    row = F.struct(*(kept or "*")).alias("row")
+    fields = df.select(row).schema["row"].dataType
+    own = [i for i, f in enumerate(fields) if f.name == text_col and isinstance(f.dataType, StringType)]
+    packed = df.select(row) if own else df.select(row, F.col(text_col).cast("string").alias("text"))
+    shape = StructType().add("row", fields).add("tox", StructType.fromDDL(SHAPE))
+    return packed.mapInArrow(lambda batches: measure(batches, lexicon, *own), shape)
 
 
 def learn(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -347,7 +366,7 @@ def learn(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, id_
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     training = settle(_labelled(narrow, labels, "toxic", parts, held), "labelled")
     lexicon = learn_lexicon(training)
-    fitted = _measure(_sample(training), "text", lexicon).select("row.label", "tox.*").toPandas()
+    fitted = _measure(_sample(training), "text", lexicon, "label").select("row.label", "tox.*").toPandas()
     weights = PLAIN
     if fitted["label"].nunique() == 2:
         known = _inputs(*(fitted[c].to_numpy(np.float64) for c in ("total", "most", "clauses", "words")))
@@ -355,10 +374,10 @@ def learn(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, id_
     return Model(lexicon, weights)
 
 
-def _scored(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """(row, tox, score) for each row of ``docs``; nothing is shuffled."""
+def _scored(docs: DataFrame, model: Model, text_col: str, *kept: str) -> DataFrame:
+    """(row, tox, score) for each row of ``docs``, the row with all or the ``kept`` columns; nothing is shuffled."""
     z = sum((part * float(w) for part, w in zip(_columns(), model.weights, strict=True)), F.lit(0.0))
-    return _measure(docs, text_col, model.lexicon).withColumn("score", 1 / (1 + F.exp(-z)))
+    return _measure(docs, text_col, model.lexicon, *kept).withColumn("score", 1 / (1 + F.exp(-z)))
 
 
 def toxicity_scores(
@@ -378,7 +397,7 @@ def toxicity_scores(
     """
     model = learn(docs, labels, parts, held, id_col, text_col)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return _scored(narrow, model, "text").select(
+    return _scored(narrow, model, "text", "doc_id").select(
         "row.doc_id",
         (fold("row.doc_id", parts) == held).alias("held_out"),
         "score",

@@ -1,6 +1,25 @@
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 
-from earshot.llm.toxicity import AIMED, DENIED, Grammar, Lexicon, clause_scores, drop_toxic, learn_lexicon, toxicity_scores
+from earshot.llm.common import portions
+from earshot.llm.toxicity import (
+    AIMED,
+    DENIED,
+    HELD,
+    PLAIN,
+    Grammar,
+    Lexicon,
+    Model,
+    _scored,
+    clause_scores,
+    count_words,
+    drop_toxic,
+    learn_lexicon,
+    measure,
+    toxicity_scores,
+)
 
 from llm_helpers import ODD_TEXTS, odd_docs
 
@@ -68,3 +87,47 @@ def test_odd_rows_and_no_labels(spark):
     docs = odd_docs(spark)
     assert drop_toxic(docs, labels).columns == docs.columns
     assert toxicity_scores(docs.limit(0), labels).count() == 0
+
+
+def word(n):
+    return "".join("abcdefghij"[int(d)] for d in str(n))
+
+
+def test_words_are_counted_in_bounded_parts():
+    rows = [(" ".join(word(n * 37 + i) for i in range(300)), n % 2) for n in range(3000)] + [(None, 1), ("", 0)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([t for t, _ in rows]), "label": pa.array([y for _, y in rows], pa.int32())})
+    parts = list(count_words(iter([batch.slice(0, 1000), batch.slice(1000)])))
+    assert len(parts) > 2 and max(p.num_rows for p in parts) < HELD + 2 * 300
+    toxic, other, pairs = Counter(), Counter(), set()
+    for part in parts:
+        for r in part.to_pylist():
+            toxic[r["word"]] += r["toxic"]
+            other[r["word"]] += r["other"]
+            pairs |= {(r["word"], r["before"])} if r["before"] is not None else set()
+    want = [Counter(w for t, y in rows if y == label for w in set((t or "").split())) for label in (0, 1)]
+    assert +other == want[0] and +toxic == want[1]
+    assert len(pairs) == len({p for t, y in rows if y and t for p in zip(t.split(), ["", *t.split()[:-1]], strict=True)})
+
+
+def test_texts_are_measured_in_portions():
+    assert list(portions(pa.array(["ab", None, "cde", "f" * 9, "", "g"]), 5)) == [(0, 3), (3, 4), (4, 6)]
+    assert list(portions(pa.array([], pa.string()))) == []
+    texts = ["you idiot. " + "word " * 2000, None, "fine"] * 400
+    row = pa.StructArray.from_arrays([pa.array(texts), pa.array(range(1200))], ["text", "n"])
+    for batch, own in ((pa.RecordBatch.from_arrays([row], ["row"]), 0), (pa.RecordBatch.from_arrays([row, pa.array(texts)], ["row", "text"]), None)):
+        parts = list(measure(iter([batch]), {}, own))
+        assert len(parts) > 3 and max(p.nbytes for p in parts) < 2 << 20
+        found = [r for p in parts for r in p.to_pylist()]
+        assert [(r["row"]["text"], r["row"]["n"]) for r in found] == list(zip(texts, range(1200), strict=True))
+        assert [r["tox"]["total"] for r in found] == [score(t or "") for t in texts]
+
+
+def test_texts_come_back_only_where_they_are_kept(spark):
+    docs = odd_docs(spark)
+    model = Model({}, PLAIN)
+    assert _scored(docs, model, "text", "doc_id").schema["row"].dataType.names == ["doc_id"]
+    whole = _scored(docs, model, "text")
+    assert whole.schema["row"].dataType == docs.schema
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "struct(" in plan and " AS text#" not in plan  # no second copy beside the row's
+    assert whole.select("row.*").exceptAll(docs).count() == docs.exceptAll(whole.select("row.*")).count() == 0
