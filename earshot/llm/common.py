@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +70,16 @@ def portions(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
         start = end
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, giving freed Arrow memory back at its end: workers wait for later tasks and stages."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
 def sift(df: DataFrame, keys: DataFrame, column: str, buckets: int = 1 << 17) -> DataFrame:
     """Rows of ``df`` whose ``column`` may occur in ``keys``; false positives stay.
 

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.llm.common import tidy
 from earshot.llm.shared_arrays import get, put
 from earshot.session import scratch_path
 
@@ -388,7 +389,7 @@ def _dictionary(docs: DataFrame, model: Model, folder: str, bits: int, model_pat
         return pa.table({"piece_no": pa.array([name], pa.int32()), "words": pa.array([len(every)], pa.int64())})
 
     proto = bare(model_path)
-    words = docs.select("text").mapInArrow(distinct, "piece_no int, word string")
+    words = docs.select("text").mapInArrow(tidy(distinct), "piece_no int, word string")
     # A task for each piece, as several in one would wait in its memory together; in the order of their
     # groups, since the edges of words in order are sorted as they come.
     words = words.repartitionById(1 << bits, "piece_no").dropDuplicates(["piece_no", "word"])
@@ -536,7 +537,7 @@ def encode(
                     found = pa.RecordBatch.from_arrays([*found.columns, texts], [*found.schema.names, "decoded"])
                 yield found
 
-    return narrow.mapInArrow(run, "doc_id long, ids array<int>, n_pieces int" + ", decoded string" * decoded)
+    return narrow.mapInArrow(tidy(run), "doc_id long, ids array<int>, n_pieces int" + ", decoded string" * decoded)
 
 
 def _encoded(doc_ids: pa.Array, some: Iterable[pa.Array], dictionary: Dictionary) -> pa.RecordBatch:

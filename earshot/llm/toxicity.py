@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from earshot.llm.common import fold, portions, settle, sift
+from earshot.llm.common import fold, portions, settle, sift, tidy
 
 # Seed words of the grammar's classes in English, German, French and Spanish.
 INSULTS = """
@@ -230,7 +230,7 @@ def learn_lexicon(training: DataFrame, support: int = MIN_SUPPORT, least: float
     weight, be it zero. All labelled training rows are
     counted; only what passes the thresholds reaches the driver.
     """
-    seen = training.select("text", "label").mapInArrow(count_words, "word string, before long, toxic long, other long")
+    seen = training.select("text", "label").mapInArrow(tidy(count_words), "word string, before long, toxic long, other long")
     n_toxic, n_other = training.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     if not n_toxic or not n_other:
         return {}
@@ -358,7 +358,7 @@ def _measure(df: DataFrame, text_col: str, lexicon: dict[str, float], *kept: str
     own = [i for i, f in enumerate(fields) if f.name == text_col and isinstance(f.dataType, StringType)]
     packed = df.select(row) if own else df.select(row, F.col(text_col).cast("string").alias("text"))
     shape = StructType().add("row", fields).add("tox", StructType.fromDDL(SHAPE))
-    return packed.mapInArrow(lambda batches: measure(batches, lexicon, *own), shape)
+    return packed.mapInArrow(tidy(lambda batches: measure(batches, lexicon, *own)), shape)
 
 
 def learn(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> Model:

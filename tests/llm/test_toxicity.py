@@ -3,7 +3,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from earshot.llm.common import portions
+from earshot.llm import common
+from earshot.llm.common import portions, tidy
 from earshot.llm.toxicity import (
     AIMED,
     DENIED,
@@ -131,3 +132,11 @@ def test_texts_come_back_only_where_they_are_kept(spark):
     plan = whole._jdf.queryExecution().executedPlan().toString()
     assert "struct(" in plan and " AS text#" not in plan  # no second copy beside the row's
     assert whole.select("row.*").exceptAll(docs).count() == docs.exceptAll(whole.select("row.*")).count() == 0
+
+
+def test_workers_give_freed_memory_back(monkeypatch):
+    seen = []
+    pool = type("Pool", (), {"release_unused": lambda self: seen.append("released")})
+    monkeypatch.setattr(common.pa, "default_memory_pool", pool)
+    assert list(tidy(lambda batches: (b + 1 for b in batches if not seen.append(b)))(iter([1, 2]))) == [2, 3]
+    assert seen == [1, 2, "released"]
